@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from catchment.functions.clock import crosses_midnight, window_expired
 from catchment.functions.ids import key_of, uuid5
 from catchment.functions.text import clean_postcode
-from catchment.sources.schemas import MENU_MANIFEST, missing_required
+from catchment.sources.schemas import MENU_MANIFEST, OPENING_SERVICES, missing_required
 
 # Fixed value: attempts allowed where the manifest names none.
 DEFAULT_MAX_ATTEMPTS = 3
@@ -190,7 +190,7 @@ def manifest_results(tasks: DataFrame, chosen: DataFrame) -> DataFrame:
     doc = F.from_json("body", MENU_MANIFEST)
     joined = tasks.join(chosen, "task_id").withColumn("doc", doc)
     info = F.col("doc.RestaurantInfo")
-    services = F.coalesce(info["RestaurantOpeningTimes"], F.array().cast(MENU_MANIFEST["RestaurantInfo"].dataType["RestaurantOpeningTimes"].dataType))
+    services = F.coalesce(info["RestaurantOpeningTimes"], F.array().cast(OPENING_SERVICES))
     counts = F.transform(
         services,
         lambda service: F.aggregate(

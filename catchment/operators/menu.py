@@ -8,21 +8,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 STATE_SCRIPT = r"""(?is)<script(?=[^>]*\bid=["']?__NEXT_DATA__["'\s>])[^>]*>(.*?)</script>"""
 DEFAULT_CDN = "https://menus.example"
 
-ITEM = T.ArrayType(
-    T.StructType.fromDDL(
-        "Id string, Name string, Description string, Type string, Labels array<string>,"
-        "Variations array<struct<Id:string,Name:string,BasePrice:string,ModifierGroupsIds:array<string>,DealGroupsIds:array<string>>>,"
-        "EnergyContent struct<EnergyDisplay:string>, EnergyUnits string, ImageSources array<struct<Path:string>>,"
-        "Restrictions string"
-    )
+ITEM = (
+    "array<struct<Id:string,Name:string,Description:string,Type:string,Labels:array<string>,"
+    "Variations:array<struct<Id:string,Name:string,BasePrice:string,ModifierGroupsIds:array<string>,DealGroupsIds:array<string>>>,"
+    "EnergyContent:struct<EnergyDisplay:string>,EnergyUnits:string,ImageSources:array<struct<Path:string>>,Restrictions:string>>"
 )
-ITEMS = T.StructType([T.StructField("Items", ITEM)])
-DETAILS = T.StructType.fromDDL(
+ITEMS = f"Items {ITEM}"
+DETAILS = (
     "ModifierSets array<struct<Id:string,Modifier:struct<Id:string,Name:string,AdditionPrice:string,RemovePrice:string,"
     "DefaultChoices:string,MinChoices:string,MaxChoices:string,NutritionalInfo:string>>>,"
     "ModifierGroups array<struct<Id:string,Name:string,MinChoices:string,MaxChoices:string,Modifiers:array<string>>>,"
@@ -30,62 +26,14 @@ DETAILS = T.StructType.fromDDL(
     "DealItemVariationId:string,MinChoices:string,MaxChoices:string,AdditionPrice:string,"
     "NumberOfServings:struct<ServingsDisplay:string>>>>>"
 )
-STATE = T.StructType(
-    [
-        T.StructField(
-            "props",
-            T.StructType(
-                [
-                    T.StructField(
-                        "appProps",
-                        T.StructType(
-                            [
-                                T.StructField("clientConfig", T.StructType.fromDDL("jeRestaurantCdnUrls struct<uk:string>")),
-                                T.StructField(
-                                    "preloadedState",
-                                    T.StructType(
-                                        [
-                                            T.StructField(
-                                                "menu",
-                                                T.StructType(
-                                                    [
-                                                        T.StructField(
-                                                            "restaurant",
-                                                            T.StructType(
-                                                                [
-                                                                    T.StructField(
-                                                                        "cdn",
-                                                                        T.StructType(
-                                                                            [
-                                                                                T.StructField(
-                                                                                    "restaurant",
-                                                                                    T.StructType.fromDDL(
-                                                                                        "restaurantId string, restaurantInfo struct<id:string,name:string>,"
-                                                                                        "itemsUrl string, itemDetailsUrl string, truncatedUrl string,"
-                                                                                        "menus array<struct<menuGroupId:string,description:string,"
-                                                                                        "categories:array<struct<id:string,name:string,itemIds:array<string>>>>>"
-                                                                                    ),
-                                                                                ),
-                                                                                T.StructField("items", ITEM),
-                                                                            ]
-                                                                        ),
-                                                                    )
-                                                                ]
-                                                            ),
-                                                        )
-                                                    ]
-                                                ),
-                                            )
-                                        ]
-                                    ),
-                                ),
-                            ]
-                        ),
-                    )
-                ]
-            ),
-        )
-    ]
+_RESTAURANT = (
+    "struct<restaurantId:string,restaurantInfo:struct<id:string,name:string>,itemsUrl:string,itemDetailsUrl:string,"
+    "truncatedUrl:string,menus:array<struct<menuGroupId:string,description:string,"
+    "categories:array<struct<id:string,name:string,itemIds:array<string>>>>>>"
+)
+STATE = (
+    "props struct<appProps:struct<clientConfig:struct<jeRestaurantCdnUrls:struct<uk:string>>,"
+    f"preloadedState:struct<menu:struct<restaurant:struct<cdn:struct<restaurant:{_RESTAURANT},items:{ITEM}>>>>>>"
 )
 
 

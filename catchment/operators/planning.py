@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from catchment.functions.clock import CALENDAR_RULES, epoch_seconds, iso_text, to_utc, wall_time
@@ -15,8 +15,8 @@ from catchment.session import pin
 
 # Fixed value: seconds kept free before the end of each interval.
 END_GUARD_SECONDS = 60
-# Jobs per lookup block of the slot join.
-BLOCK = 65_536
+# Most jobs in one lookup block of the slot join.
+MAX_BLOCK = 65_536
 
 
 @dataclass(frozen=True)
@@ -118,10 +118,16 @@ def check_windows(intervals: DataFrame, names: list[str]) -> None:
         raise ValueError(f"Unknown or empty windows: {', '.join(unknown)}")
 
 
-def interval_offsets(intervals: DataFrame, counts: DataFrame, guard_seconds: int = END_GUARD_SECONDS) -> DataFrame:
+def _lookup(values: dict[str, int], name: str) -> Column:
+    """A setting per window name as a literal map."""
+    pairs = [part for key, value in values.items() for part in (F.lit(key), F.lit(value).cast("long"))]
+    return F.try_element_at(F.create_map(*pairs), F.col(name))
+
+
+def interval_offsets(intervals: DataFrame, counts: dict[str, int], guard_seconds: int = END_GUARD_SECONDS) -> DataFrame:
     """Per interval: wall start, guarded length, seconds before it in its tag, and the step between jobs.
 
-    `counts` holds (tag, jobs). Lengths are wall-clock, so a clock change inside an interval does not count.
+    Lengths are wall-clock, so a clock change inside an interval does not count.
     """
     if guard_seconds < 0:
         raise ValueError("the window end guard must not be negative")
@@ -130,64 +136,70 @@ def interval_offsets(intervals: DataFrame, counts: DataFrame, guard_seconds: int
     checked = F.when(
         length <= 0, F.raise_error(F.lit("window intervals must be longer than the end guard")).cast("long")
     ).otherwise(length)
-    timed = intervals.select(
+    timed = intervals.filter(F.col("tag").isin(list(counts))).select(
         "tag",
         F.col("ordinal").alias("interval"),
         epoch_seconds(start).alias("start_seconds"),
         epoch_seconds(end).alias("end_seconds"),
         checked.cast("double").alias("length"),
     )
-    # Prefix sums over the intervals of a tag, which are settings: gathered per tag and opened again.
-    gathered = timed.groupBy("tag").agg(
-        F.array_sort(F.collect_list(F.struct("interval", "start_seconds", "end_seconds", "length"))).alias("list")
-    )
-    opened = gathered.select(
-        "tag",
-        F.posexplode("list").alias("at", "item"),
-        F.col("list")["length"].alias("lengths"),
-    )
-    zero = F.lit(0.0)
-    return (
-        opened.join(counts, "tag")
-        .select(
-            "tag",
-            "item.*",
-            F.aggregate(F.slice("lengths", F.lit(1), F.col("at")), zero, lambda total, one: total + one).alias("before"),
-            (F.aggregate("lengths", zero, lambda total, one: total + one) / F.col("jobs")).alias("step"),
-        )
-        .filter("step > 0")
-    )
-
-
-def slots_in_blocks(offsets: DataFrame) -> DataFrame:
-    """Each interval once per block of job ordinals that it may hold, so the slot lookup is an equi-join."""
-    first = F.greatest(F.floor(F.col("before") / F.col("step")) - 1, F.lit(0))
-    last = F.ceil((F.col("before") + F.col("length")) / F.col("step")) + 1
-    return offsets.select(
-        "*", F.explode(F.sequence(F.floor(first / BLOCK).cast("long"), F.floor(last / BLOCK).cast("long"))).alias("block")
+    earlier = Window.partitionBy("tag").orderBy("interval").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("tag")
+    return timed.select(
+        "*",
+        F.coalesce(F.sum("length").over(earlier), F.lit(0.0)).alias("before"),
+        (F.sum("length").over(whole) / _lookup(counts, "tag")).alias("step"),
     )
 
 
-def schedule(jobs: DataFrame, intervals: DataFrame, guard_seconds: int = END_GUARD_SECONDS, counts: DataFrame | None = None) -> DataFrame:
+def schedule(jobs: DataFrame, intervals: DataFrame, guard_seconds: int = END_GUARD_SECONDS, counts: dict[str, int] | None = None) -> DataFrame:
     """Spread jobs evenly over their tag's intervals.
 
     `jobs` holds (planned_window, ordinal, ...) with dense 0-based ordinals per window. Adds `scheduled_at` and
     `window_end_at` in UTC. Offsets are doubles on purpose: they decide which side of a boundary a job falls on.
+
+    The interval of a job is found by an equi-join on blocks of ordinals about as long as one interval holds, so a job
+    meets two or three candidates, and a window with many jobs has many blocks.
     """
     if counts is None:
-        counts = jobs.groupBy(F.col("planned_window").alias("tag")).agg(F.count(F.lit(1)).alias("jobs"))
-    slots = slots_in_blocks(interval_offsets(intervals, counts, guard_seconds)).withColumnRenamed("tag", "planned_window")
-    placed = jobs.withColumn("block", F.floor(F.col("ordinal") / BLOCK).cast("long")).join(slots, ["planned_window", "block"])
+        # One row per window name, which are settings.
+        rows = jobs.groupBy("planned_window").agg(F.count(F.lit(1)).alias("jobs")).collect()
+        counts = {row.planned_window: row.jobs for row in rows}
+    counts = {name: total for name, total in counts.items() if total > 0}
+    at, instant = F.lit(None), "timestamp"
+    if not counts:
+        return jobs.filter(F.lit(False)).select("*", at.cast(instant).alias("scheduled_at"), at.cast(instant).alias("window_end_at"))
+    spans = {row.tag: row.n for row in intervals.groupBy("tag").agg(F.count(F.lit(1)).alias("n")).collect()}
+    unknown = sorted(set(counts) - set(spans))
+    if unknown:
+        raise ValueError(f"No intervals for windows: {', '.join(unknown)}")
+    sizes = {name: min(MAX_BLOCK, max(1, total // max(1, spans.get(name, 1)))) for name, total in counts.items()}
+    offsets = interval_offsets(intervals, counts, guard_seconds)
+    first = F.greatest(F.floor(F.col("before") / F.col("step")) - 1, F.lit(0))
+    last = F.ceil((F.col("before") + F.col("length")) / F.col("step")) + 1
+    block = _lookup(sizes, "tag")
+    slots = offsets.select(
+        F.col("tag").alias("planned_window"),
+        "start_seconds",
+        "end_seconds",
+        "length",
+        "before",
+        "step",
+        F.explode(F.sequence(F.floor(first / block), F.floor(last / block))).alias("block"),
+    )
+    placed = jobs.withColumn("block", F.floor(F.col("ordinal") / _lookup(sizes, "planned_window"))).join(
+        slots, ["planned_window", "block"]
+    )
     offset = F.col("ordinal") * F.col("step")
     placed = placed.filter((F.col("before") <= offset) & (offset < F.col("before") + F.col("length")))
     remaining = offset - F.col("before")
     whole = F.floor(remaining)
     # Microseconds round half to even and may carry into the next second.
     carry = F.when(F.rint((remaining - whole) * 1_000_000) >= 1_000_000, 1).otherwise(0)
-    at = (F.col("start_seconds") + whole + carry).cast("long")
+    seconds = (F.col("start_seconds") + whole + carry).cast("long")
     return placed.select(
         *jobs.columns,
-        to_utc(F.timestamp_seconds(at)).alias("scheduled_at"),
+        to_utc(F.timestamp_seconds(seconds)).alias("scheduled_at"),
         to_utc(F.timestamp_seconds(F.col("end_seconds"))).alias("window_end_at"),
     )
 
@@ -244,11 +256,7 @@ def plan_jobs(postcodes: DataFrame, windows: list[str], intervals: DataFrame | N
     jobs = per_window(postcodes, windows)
     if intervals is None:
         return task_rows(immediate_schedule(jobs, run.created_at), run)
-    # The count goes in as a literal: the slot side then stays visibly small, and the big side needs no shuffle.
-    total = postcodes.count()
-    counts = per_window(intervals.sparkSession.range(1), windows).select(
-        F.col("planned_window").alias("tag"), F.lit(total).cast("long").alias("jobs")
-    )
+    counts = dict.fromkeys(windows, postcodes.count())
     return task_rows(schedule(jobs, intervals, guard_seconds, counts), run)
 
 

@@ -105,30 +105,27 @@ DAY_FIELD = {
 }
 
 # Raw JSON shapes, read by key; fields that may be text or number are declared as text.
-LISTING = T.StructType.fromDDL(
-    "filters struct<groceries:struct<restaurantIds:array<string>>>,"
-    "restaurants array<struct<id:string,restaurantId:string,name:string,uniqueName:string,seoName:string,"
+LISTING = (
+    "struct<filters:struct<groceries:struct<restaurantIds:array<string>>>,"
+    "restaurants:array<struct<id:string,restaurantId:string,name:string,uniqueName:string,seoName:string,"
     "isDelivery:boolean,isOpenNowForDelivery:boolean,isTemporarilyOffline:boolean,"
     "cuisines:array<struct<name:string,uniqueName:string>>,rating:struct<starRating:double,count:bigint>,"
     "deliveryEtaMinutes:struct<rangeLower:bigint,rangeUpper:bigint,approximate:bigint>,"
     "deliveryCost:string,minimumDeliveryValue:string,deals:array<struct<description:string>>,tags:array<string>,"
     "address:struct<firstLine:string,city:string,postalCode:string,location:struct<coordinates:array<double>>>,"
-    "logoUrl:string,driveDistanceMeters:bigint>>"
+    "logoUrl:string,driveDistanceMeters:bigint>>>"
 )
-ENVELOPE = T.StructType(
-    [
-        T.StructField(name, T.StringType())
-        for name in (
-            "snapshot_id job_id provider postcode planned_window scheduled_at captured_at source_url".split()
-        )
-    ]
-    + [T.StructField("response", LISTING)]
+ENVELOPE = (
+    "snapshot_id string, job_id string, provider string, postcode string, planned_window string, scheduled_at string,"
+    f" captured_at string, source_url string, response {LISTING}"
+)
+OPENING_SERVICES = (
+    "array<struct<ServiceType:string,TimesPerDay:array<struct<DayOfWeek:string,"
+    "Times:array<struct<FromLocalTime:string,ToLocalTime:string>>>>>>"
 )
-MENU_MANIFEST = T.StructType.fromDDL(
+MENU_MANIFEST = (
     "RestaurantId string, ItemsUrl string, ItemDetailsUrl string, Menus array<struct<Id:string>>,"
-    "RestaurantInfo struct<Name:string,TimeZone:string,IsOffline:boolean,"
-    "RestaurantOpeningTimes:array<struct<ServiceType:string,TimesPerDay:array<struct<DayOfWeek:string,"
-    "Times:array<struct<FromLocalTime:string,ToLocalTime:string>>>>>>>"
+    f" RestaurantInfo struct<Name:string,TimeZone:string,IsOffline:boolean,RestaurantOpeningTimes:{OPENING_SERVICES}>"
 )
 
 
