@@ -71,7 +71,7 @@ TABLES = {
     "bans": """SELECT 'k' || CAST(user_id % 2 AS STRING) AS limiter_key, CAST(ts AS TIMESTAMP) AS ban_until FROM {events}
     WHERE event_type = 'error' AND user_id % 2 = 0""",
     "diagnostics": """SELECT event_id AS diagnostic_id, CAST(user_id AS STRING) AS job_id, user_id % 3 AS limiter_key,
-    CAST(ts AS TIMESTAMP) AS event_time, CAST(value * 10 AS BIGINT) AS latency_ms, event_type AS outcome, props FROM {events}""",
+    CAST(ts AS TIMESTAMP) AS event_time, CAST(floor(value * 10) AS BIGINT) AS latency_ms, event_type AS outcome, props FROM {events}""",
     "openings": """SELECT o_orderkey AS page_id, o_orderkey, o_custkey, o_totalprice, o_orderstatus, o_orderdate FROM {orders}""",
 }
 
@@ -101,8 +101,8 @@ def diagnostics(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = domain(spark, sf_dir, "diagnostics")
     k = F.get_json_object("props", "$.k").cast("long") % 10
     start = F.unix_millis("event_time")
-    return base.drop("props").select(
-        "*",
+    return base.select(
+        *[name for name in base.columns if name != "props"],
         F.when(k == 0, 429).when(k == 1, 403).when(k == 2, 503).otherwise(200).cast("long").alias("http_status"),
         start.alias("start_ms"),
         (start + F.col("latency_ms")).alias("finish_ms"),

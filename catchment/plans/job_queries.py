@@ -65,8 +65,8 @@ _NOW = "2024-01-20 12:00:00"
         bool_or(event_type = 'succeeded') AS won FROM d_events GROUP BY job_id),
     b AS (SELECT limiter_key, max(ban_until) AS ban_until FROM d_bans GROUP BY ALL),
     j AS (SELECT t.*, m.job_id AS m_job, m.max_attempts, coalesce(ev.attempts, 0) AS attempts, coalesce(won, FALSE) AS won, ban_until,
-        list_filter([CASE WHEN m.run_id <> t.run_id THEN 'run_id' END, CASE WHEN m.provider <> t.provider THEN 'provider' END,
-        CASE WHEN m.postcode <> lower(replace(t.postcode, ' ', '')) THEN 'postcode' END, CASE WHEN m.planned_window <> t.planned_window THEN 'planned_window' END], x -> x IS NOT NULL) AS mm
+        [x FOR x IN [CASE WHEN m.run_id <> t.run_id THEN 'run_id' END, CASE WHEN m.provider <> t.provider THEN 'provider' END,
+        CASE WHEN m.postcode <> lower(replace(t.postcode, ' ', '')) THEN 'postcode' END, CASE WHEN m.planned_window <> t.planned_window THEN 'planned_window' END] IF x IS NOT NULL] AS mm
         FROM d_tasks t LEFT JOIN lm m ON m.job_id = t.job_id LEFT JOIN ev ON ev.job_id = t.job_id LEFT JOIN b ON b.limiter_key = t.limiter_key),
     r AS (SELECT *, CASE WHEN run_id IS NULL THEN 0 WHEN m_job IS NULL THEN 1 WHEN len(mm) > 0 THEN 2 WHEN won THEN 3 WHEN attempts >= max_attempts THEN 4
         WHEN coalesce(TIMESTAMP '{_NOW}' >= window_end_at, FALSE) THEN 5 WHEN coalesce(ban_until > TIMESTAMP '{_NOW}', FALSE) THEN 6 ELSE 7 END AS d FROM j)

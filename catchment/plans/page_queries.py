@@ -121,7 +121,7 @@ _WORDS = ("track(", "CHARSET", "</article>", 'href="/THE', "vertical")
     "keyword_snippets",
     f"""WITH p AS (SELECT page_id, html, pattern, string_split_regex(html, '(?i)\\Q' || pattern || '\\E') AS parts FROM pages, (VALUES {", ".join(f"('{word}')" for word in _WORDS)}) v(pattern)),
     h AS (SELECT *, unnest(range(1, len(parts))) AS i FROM p),
-    q AS (SELECT page_id, html, pattern, CAST(list_sum(list_transform(parts[1:i], x -> length(x))) + (i - 1) * length(pattern) AS BIGINT) AS position FROM h),
+    q AS (SELECT page_id, html, pattern, CAST(list_sum([length(x) FOR x IN parts[1:i]]) + (i - 1) * length(pattern) AS BIGINT) AS position FROM h),
     b AS (SELECT *, greatest(position - 350, 0) AS first FROM q)
     SELECT page_id, pattern, position, {clean_sql('substring(html, first + 1, position + length(pattern) + 650 - first)')} AS snippet FROM b""",
 )
@@ -140,7 +140,7 @@ def interesting_pages(spark, sf_dir):
 
 _HOST = r"regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1)"
 _PATH = r"regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)', 1)"
-_KEYS = r"array_to_string(list_transform(list_filter(string_split(regexp_extract(url, '^[^?#]*\?([^#]*)', 1), '&'), x -> regexp_matches(x, '^[^=]*=.')), x -> string_split(x, '=')[1]), ',')"
+_KEYS = r"array_to_string([string_split(x, '=')[1] FOR x IN string_split(regexp_extract(url, '^[^?#]*\?([^#]*)', 1), '&') IF regexp_matches(x, '^[^=]*=.')], ',')"
 
 
 @query("url_parts", f"SELECT page_id, {_HOST} AS host, {_PATH} AS path, {_KEYS} AS query_keys, string_split(url, '/')[-1] AS last_part FROM pages")
@@ -156,7 +156,7 @@ def url_parts(spark, sf_dir):
 RESPONSES_SQL = """r AS (SELECT 'e' || event_id AS response_id, CASE WHEN event_type = 'purchase' THEN 'POST' ELSE 'GET' END AS method, 'application/json' AS content_type,
     'https://api.example.com/' || event_type || '/' || (user_id % 40) || '?page=' || (event_id % 9) || '&blank=&q=a%20b' AS url,
     CASE WHEN event_type = 'purchase' THEN ' body  ' || (event_id % 5) END AS post_data,
-    '{"type":"' || event_type || '","list":[' || array_to_string(list_transform(range(1, 2 + user_id % 8), n -> '{"name":"N' || n || '","rating":' || value || '}'), ',') || '],"more":{"k":[1,2,' || user_id || ']}}' AS body,
+    '{"type":"' || event_type || '","list":[' || array_to_string(['{"name":"N' || n || '","rating":' || value || '}' FOR n IN range(1, 2 + user_id % 8)], ',') || '],"more":{"k":[1,2,' || user_id || ']}}' AS body,
     ts AS arrived_at, 1 + user_id % 8 AS n, event_type, value FROM events
     UNION ALL SELECT 'p' || page_id, 'GET', 'text/html', url, NULL, html, make_timestamp(page_id * 1000000), NULL, NULL, NULL FROM pages),
     f AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY method, url, coalesce(post_data, '') ORDER BY arrived_at, response_id) = 1)"""
@@ -216,7 +216,7 @@ def json_top_lists(spark, sf_dir):
 @query(
     "json_keyword_paths",
     f"""WITH {RESPONSES_SQL} SELECT response_id, '$.list' AS path, 'list' AS kind, n AS size,
-        '[' || array_to_string(list_transform(range(1, 1 + least(n, 3)), i -> '{{"name": "N' || i || '", "rating": ' || value || '}}'), ', ') || ']' AS sample, NULL AS error {_EVENTS}
+        '[' || array_to_string(['{{"name": "N' || i || '", "rating": ' || value || '}}' FOR i IN range(1, 1 + least(n, 3))], ', ') || ']' AS sample, NULL AS error {_EVENTS}
     UNION ALL SELECT response_id, '$.list', 'list', n, {_FIRST}, NULL {_EVENTS} AND n >= 5
     UNION ALL SELECT response_id, '$.type', 'str', 4, '"view"', NULL {_EVENTS} AND event_type = 'view'""",
 )
