@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from catchment.functions.clock import crosses_midnight, window_expired
 from catchment.functions.ids import key_of, uuid5
+from catchment.functions.rows import open_array
 from catchment.functions.text import clean_postcode
 from catchment.sources.schemas import MENU_MANIFEST, OPENING_SERVICES, missing_required
 
@@ -242,13 +243,11 @@ def opening_times(tasks: DataFrame, manifests: DataFrame) -> DataFrame:
     joined = tasks.select("task_id", "run_id", "restaurant_id", "restaurant_unique_name").join(
         manifests.select("task_id", "fetched_at", F.from_json("body", MENU_MANIFEST).alias("doc")), "task_id"
     )
-    services = joined.select(
-        "task_id", "run_id", "restaurant_id", "restaurant_unique_name", "fetched_at",
-        F.col("doc.RestaurantInfo.TimeZone").alias("timezone"),
-        F.posexplode("doc.RestaurantInfo.RestaurantOpeningTimes").alias("service_at", "service"),
-    )
-    days = services.select("*", F.posexplode("service.TimesPerDay").alias("day_at", "day"))
-    times = days.select("*", F.posexplode("day.Times").alias("time_at", "time"))
+    head = ["task_id", "run_id", "restaurant_id", "restaurant_unique_name", "fetched_at"]
+    zone = F.col("doc.RestaurantInfo.TimeZone").alias("timezone")
+    services = open_array(joined, [*head, zone], "doc.RestaurantInfo.RestaurantOpeningTimes", "service", "service_at")
+    days = open_array(services, ["*"], "service.TimesPerDay", "day", "day_at")
+    times = open_array(days, ["*"], "day.Times", "time", "time_at")
     opens, closes = F.col("time.FromLocalTime"), F.col("time.ToLocalTime")
     return times.select(
         uuid5(key_of(F.lit("opening-time"), F.col("task_id"), F.col("fetched_at"), F.col("service_at"), F.col("day_at"), F.col("time_at"))).alias("opening_time_id"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catchment.functions.ids import key_of, uuid5
+from catchment.functions.rows import open_array
 from catchment.functions.text import (
     blank_to_null,
     clean_text,
@@ -23,7 +24,7 @@ DEFAULT_BASE_URL = "https://listings.example"
 
 def restaurants_of(raw: DataFrame, keep: list[str]) -> DataFrame:
     """One row per listed restaurant: the kept columns, `position` and `restaurant`."""
-    return raw.select(*keep, F.posexplode("response.restaurants").alias("position", "restaurant"))
+    return open_array(raw, keep, "response.restaurants", "restaurant", "position")
 
 
 def is_open_now(restaurant: Column) -> Column:
@@ -66,11 +67,8 @@ def listing_fields(
 
 def listing_rows(raw: DataFrame, keep: tuple[str, ...] = PROVENANCE, open_only: bool = False, base_url: str = DEFAULT_BASE_URL, id_name: str = "ListingId") -> DataFrame:
     """Normalised rows of every listed restaurant, stamped with the kept envelope columns."""
-    staged = raw.select(
-        *keep,
-        F.col("response.filters.groceries.restaurantIds").alias("_grocery_ids"),
-        F.explode("response.restaurants").alias("_restaurant"),
-    )
+    grocery_ids = F.col("response.filters.groceries.restaurantIds").alias("_grocery_ids")
+    staged = open_array(raw, [*keep, grocery_ids], "response.restaurants", "_restaurant")
     if open_only:
         staged = staged.filter(is_open_now(F.col("_restaurant")))
     return staged.select(*keep, *listing_fields(F.col("_restaurant"), F.col("_grocery_ids"), base_url, id_name))

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from catchment.functions.rows import open_array
+
 STATE_SCRIPT = r"""(?is)<script(?=[^>]*\bid=["']?__NEXT_DATA__["'\s>])[^>]*>(.*?)</script>"""
 DEFAULT_CDN = "https://menus.example"
 
@@ -100,9 +102,9 @@ def joined_ids(variations: Column, field: str) -> Column:
 
 def menu_positions(state: DataFrame) -> DataFrame:
     """One row per (menu, category, item position), positions from zero."""
-    menus = state.select("page_id", "restaurant_id", "restaurant_name", F.posexplode("menus").alias("menu_index", "menu"))
-    categories = menus.select("*", F.posexplode("menu.categories").alias("category_index", "category"))
-    positions = categories.select("*", F.posexplode("category.itemIds").alias("position_in_category", "item_key"))
+    menus = open_array(state, ["page_id", "restaurant_id", "restaurant_name"], "menus", "menu", "menu_index")
+    categories = open_array(menus, ["*"], "menu.categories", "category", "category_index")
+    positions = open_array(categories, ["*"], "category.itemIds", "item_key", "position_in_category")
     return positions.select(
         "page_id",
         "restaurant_id",
@@ -120,7 +122,7 @@ def menu_positions(state: DataFrame) -> DataFrame:
 
 def item_rows(state: DataFrame) -> DataFrame:
     """Item columns per (page, item id); of repeated ids the last one counts."""
-    items = state.select("page_id", F.posexplode(item_list(state)).alias("at", "item"))
+    items = open_array(state, ["page_id"], item_list(state), "item", "at")
     item = F.col("item")
     variations = item["Variations"]
     prices = F.filter(F.transform(variations["BasePrice"], lambda price: price.try_cast("double")), lambda price: price.isNotNull())
@@ -163,9 +165,9 @@ def missing_items(state: DataFrame) -> DataFrame:
 
 def menu_modifiers(state: DataFrame) -> DataFrame:
     """One row per modifier of each group; an unknown modifier keeps its row with blank columns."""
-    groups = state.select("page_id", "restaurant_id", "restaurant_name", F.explode("details.ModifierGroups").alias("group"))
-    entries = groups.select("*", F.posexplode("group.Modifiers").alias("position_in_group", "modifier_set_id"))
-    sets = state.select("page_id", F.posexplode("details.ModifierSets").alias("at", "set")).groupBy(
+    groups = open_array(state, ["page_id", "restaurant_id", "restaurant_name"], "details.ModifierGroups", "group")
+    entries = open_array(groups, ["*"], "group.Modifiers", "modifier_set_id", "position_in_group")
+    sets = open_array(state, ["page_id"], "details.ModifierSets", "set", "at").groupBy(
         "page_id", F.coalesce("set.Id", F.lit("None")).alias("modifier_set_id")
     ).agg(F.max_by("set.Modifier", "at").alias("modifier"))
     joined = entries.join(sets, ["page_id", "modifier_set_id"], "left")
@@ -193,12 +195,12 @@ def menu_modifiers(state: DataFrame) -> DataFrame:
 
 def menu_deals(state: DataFrame) -> DataFrame:
     """One row per deal variation; modifier ids stay in document order."""
-    groups = state.select("page_id", "restaurant_id", "restaurant_name", F.explode("details.DealGroups").alias("group"))
-    entries = groups.select("*", F.posexplode("group.DealItemVariations").alias("position_in_group", "entry")).withColumn(
+    groups = open_array(state, ["page_id", "restaurant_id", "restaurant_name"], "details.DealGroups", "group")
+    entries = open_array(groups, ["*"], "group.DealItemVariations", "entry", "position_in_group").withColumn(
         "deal_item_variation_id", text_or_blank(F.col("entry.DealItemVariationId"))
     )
-    items = state.select("page_id", F.posexplode(item_list(state)).alias("item_at", "item"))
-    variations = items.select("page_id", "item_at", "item.Id", "item.Name", F.posexplode("item.Variations").alias("at", "variation"))
+    items = open_array(state, ["page_id"], item_list(state), "item", "item_at")
+    variations = open_array(items, ["page_id", "item_at", "item.Id", "item.Name"], "item.Variations", "variation", "at")
     index = variations.groupBy("page_id", F.coalesce("variation.Id", F.lit("None")).alias("deal_item_variation_id")).agg(
         F.max_by(F.struct("Id", "Name", "variation"), F.struct("item_at", "at")).alias("known")
     )

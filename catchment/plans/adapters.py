@@ -96,6 +96,12 @@ def cte(*names: str) -> str:
     return "WITH " + ",\n".join(parts)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows out over the cores where a small table comes as fewer splits than cores; large ones stay as read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def diagnostics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request diagnostics with millisecond clocks and a status out of the event's properties."""
     base = domain(spark, sf_dir, "diagnostics")
@@ -168,8 +174,8 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("listing").alias("provider"),
         e("'pc' || l_suppkey").alias("postcode"),
         e(WINDOW_OF_LINE).alias("planned_window"),
-        e("date_format(l_shipdate, \"yyyy-MM-dd'T'07:00:00\")").alias("scheduled_at"),
-        e("date_format(l_shipdate, \"yyyy-MM-dd'T'08:00:00\")").alias("captured_at"),
+        e("date_format(l_shipdate, \"yyyy-'01-01T'07:00:00\")").alias("scheduled_at"),
+        e("date_format(l_shipdate, \"yyyy-'01-01T'08:00:00\")").alias("captured_at"),
         F.struct(
             F.struct(F.struct(e("array(CASE WHEN l_quantity < 25 THEN CAST(l_partkey AS STRING) END, 'zzz')").alias("restaurantIds")).alias("groceries")).alias("filters"),
             F.array().alias("restaurants"),
@@ -177,7 +183,7 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # The two outlets differ in shape, so they are spliced in as text.
     whole = F.to_json(document)
-    lines = driver_table(spark, sf_dir, "lineitem")
+    lines = spread(driver_table(spark, sf_dir, "lineitem"))
     outlets = F.concat(F.lit('"restaurants":['), F.to_json(first), F.lit(","), F.to_json(second), F.lit("]"))
     head = F.substring_index(whole, '"restaurants":', 1)
     return lines.select(F.concat(head, outlets, F.lit("}}")).alias("value"), e(f"'raw/' || {_LINE_KEY}").alias("raw_uri"))
@@ -186,7 +192,7 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def menu_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Saved menu pages, one per part, and their item and detail documents."""
     e = F.expr
-    part = driver_table(spark, sf_dir, "part")
+    part = spread(driver_table(spark, sf_dir, "part"))
     item = "named_struct('Id', 'i' || i, 'Name', 'Item ' || i, 'Description', CASE WHEN i % 2 = 0 THEN 'Tasty' END, 'Type', 'food', 'Labels', array('L' || i, 'x'), 'Variations', array(named_struct('Id', 'v' || i, 'Name', 'Var ' || i, 'BasePrice', p_retailprice + i, 'ModifierGroupsIds', array('g2', 'g1'), 'DealGroupsIds', array('d1')), named_struct('Id', 'w' || i, 'Name', 'Big ' || i, 'BasePrice', p_retailprice + i + 2, 'ModifierGroupsIds', array('g1'), 'DealGroupsIds', CAST(NULL AS array<string>))), 'EnergyContent', named_struct('EnergyDisplay', i || ' kcal'), 'EnergyUnits', 'kcal', 'ImageSources', array(named_struct('Path', 'img/' || i)), 'Restrictions', array(named_struct('z', i, 'a', 'age')))"
     state = F.struct(
         e("p_partkey").alias("restaurantId"),
@@ -227,7 +233,7 @@ def manifest_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     """Menu tasks, one per order, and a fetch log with up to two attempts each."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     e = F.expr
-    orders = driver_table(spark, sf_dir, "orders")
+    orders = spread(driver_table(spark, sf_dir, "orders"))
     tasks = orders.select(
         e("CAST(o_orderkey AS STRING)").alias("task_id"),
         F.lit("run-1").alias("run_id"),
@@ -279,7 +285,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Saved responses: one JSON body per event, repeated addresses, and the saved pages as HTML bodies."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     e = F.expr
-    events = driver_table(spark, sf_dir, "events").select(
+    events = spread(driver_table(spark, sf_dir, "events")).select(
         e("'e' || event_id").alias("response_id"),
         e("CASE WHEN event_type = 'purchase' THEN 'POST' ELSE 'GET' END").alias("method"),
         F.lit(200).cast("long").alias("status"),

@@ -181,7 +181,7 @@ def postcode_union(spark, sf_dir):
 
 _K = LINE_KEY
 LISTING_SQL = f"""a AS (SELECT l.*, 's-' || {_K} AS snapshot_id, 'j-' || {_K} AS job_id, 'listing' AS provider, 'pc' || CAST(l_suppkey AS STRING) AS postcode,
-    {WINDOW_OF_LINE} AS planned_window, strftime(l_shipdate, '%Y-%m-%dT07:00:00') AS scheduled_at, strftime(l_shipdate, '%Y-%m-%dT08:00:00') AS captured_at,
+    {WINDOW_OF_LINE} AS planned_window, strftime(l_shipdate, '%Y-01-01T07:00:00') AS scheduled_at, strftime(l_shipdate, '%Y-01-01T08:00:00') AS captured_at,
     CAST(l_partkey AS STRING) AS pid, CAST(l_suppkey AS STRING) AS sid, CAST(l_linenumber AS STRING) AS ln FROM lineitem l)"""
 _STAMP = "snapshot_id, job_id, provider, postcode, planned_window, scheduled_at, captured_at"
 _FIRST_ROW = f"""SELECT {_STAMP}, 'Outlet ' || pid AS Name, l_quantity / 10 AS Rating, l_suppkey AS ReviewCount,

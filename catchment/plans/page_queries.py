@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catchment.functions.text import url_host, url_path, url_query_keys
 from catchment.operators import menu, profiling
-from catchment.plans.adapters import driver_table, menu_pages, responses
+from catchment.plans.adapters import driver_table, menu_pages, responses, spread
 from catchment.plans.registry import query
 
 # ---- menus. The SQL twins spell out the documents' content per part.
@@ -111,7 +111,7 @@ def clean_sql(expression: str) -> str:
     NULL AS json_keys, {clean_sql('left(body, 1200)')} AS sample FROM s WHERE {clean_sql('left(body, 1200)')} <> ''""",
 )
 def script_inventory(spark, sf_dir):
-    return profiling.script_inventory(driver_table(spark, sf_dir, "pages"))
+    return profiling.script_inventory(spread(driver_table(spark, sf_dir, "pages")))
 
 
 _WORDS = ("track(", "CHARSET", "</article>", 'href="/THE', "vertical")
@@ -126,7 +126,7 @@ _WORDS = ("track(", "CHARSET", "</article>", 'href="/THE', "vertical")
     SELECT page_id, pattern, position, {clean_sql('substring(html, first + 1, position + length(pattern) + 650 - first)')} AS snippet FROM b""",
 )
 def keyword_snippets(spark, sf_dir):
-    return profiling.keyword_snippets(driver_table(spark, sf_dir, "pages"), "html", _WORDS)
+    return profiling.keyword_snippets(spread(driver_table(spark, sf_dir, "pages")), "html", _WORDS)
 
 
 @query(
