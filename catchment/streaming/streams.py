@@ -87,8 +87,8 @@ def stream_circuit(
 ) -> StreamingQuery:
     """Flag requests that start while their key's ban is open, across micro-batches.
 
-    The state is one row per key, its latest 429 finish, written per batch; a repeated batch reads the same earlier
-    state and overwrites its own folders. Rows must arrive in order of start across batches.
+    The state holds the 429 finishes of the last two ban lengths per key, written per batch; a repeated batch reads
+    the same earlier state and overwrites its own folders. Rows may come late by up to one ban length.
     """
     spark = diagnostics.sparkSession
     shape = T.StructType([T.StructField(key, T.StringType()), T.StructField("finish_ms", T.LongType())])
@@ -101,8 +101,10 @@ def stream_circuit(
         flagged = ban_audit(rows, key=key, ban_seconds=ban_seconds, prior=prior)
         flagged.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
         seen = rows.filter(F.col("http_status") == 429).select(key, F.col("finish_ms").cast("long").alias("finish_ms"))
-        latest = prior.unionByName(seen).groupBy(key).agg(F.max("finish_ms").alias("finish_ms"))
-        latest.write.mode("overwrite").parquet(f"{state}/batch_id={batch_id}")
+        known = prior.unionByName(seen).distinct()
+        newest = known.groupBy(key).agg(F.max("finish_ms").alias("newest_ms"))
+        recent = known.join(newest, key).filter(F.col("finish_ms") > F.col("newest_ms") - F.lit(2000 * ban_seconds))
+        recent.select(key, "finish_ms").write.mode("overwrite").parquet(f"{state}/batch_id={batch_id}")
 
     writer = diagnostics.writeStream.foreachBatch(audit).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if now else writer).start()
