@@ -105,7 +105,9 @@ def admission(tasks: DataFrame, manifest: DataFrame, events: DataFrame, bans: Da
         F.col("job_id"), *[F.col(name).alias(f"m_{name}") for name in fields], F.col("max_attempts"), F.lit(True).alias("in_manifest")
     )
     open_bans = bans.groupBy("limiter_key").agg(F.max("ban_until").alias("ban_until"))
-    joined = checked.join(known, "job_id", "left").join(event_facts(events), "job_id", "left").join(open_bans, "limiter_key", "left")
+    # Both fact tables have one row per job; joined first, they leave the tasks, which may repeat a job, one join to split.
+    facts = known.join(event_facts(events), "job_id", "full")
+    joined = checked.join(facts, "job_id", "left").join(open_bans, "limiter_key", "left")
     mismatches = identity_mismatches(
         {name: F.col(f"m_{name}") for name in fields}, {name: F.col(name) for name in fields}
     )
@@ -149,40 +151,51 @@ def menu_pending(tasks: DataFrame, results: DataFrame) -> DataFrame:
     return tasks.join(done, "task_id", "left_anti")
 
 
+# Where a manifest is looked for, in this order.
+MANIFEST_SOURCES = ("original", "v2_2")
+
+
 def manifest_attempts(attempts: DataFrame) -> DataFrame:
-    """Per task, the fetch that counts out of a saved attempt log (task_id, attempt, source, url, status, ..., body).
+    """Per task, the fetch that counts out of a saved attempt log (task_id, source, url, status, ..., body).
 
-    The first good response wins; the trail names the failed attempts before it. A task whose attempts all failed
-    keeps the last one.
+    The first source with a good response wins; the trail names the failed sources before it. A task without a good
+    response keeps the last source. One grouping with a slot per source: nothing is gathered per task.
     """
     ok = (F.col("status") == 200) & F.col("body").isNotNull()
-    trail = F.when(~ok, F.concat(F.col("source"), F.lit(":"), F.coalesce(F.col("status").cast("string"), F.lit("error"))))
     row = F.struct("source", "url", "status", "latency_ms", "finished_at", "body")
-    # A task has at most two candidate addresses, so the trail stays short; repeats are dropped before it is gathered.
-    distinct = attempts.withColumn("ok", ok).withColumn("trail", trail)
-    distinct = distinct.groupBy("task_id", "attempt").agg(
-        F.max_by(F.struct("ok", "trail", row.alias("row")), F.struct("ok", "finished_at", "url")).alias("best")
-    )
-    folded = distinct.groupBy("task_id").agg(
-        F.min_by("best.row", F.when(F.col("best.ok"), F.col("attempt"))).alias("good"),
-        F.min(F.when(F.col("best.ok"), F.col("attempt"))).alias("good_attempt"),
-        F.max_by("best.row", "attempt").alias("last"),
-        F.array_sort(F.collect_list(F.when(~F.col("best.ok"), F.struct("attempt", F.col("best.trail").alias("trail"))))).alias("failed"),
+    slots = [
+        F.max_by(
+            F.struct(F.coalesce(ok, F.lit(False)).alias("ok"), row.alias("row")),
+            F.when(F.col("source") == source, F.struct(F.coalesce(ok, F.lit(False)), "finished_at", "url")),
+        ).alias(source)
+        for source in MANIFEST_SOURCES
+    ]
+    folded = attempts.filter(F.col("source").isin(list(MANIFEST_SOURCES))).groupBy("task_id").agg(*slots)
+    won, good, trail = F.lit(False), F.lit(None), []
+    for source in MANIFEST_SOURCES:
+        slot = F.col(source)
+        status = F.coalesce(slot["row"]["status"].cast("string"), F.lit("error"))
+        trail.append(F.when(~won & ~slot["ok"], F.concat(F.lit(f"{source}:"), status)))
+        good = F.when(~won & slot["ok"], slot["row"]).otherwise(good)
+        won = won | F.coalesce(slot["ok"], F.lit(False))
+    last = F.coalesce(*[F.col(source)["row"] for source in reversed(MANIFEST_SOURCES)])
+    shown = folded.select(
+        "task_id",
+        won.alias("won"),
+        F.when(won, good).otherwise(last).alias("chosen"),
+        F.array_join(F.array_compact(F.array(*trail)), "; ").alias("attempt_errors"),
     )
-    succeeded = F.col("good_attempt").isNotNull()
-    before = F.filter("failed", lambda item: ~succeeded | (item["attempt"] < F.col("good_attempt")))
-    chosen = F.when(succeeded, F.col("good")).otherwise(F.col("last"))
-    return folded.select(
+    return shown.select(
         "task_id",
-        F.when(succeeded, F.col("good.source")).alias("manifest_source"),
-        chosen["url"].alias("manifest_url"),
-        chosen["status"].cast("long").alias("http_status"),
-        chosen["latency_ms"].cast("long").alias("latency_ms"),
-        F.when(succeeded, F.col("good.source") != "original").otherwise(F.lit(True)).alias("fallback_used"),
-        chosen["finished_at"].alias("fetched_at"),
-        F.when(succeeded, "succeeded").otherwise("failed").alias("outcome"),
-        F.array_join(before["trail"], "; ").alias("attempt_errors"),
-        F.when(succeeded, F.col("good.body")).alias("body"),
+        F.when(F.col("won"), F.col("chosen.source")).alias("manifest_source"),
+        F.col("chosen.url").alias("manifest_url"),
+        F.col("chosen.status").cast("long").alias("http_status"),
+        F.col("chosen.latency_ms").cast("long").alias("latency_ms"),
+        F.when(F.col("won"), F.col("chosen.source") != MANIFEST_SOURCES[0]).otherwise(F.lit(True)).alias("fallback_used"),
+        F.col("chosen.finished_at").alias("fetched_at"),
+        F.when(F.col("won"), "succeeded").otherwise("failed").alias("outcome"),
+        "attempt_errors",
+        F.when(F.col("won"), F.col("chosen.body")).alias("body"),
     )
 
 

@@ -26,23 +26,37 @@ def split_runs(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     return pin(df.repartitionByRange(*[F.col(key) for key in keys], *sort).withColumn(RUN, F.spark_partition_id()))
 
 
-def running(runs: DataFrame, keys: list[str], order: list, values: dict[str, tuple[str, Column]], inclusive: bool = True) -> DataFrame:
+def running(
+    runs: DataFrame,
+    keys: list[str],
+    order: list,
+    values: dict[str, tuple[str, Column]],
+    inclusive: bool = True,
+    overall: dict[str, tuple[str, Column]] | None = None,
+) -> DataFrame:
     """Add running values to pinned runs: name -> (sum|count|max|min, column).
 
-    Inclusive values cover the row itself, exclusive ones only the rows before it.
+    Inclusive values cover the row itself, exclusive ones only the rows before it. `overall` values cover the whole
+    key; they come with the carried totals, so a hot key is not joined by its key alone.
     """
+    overall = overall or {}
     sort = [F.col(item) if isinstance(item, str) else item for item in order]
     inputs = {f"_in_{name}": (F.when(value.isNotNull(), 1).otherwise(0) if kind == "count" else value) for name, (kind, value) in values.items()}
     staged = runs.withColumns(inputs)
     end = 0 if inclusive else -1
     within = Window.partitionBy(RUN, *keys).orderBy(*sort).rowsBetween(Window.unboundedPreceding, end)
     local = staged.withColumns({f"_at_{name}": _FOLD[kind](f"_in_{name}").over(within) for name, (kind, _) in values.items()})
-    totals = staged.groupBy(RUN, *keys).agg(*[_FOLD[kind](f"_in_{name}").alias(f"_tot_{name}") for name, (kind, _) in values.items()])
+    totals = staged.groupBy(RUN, *keys).agg(
+        *[_FOLD[kind](f"_in_{name}").alias(f"_tot_{name}") for name, (kind, _) in values.items()],
+        *[_FOLD[kind](value).alias(f"_all_{name}") for name, (kind, value) in overall.items()],
+    )
+    whole = Window.partitionBy(*keys)
     before = Window.partitionBy(*keys).orderBy(RUN).rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(
         F.col(RUN).alias("_c_run"),
         *[F.col(key).alias(f"_c_{key}") for key in keys],
         *[_FOLD[kind](f"_tot_{name}").over(before).alias(f"_carry_{name}") for name, (kind, _) in values.items()],
+        *[_FOLD[kind](f"_all_{name}").over(whole).alias(name) for name, (kind, _) in overall.items()],
     )
     match = F.col(RUN) == F.col("_c_run")
     for key in keys:
@@ -59,7 +73,7 @@ def running(runs: DataFrame, keys: list[str], order: list, values: dict[str, tup
         else:
             results[name] = F.least(at, carry)
     kept = [name for name in runs.columns if name not in results]
-    return joined.select(*kept, *[value.alias(name) for name, value in results.items()])
+    return joined.select(*kept, *[value.alias(name) for name, value in results.items()], *overall)
 
 
 def global_ordinal(df: DataFrame, order: list, name: str = "ordinal") -> DataFrame:
@@ -88,13 +102,8 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, points: dict[s
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     runs = split_runs(counted, keys, ["_value"])
-    placed = running(runs, keys, ["_value"], {"_to": ("sum", F.col("_n"))})
-    totals = runs.groupBy(*keys).agg(F.sum("_n").alias("n"), F.min("_value").alias("min"), F.max("_value").alias("max"))
-    totals = totals.select(*[F.col(key).alias(f"_t_{key}") for key in keys], "n", "min", "max")
-    match = F.lit(True)
-    for key in keys:
-        match = match & F.col(key).eqNullSafe(F.col(f"_t_{key}"))
-    ranked = placed.join(totals, match)
+    overall = {"n": ("sum", F.col("_n")), "min": ("min", F.col("_value")), "max": ("max", F.col("_value"))}
+    ranked = running(runs, keys, ["_value"], {"_to": ("sum", F.col("_n"))}, overall=overall)
     first, last = F.col("_to") - F.col("_n"), F.col("_to") - 1
 
     def value_at(position: Column) -> Column:
