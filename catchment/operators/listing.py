@@ -149,27 +149,37 @@ def new_profiles(profiles: DataFrame, existing: DataFrame) -> DataFrame:
     return profiles.join(existing.select("restaurant_id"), "restaurant_id", "left_anti")
 
 
-def backfill_stats(raw: DataFrame, existing: DataFrame, document: tuple[str, ...] = ("raw_uri",)) -> DataFrame:
-    """Counters of a backfill: coverage rows, profiles before and after de-duplication, skipped, known and new."""
-    keyed = restaurants_of(raw, list(document)).select(
-        *document, restaurant_key(F.col("restaurant")).alias("restaurant_id")
+def backfill_stats(raw: DataFrame, existing: DataFrame) -> DataFrame:
+    """Counters of a backfill: coverage rows, profiles before and after de-duplication, skipped, known and new.
+
+    A document's own counts are taken in its row, so only its distinct restaurants go on to be grouped.
+    """
+    keys = F.coalesce(F.transform("response.restaurants", restaurant_key), F.array().cast("array<string>"))
+    named = F.array_compact(keys)
+    counted = raw.select(
+        F.size(named).alias("named"), (F.size(keys) - F.size(named)).alias("nameless"), F.array_distinct(named).alias("ids")
     )
-    # Per (restaurant, document) first, so the distinct counts become plain sums.
-    per_document = keyed.groupBy("restaurant_id", *document).agg(F.count(F.lit(1)).alias("rows"))
-    per_restaurant = per_document.groupBy("restaurant_id").agg(
-        F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("documents")
+    opened = counted.select("named", "nameless", F.posexplode_outer("ids").alias("at", "restaurant_id"))
+    once = F.coalesce(F.col("at"), F.lit(0)) == 0
+    per_restaurant = opened.groupBy("restaurant_id").agg(
+        F.count("restaurant_id").alias("documents"),
+        F.sum(F.when(once, F.col("named")).otherwise(0)).alias("named"),
+        F.sum(F.when(once, F.col("nameless")).otherwise(0)).alias("nameless"),
     )
     known = existing.select("restaurant_id").distinct().withColumn("known", F.lit(True))
-    named = F.col("restaurant_id").isNotNull()
     joined = per_restaurant.join(known, "restaurant_id", "left")
-    zero = F.lit(0).cast("long")
+    has_id, is_known = F.col("restaurant_id").isNotNull(), F.coalesce(F.col("known"), F.lit(False))
+
+    def total(name: str) -> Column:
+        return F.coalesce(F.sum(name), F.lit(0).cast("long"))
+
     return joined.agg(
-        F.coalesce(F.sum(F.when(named, F.col("rows"))), zero).alias("map_rows"),
-        F.coalesce(F.sum(F.when(named, F.col("documents"))), zero).alias("profiles_seen"),
-        F.count_if(named).alias("profiles_unique"),
-        F.coalesce(F.sum(F.when(~named, F.col("rows"))), zero).alias("skipped_without_id"),
-        F.count_if(named & F.coalesce(F.col("known"), F.lit(False))).alias("profiles_existing"),
-        F.count_if(named & ~F.coalesce(F.col("known"), F.lit(False))).alias("profiles_new"),
+        total("named").alias("map_rows"),
+        total("documents").alias("profiles_seen"),
+        F.count_if(has_id).alias("profiles_unique"),
+        total("nameless").alias("skipped_without_id"),
+        F.count_if(has_id & is_known).alias("profiles_existing"),
+        F.count_if(has_id & ~is_known).alias("profiles_new"),
     )
 
 

@@ -11,7 +11,7 @@ from catchment.operators import grocery, listing
 from catchment.plans.adapters import LINE_KEY, TAGS, WINDOW_OF_LINE, cte, domain, driver_table, envelopes
 from catchment.plans.registry import query, scratch_dir, sql_time, time_text
 from catchment.sources import readers, writers
-from catchment.sources.schemas import COVERAGE, PROFILE, SNAPSHOTS, conform_to_schema
+from catchment.sources.schemas import COVERAGE, ENVELOPE_KEYS, PROFILE, SNAPSHOTS, conform_to_schema
 
 TAG_LIST = ", ".join(f"'{tag}'" for tag in TAGS)
 
@@ -281,15 +281,15 @@ def profile_new_rows(spark, sf_dir):
 @query(
     "backfill_stats",
     f"""WITH {LISTING_SQL}, {_KEYED}, known AS (SELECT CAST(p_partkey AS STRING) AS id FROM part WHERE p_size > 25),
-    named AS (SELECT *, 'raw/' || {_K} AS raw_uri FROM k WHERE restaurant_id IS NOT NULL)
-    SELECT (SELECT count(*) FROM named) AS map_rows, (SELECT count(DISTINCT (restaurant_id, raw_uri)) FROM named) AS profiles_seen,
+    named AS (SELECT * FROM k WHERE restaurant_id IS NOT NULL)
+    SELECT (SELECT count(*) FROM named) AS map_rows, (SELECT count(*) FROM named) AS profiles_seen,
     (SELECT count(DISTINCT restaurant_id) FROM named) AS profiles_unique, (SELECT count(*) FROM k WHERE restaurant_id IS NULL) AS skipped_without_id,
     (SELECT count(DISTINCT restaurant_id) FROM named WHERE restaurant_id IN (SELECT id FROM known)) AS profiles_existing,
     (SELECT count(DISTINCT restaurant_id) FROM named WHERE restaurant_id NOT IN (SELECT id FROM known)) AS profiles_new""",
 )
 def backfill_stats(spark, sf_dir):
     known = driver_table(spark, sf_dir, "part").filter("p_size > 25").selectExpr("CAST(p_partkey AS STRING) AS restaurant_id")
-    return listing.backfill_stats(_raw(spark, sf_dir), known)
+    return listing.backfill_stats(readers.parse_envelopes(envelopes(spark, sf_dir), schema=ENVELOPE_KEYS), known)
 
 
 @query(

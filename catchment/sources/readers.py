@@ -127,9 +127,9 @@ def read_window_config(spark: SparkSession, path_or_json: str | dict, tags: Iter
     return window_config_rows(payload, tags)
 
 
-def parse_envelopes(raw: DataFrame, text: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Typed envelope columns out of JSON text; unreadable text raises."""
-    parsed = raw.select(*keep, F.from_json(F.col(text), ENVELOPE, {"mode": "FAILFAST"}).alias("envelope"))
+def parse_envelopes(raw: DataFrame, text: str = "value", keep: tuple[str, ...] = (), schema: str = ENVELOPE) -> DataFrame:
+    """Typed envelope columns out of JSON text; unreadable text raises. A narrower schema parses faster."""
+    parsed = raw.select(*keep, F.from_json(F.col(text), schema, {"mode": "FAILFAST"}).alias("envelope"))
     return parsed.select(*keep, "envelope.*")
 
 

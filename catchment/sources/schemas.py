@@ -119,6 +119,10 @@ ENVELOPE = (
     "snapshot_id string, job_id string, provider string, postcode string, planned_window string, scheduled_at string,"
     f" captured_at string, source_url string, response {LISTING}"
 )
+# The identifying fields only, for counting jobs.
+ENVELOPE_KEYS = (
+    "response struct<restaurants:array<struct<id:string,restaurantId:string,uniqueName:string,seoName:string>>>"
+)
 OPENING_SERVICES = (
     "array<struct<ServiceType:string,TimesPerDay:array<struct<DayOfWeek:string,"
     "Times:array<struct<FromLocalTime:string,ToLocalTime:string>>>>>>"
