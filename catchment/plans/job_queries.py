@@ -118,7 +118,7 @@ def _fetched(spark, sf_dir):
     "manifest_results",
     f"""WITH {_FETCH_SQL} SELECT task_id, 'run-1' AS run_id, cust AS restaurant_id, 'outlet-' || cust AS restaurant_unique_name, {sql_time('o_orderdate')} AS fetched_at,
     CASE WHEN ok1 THEN 'original' WHEN ok THEN 'v2_2' END AS manifest_source, CASE WHEN ok1 THEN 'm/' || cust ELSE 'v2_2/m/' || cust END AS manifest_url,
-    CASE WHEN ok THEN 200 WHEN bad = '404' THEN 404 END AS http_status, CASE WHEN ok1 THEN 100 + o_custkey ELSE 107 + o_custkey END AS latency_ms,
+    CAST(CASE WHEN ok THEN 200 WHEN bad = '404' THEN 404 END AS BIGINT) AS http_status, CASE WHEN ok1 THEN 100 + o_custkey ELSE 107 + o_custkey END AS latency_ms,
     NOT ok1 AS fallback_used, CASE WHEN ok THEN cust END AS manifest_restaurant_id, CASE WHEN ok THEN 'Outlet ' || cust END AS manifest_name,
     CASE WHEN ok THEN 'Europe/London' END AS timezone, CASE WHEN ok THEN o_orderstatus = 'P' END AS is_offline,
     CAST(CASE WHEN ok THEN 2 ELSE 0 END AS BIGINT) AS menu_count, CASE WHEN ok THEN 'items/' || cust END AS items_url, CAST(NULL AS STRING) AS item_details_url,
@@ -193,7 +193,12 @@ def outcome_minutes(spark, sf_dir):
     return outcome_windows(diagnostics(spark, sf_dir)).withColumn("window_start", time_text(F.col("window_start")))
 
 
-_PERCENTILES = ", ".join(f"quantile_cont({{0}}, {q})::DOUBLE AS {name}" for name, q in audit.PERCENTILES.items())
+_PERCENTILES = ", ".join(f"round(quantile_cont({{0}}, {q})::DOUBLE, 3) AS {name}" for name, q in audit.PERCENTILES.items())
+
+
+def _rounded(rows):
+    """Interpolated values to three decimals, where both engines print the same."""
+    return rows.withColumns({name: F.round(name, 3) for name in audit.PERCENTILES})
 
 
 @query(
@@ -201,7 +206,7 @@ _PERCENTILES = ", ".join(f"quantile_cont({{0}}, {q})::DOUBLE AS {name}" for name
     f"{DIAGNOSTICS_SQL} SELECT limiter_key, count(*) AS n, min(latency_ms) AS min, max(latency_ms) AS max, {_PERCENTILES.format('latency_ms')} FROM d GROUP BY ALL",
 )
 def latency_percentiles(spark, sf_dir):
-    return audit.latency_percentiles(diagnostics(spark, sf_dir), ["limiter_key"], "latency_ms")
+    return _rounded(audit.latency_percentiles(diagnostics(spark, sf_dir), ["limiter_key"], "latency_ms"))
 
 
 @query(
@@ -210,7 +215,7 @@ def latency_percentiles(spark, sf_dir):
     SELECT limiter_key, count(gap) AS n, min(gap) AS min, max(gap) AS max, {_PERCENTILES.format('gap')} FROM g WHERE gap IS NOT NULL GROUP BY ALL""",
 )
 def request_gaps(spark, sf_dir):
-    return audit.request_gaps(diagnostics(spark, sf_dir))
+    return _rounded(audit.request_gaps(diagnostics(spark, sf_dir)))
 
 
 @query(

@@ -326,9 +326,9 @@ def reparse_audit(spark, sf_dir):
 
 @query(
     "schema_conform",
-    f"""{cte('snapshots')} SELECT NULL AS snapshot_id, job_id, NULL AS provider, postcode, planned_window, NULL AS scheduled_at,
-    {sql_time('captured_at')} AS captured_at, NULL AS Name, NULL AS Rating, NULL AS ReviewCount, NULL AS Categories, NULL AS DeliveryTime,
-    NULL AS DeliveryFee, NULL AS MinimumOrder, NULL AS Offer, NULL AS Tags, NULL AS Url, NULL AS Vertical, ListingId, NULL AS CuisineIds FROM d_snapshots""",
+    f"""{cte('snapshots')} SELECT CAST(NULL AS STRING) AS snapshot_id, job_id, CAST(NULL AS STRING) AS provider, postcode, planned_window, CAST(NULL AS STRING) AS scheduled_at,
+    {sql_time('captured_at')} AS captured_at, CAST(NULL AS STRING) AS Name, CAST(NULL AS DOUBLE) AS Rating, CAST(NULL AS BIGINT) AS ReviewCount, CAST(NULL AS STRING) AS Categories, CAST(NULL AS STRING) AS DeliveryTime,
+    CAST(NULL AS STRING) AS DeliveryFee, CAST(NULL AS STRING) AS MinimumOrder, CAST(NULL AS STRING) AS Offer, CAST(NULL AS STRING) AS Tags, CAST(NULL AS STRING) AS Url, CAST(NULL AS STRING) AS Vertical, ListingId, CAST(NULL AS STRING) AS CuisineIds FROM d_snapshots""",
 )
 def schema_conform(spark, sf_dir):
     rows = conform_to_schema(domain(spark, sf_dir, "snapshots"), SNAPSHOTS, check_required=False)

@@ -107,8 +107,8 @@ def clean_sql(expression: str) -> str:
 @query(
     "script_inventory",
     f"""WITH s AS (SELECT page_id, unnest(regexp_extract_all(html, '{_SCRIPT}', 2)) AS body, generate_subscripts(regexp_extract_all(html, '{_SCRIPT}', 2), 1) - 1 AS index FROM pages)
-    SELECT page_id, CAST(index AS BIGINT) AS index, NULL AS id, NULL AS type, NULL AS src, length(body) AS text_length, contains(lower({clean_sql('body')}), 'restaurant') AS has_restaurant_sample,
-    NULL AS json_keys, {clean_sql('left(body, 1200)')} AS sample FROM s WHERE {clean_sql('left(body, 1200)')} <> ''""",
+    SELECT page_id, CAST(index AS BIGINT) AS index, CAST(NULL AS STRING) AS id, CAST(NULL AS STRING) AS type, CAST(NULL AS STRING) AS src, length(body) AS text_length, contains(lower({clean_sql('body')}), 'restaurant') AS has_restaurant_sample,
+    CAST(NULL AS STRING) AS json_keys, {clean_sql('left(body, 1200)')} AS sample FROM s WHERE {clean_sql('left(body, 1200)')} <> ''""",
 )
 def script_inventory(spark, sf_dir):
     return profiling.script_inventory(spread(driver_table(spark, sf_dir, "pages")))
@@ -172,7 +172,7 @@ def response_dedupe(spark, sf_dir):
     "response_log",
     f"""WITH {RESPONSES_SQL} SELECT response_id, method, CAST(200 AS BIGINT) AS status, content_type, url, {_HOST} AS url_host, {_PATH} AS url_path, {_KEYS} AS query_keys, {clean_sql('post_data')} AS post_data,
     strlen(body) AS body_bytes, CASE WHEN n IS NOT NULL THEN 'dict' END AS top_level_type, CASE WHEN n IS NOT NULL THEN 'type,list,more' END AS top_level_keys,
-    CASE WHEN n IS NOT NULL THEN '$.list:' || n || '; $.more.k:3' END AS list_lengths, coalesce(n, 0) AS restaurant_like_count, NULL AS error
+    CASE WHEN n IS NOT NULL THEN '$.list:' || n || '; $.more.k:3' END AS list_lengths, coalesce(n, 0) AS restaurant_like_count, CAST(NULL AS STRING) AS error
     FROM f WHERE regexp_matches(lower(url || ' ' || content_type || ' ' || left(body, 1000)), 'restaurant|grocer|delivery|eta|rating|postcode|vertical|search|discovery|places')""",
 )
 def response_log(spark, sf_dir):
@@ -186,7 +186,7 @@ def _bodies(spark, sf_dir):
 @query(
     "json_profile",
     f"""WITH {RESPONSES_SQL} SELECT response_id, 'dict' AS top_level_type, 'type,list,more' AS top_level_keys, '$.list:' || n || '; $.more.k:3' AS list_lengths,
-    n AS restaurant_like_count, NULL AS error {_EVENTS}""",
+    n AS restaurant_like_count, CAST(NULL AS STRING) AS error {_EVENTS}""",
 )
 def json_profile(spark, sf_dir):
     return profiling.json_profile(_bodies(spark, sf_dir), "body", ("response_id",))
@@ -197,7 +197,7 @@ _FIRST = """'{"name": "N1", "rating": ' || value || '}'"""
 
 @query(
     "json_lists",
-    f"""WITH {RESPONSES_SQL} SELECT response_id, '$.list' AS path, n AS length, n AS strong_first_20, 'name,rating' AS first_keys, {_FIRST} AS first_sample, NULL AS error {_EVENTS} AND n >= 5""",
+    f"""WITH {RESPONSES_SQL} SELECT response_id, '$.list' AS path, n AS length, n AS strong_first_20, 'name,rating' AS first_keys, {_FIRST} AS first_sample, CAST(NULL AS STRING) AS error {_EVENTS} AND n >= 5""",
 )
 def json_lists(spark, sf_dir):
     return profiling.json_lists(_bodies(spark, sf_dir), "body", ("response_id",))
@@ -216,7 +216,7 @@ def json_top_lists(spark, sf_dir):
 @query(
     "json_keyword_paths",
     f"""WITH {RESPONSES_SQL} SELECT response_id, '$.list' AS path, 'list' AS kind, n AS size,
-        '[' || array_to_string(['{{"name": "N' || i || '", "rating": ' || value || '}}' FOR i IN range(1, 1 + least(n, 3))], ', ') || ']' AS sample, NULL AS error {_EVENTS}
+        '[' || array_to_string(['{{"name": "N' || i || '", "rating": ' || value || '}}' FOR i IN range(1, 1 + least(n, 3))], ', ') || ']' AS sample, CAST(NULL AS STRING) AS error {_EVENTS}
     UNION ALL SELECT response_id, '$.list', 'list', n, {_FIRST}, NULL {_EVENTS} AND n >= 5
     UNION ALL SELECT response_id, '$.type', 'str', 4, '"view"', NULL {_EVENTS} AND event_type = 'view'""",
 )
@@ -226,7 +226,7 @@ def json_keyword_paths(spark, sf_dir):
 
 @query(
     "json_named_lists",
-    f"WITH {RESPONSES_SQL} SELECT response_id, '$.list' AS path, n AS length, n AS hits_first_30, NULL AS error {_EVENTS}",
+    f"WITH {RESPONSES_SQL} SELECT response_id, '$.list' AS path, n AS length, n AS hits_first_30, CAST(NULL AS STRING) AS error {_EVENTS}",
 )
 def json_named_lists(spark, sf_dir):
     return profiling.json_named_lists(_bodies(spark, sf_dir), "body", ("response_id",))
