@@ -397,7 +397,17 @@ def partition_manifest(spark, sf_dir):
     return writers.partition_manifest(_released(spark, sf_dir)).select("dataset", "partition", "rows")
 
 
-@query("data_dictionary")
+_FIELDS = (("job_id", "string", "NULLABLE"), ("postcode", "string", "NULLABLE"), ("planned_window", "string", "REQUIRED"), ("captured_at", "timestamp", "NULLABLE"), ("ListingId", "string", "NULLABLE"))
+
+
+@query(
+    "data_dictionary",
+    f"{cte('snapshots')} "
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS field_name, 'observed_availability' AS dataset, 'restaurant_snapshots' AS source_table, '{kind}' AS field_type, '{mode}' AS mode, '' AS description, count({name}) AS filled_rows FROM d_snapshots"
+        for name, kind, mode in _FIELDS
+    ),
+)
 def data_dictionary(spark, sf_dir):
     """The columns of the stored snapshots, with the number of rows that fill each of them."""
     snapshots = domain(spark, sf_dir, "snapshots")
