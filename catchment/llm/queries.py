@@ -4,13 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from catchment.llm import exact_dedup, line_dedup, mixing
+from catchment.llm import exact_dedup, line_dedup, mixing, secret_scan, token_counts, toxicity
 from catchment.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
@@ -23,7 +31,11 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), hash_all=True)
 
 
-for _query in (op7_mixing, op8_line_dedup, op9_exact_dedup):
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_scan(table(spark, sf_dir, "documents"))
+
+
+for _query in (op2_token_counts, op6_toxicity, op7_mixing, op8_line_dedup, op9_exact_dedup, op10_secret_scan):
     QUERIES[_query.__name__] = _query
 
 SQL |= {"op7_mixing": mixing.oracle(), "op8_line_dedup": line_dedup.ORACLE, "op9_exact_dedup": exact_dedup.ORACLE}
