@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from catchment.llm import exact_dedup, line_dedup, mixing, packing, secret_scan, token_counts, topk, toxicity
+from catchment.llm import exact_dedup, line_dedup, mixing, ngram_join, packing, secret_scan, token_counts, topk, toxicity
 from catchment.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -23,6 +23,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -43,7 +47,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_scan(table(spark, sf_dir, "documents"))
 
 
-for _query in (op2_token_counts, op3_exact_topk, op4_best_fit_packing, op6_toxicity, op7_mixing, op8_line_dedup, op9_exact_dedup, op10_secret_scan):
+for _query in (op2_token_counts, op3_exact_topk, op4_best_fit_packing, op5_ngram_join, op6_toxicity, op7_mixing, op8_line_dedup, op9_exact_dedup, op10_secret_scan):
     QUERIES[_query.__name__] = _query
 
 SQL |= {"op3_exact_topk": topk.ORACLE, "op7_mixing": mixing.oracle(), "op8_line_dedup": line_dedup.ORACLE, "op9_exact_dedup": exact_dedup.ORACLE}
