@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from catchment.llm.common import whole_text
 from catchment.llm.components import components
+from catchment.llm.presence import passes, presence
 from catchment.llm.shingles import mixed, set_key, shingles
 from catchment.session import pin
 
@@ -33,8 +34,6 @@ BITS = 2048
 BUCKET = 1 << 20
 PART_BITS = 16
 TILE = 512
-#: Bits of the map that lets texts of no candidate group pass by; it is bounded, and a join makes the choice exact.
-PASS_BITS = 1 << 23
 
 
 def prefix_size(number: int, percent: int) -> int:
@@ -184,33 +183,12 @@ def members(groups: DataFrame) -> DataFrame:
     return columns.mapInArrow(opened, "shingle long, part long, key long, n int, leader long")
 
 
-def presence(keys: DataFrame) -> bytes:
-    """Bits of the keys, modulo the size of the map."""
-
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = np.zeros(PASS_BITS // 8, np.uint8)
-        for batch in batches:
-            at = batch.column(0).to_numpy().astype(np.uint64) % np.uint64(PASS_BITS)
-            np.bitwise_or.at(found, (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
-        parts = [(number, zlib.compress(part.tobytes(), 1)) for number, part in enumerate(found.reshape(SLICES, -1)) if part.any()]
-        yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in parts], pa.int32()), pa.array([p[1] for p in parts], pa.binary())], names=["slice", "bits"])
-
-    def merge(key: tuple, table: pa.Table) -> pa.Table:
-        found = np.bitwise_or.reduce([np.frombuffer(zlib.decompress(part), np.uint8) for part in table["bits"].to_pylist()])
-        return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([found.tobytes()], pa.binary())})
-
-    total = np.zeros((SLICES, PASS_BITS // 8 // SLICES), np.uint8)
-    for row in keys.mapInArrow(bits, "slice int, bits binary").groupBy("slice").applyInArrow(merge, "slice int, bits binary").collect():
-        total[row["slice"]] = np.frombuffer(row["bits"], np.uint8)
-    return total.tobytes()
-
-
 def sets_of(docs: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame:
     """(key, n, bitmap, hashes) of the wanted sets, each once; other texts are read but not moved."""
     filter_bits = presence(wanted.select("key"))
 
     def taken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, seen = np.frombuffer(filter_bits, np.uint8), set()
+        seen: set[int] = set()
         for batch in batches:
             rows, held = [], 0
             for text in batch.column(0):
@@ -218,8 +196,7 @@ def sets_of(docs: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame:
                 if not len(found):
                     continue
                 key = set_key(found)
-                at = key % PASS_BITS
-                if key in seen or not bits[at >> 3] >> (at & 7) & 1:
+                if key in seen or not passes(filter_bits, np.array([key]))[0]:
                     continue
                 if len(seen) > 1 << 20:
                     seen.clear()

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from catchment.llm import exact_dedup, line_dedup, mixing, ngram_join, packing, secret_scan, token_counts, topk, toxicity
+from catchment.llm import exact_dedup, line_dedup, mixing, ngram_join, packing, secret_scan, suffix_dedup, token_counts, topk, toxicity
 from catchment.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents")).drop("starts", "ends")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
@@ -47,7 +51,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_scan(table(spark, sf_dir, "documents"))
 
 
-for _query in (op2_token_counts, op3_exact_topk, op4_best_fit_packing, op5_ngram_join, op6_toxicity, op7_mixing, op8_line_dedup, op9_exact_dedup, op10_secret_scan):
+for _query in (op1_suffix_dedup, op2_token_counts, op3_exact_topk, op4_best_fit_packing, op5_ngram_join, op6_toxicity, op7_mixing, op8_line_dedup, op9_exact_dedup, op10_secret_scan):
     QUERIES[_query.__name__] = _query
 
 SQL |= {"op3_exact_topk": topk.ORACLE, "op7_mixing": mixing.oracle(), "op8_line_dedup": line_dedup.ORACLE, "op9_exact_dedup": exact_dedup.ORACLE}
