@@ -8,31 +8,58 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catchment.llm import line_dedup
 from catchment.llm.common import table
+from catchment.llm.line_dedup import line_dedup
 from catchment.llm.mixing import mix
+from catchment.llm.ngram_join import ngram_join
+from catchment.llm.packing import pack
+from catchment.llm.toxicity import fit, toxicity
 from catchment.session import ensure_checkpoint_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+REJECT = 0.5
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: documents of a score of 0.5 or more go; the lexicon is learned from labelled rows that aren't held out."""
+    lexicon = fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return toxicity(docs, lexicon).filter(F.col("_score") < REJECT).select(*docs.columns)
+
+
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: lines that three documents or more share stay in one of them; documents left without text go."""
-    cut = line_dedup.line_dedup(docs)
+    cut = line_dedup(docs)
     emptied = (F.col("_n_dropped") > 0) & (F.length(F.trim("text")) == 0)
     return cut.filter(~F.coalesce(emptied, F.lit(False))).select(
         *[F.length("text").cast("long").alias("n_chars") if name == "n_chars" else F.col(name) for name in docs.columns]
     )
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 5: of documents that links join, the one with the smallest id stays."""
+    joined = ngram_join(docs).select(F.col("doc_id").alias("_id"), "component_id").distinct()
+    gone = joined.filter("_id <> component_id").select("_id")
+    return docs.join(gone, docs["doc_id"] == gone["_id"], "left_anti")
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: documents are drawn so that sources, languages and topics meet their target shares of tokens."""
     return mix(docs).filter("_kept").select(*docs.columns)
 
 
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 4: the tokens of what is left, packed into sequences; a row for each piece of a document."""
+    return pack(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
     ("line dedup", drop_shared_lines),
+    ("n-gram Jaccard join", drop_near_copies),
     ("mixing sources to target weights", mix_sources),
+    ("best-fit packing", pack_sequences),
 ]
 
 #: SQL can't express the stages; tests hold each against a brute-force version.
