@@ -9,12 +9,11 @@ allows, whatever the number of documents; each piece then looks its place up by
 from __future__ import annotations
 
 import os
-import re
-import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,10 +25,7 @@ TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 2048
 #: Token id after each document.
 END = 0
-REMEMBER = 400_000
-#: Blanks of the tokenizer; four control characters are blanks for Python and not for it.
-_BLANKS = re.compile(r"[^\S\x1c-\x1f]+")
-_ODD = re.compile(r"[\x1c-\x1f]")
+REMEMBER = 600_000
 #: Pieces of one length are ranked in so many groups by a hash of their id, so that a frequent length isn't one task.
 SALTS = 64
 
@@ -107,26 +103,55 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
 
 
 class WordIds:
-    """Token ids of texts as little-endian bytes. The tokenizer never looks across blanks, so words are remembered."""
+    """Token ids of texts as little-endian bytes.
+
+    The tokenizer never looks across blanks and folds A-Z, so words are remembered in lower case. A word that ends in
+    a letter or digit and then marks is the word and the marks, which the tokenizer tells apart too.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, text: str) -> bytes:
-        """Ids of one text; the words it brings up for the first time are encoded together."""
-        words = _BLANKS.split(text) if _ODD.search(text) else text.split()
-        known = self.known
-        if unknown := list({word for word in words if word not in known}):
-            if len(known) > REMEMBER:
-                known.clear()
-                unknown = list(set(words))
-            for word, found in zip(unknown, self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False), strict=True):
-                known[word] = struct.pack(f"<{len(found.ids)}I", *found.ids)
-        return b"".join(map(known.__getitem__, words))
+        #: A special string takes one id and parts what stands beside it.
+        self.border = "<|endoftext|>"
+        self.border_id = self.tokenizer.token_to_id(self.border)
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}
+
+    def learn(self, parts: list[bytes]) -> None:
+        """Encode parts together, a border between each two."""
+        texts = [part.decode() for part in parts]
+        plain = [at for at, text in enumerate(texts) if "<|" not in text]
+        for start in range(0, len(plain), 256):
+            some = plain[start : start + 256]
+            ids = np.array(self.tokenizer.encode(self.border.join(texts[at] for at in some), add_special_tokens=False).ids, "<u4")
+            borders = np.flatnonzero(ids == self.border_id).tolist()
+            for at, first, last in zip(some, [0, *(b + 1 for b in borders)], [*borders, len(ids)], strict=True):
+                self.parts[parts[at]] = ids[first:last].tobytes()
+        for at in set(range(len(texts))) - set(plain):
+            self.parts[parts[at]] = np.array(self.tokenizer.encode(texts[at], add_special_tokens=False).ids, "<u4").tobytes()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = [text.encode().lower().split() for text in texts]
+        if len(self.words) > REMEMBER:
+            self.words.clear()
+        if len(self.parts) > REMEMBER:
+            self.parts.clear()
+        unknown = set().union(*split).difference(self.words)
+        halves = {word: halved(word) for word in unknown}
+        self.learn(list({part for both in halves.values() for part in both}.difference(self.parts)))
+        for word, (first, second) in halves.items():
+            self.words[word] = self.parts[first] + self.parts[second] if second else self.parts[first]
+        return [b"".join(map(self.words.__getitem__, words)) for words in split]
+
+
+def halved(word: bytes) -> tuple[bytes, bytes]:
+    core = word.rstrip(b".,;:!?")
+    if core and len(core) < len(word) and core.decode()[-1].isalnum():
+        return core, word[len(core) :]
+    return word, b""
 
 
 @lru_cache(maxsize=2)
@@ -134,6 +159,18 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
+def encoded(encode, texts: pa.Array) -> Iterator[bytes]:
+    """Ids of each text, so many texts at a time as hold a few million characters."""
+    some, held = [], 0
+    for text in texts:
+        some.append(text.as_py())
+        held += len(some[-1])
+        if held > 1 << 21:
+            yield from encode(some)
+            some, held = [], 0
+    yield from encode(some)
+
+
 def pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, capacity: int) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of each row's ids, cut after every `capacity` tokens."""
 
@@ -141,8 +178,8 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, capacity
         encode, end = word_ids(tokenizer).encode, END.to_bytes(4, "little")
         for batch in batches:
             owners, numbers, starts, lengths, sums = [], [], [], [], []
-            for row, text in enumerate(batch.column(1)):
-                ids = encode(text.as_py()) + end
+            for row, ids in enumerate(encoded(encode, batch.column(1))):
+                ids += end
                 for number, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     owners.append(row)
