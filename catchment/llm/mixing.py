@@ -20,10 +20,10 @@ class Targets:
     `topics` are rules, tried in order: (name, text to look for). The names bound the number of cells.
     """
 
-    source: dict[str, float] = field(default_factory=lambda: {"src0": 0.25, OTHER: 0.75})
-    lang: dict[str, float] = field(default_factory=lambda: {"en": 0.55, "de": 0.17, "fr": 0.17, "es": 0.11, OTHER: 0.0})
-    topic: dict[str, float] = field(default_factory=lambda: {"legal": 0.035, "table": 0.025, "contact": 0.03, OTHER: 0.91})
-    topics: tuple[tuple[str, str], ...] = (("legal", "License"), ("table", " | "), ("contact", "@"))
+    source: dict[str, float] = field(default_factory=lambda: {"src0": 0.1, OTHER: 0.9})
+    lang: dict[str, float] = field(default_factory=lambda: {"en": 0.57, "de": 0.16, "fr": 0.16, "es": 0.11, OTHER: 0.0})
+    topic: dict[str, float] = field(default_factory=lambda: {"table": 0.02, "contact": 0.02, OTHER: 0.96})
+    topics: tuple[tuple[str, str], ...] = (("table", " | "), ("contact", "@"))
     rounds: int = 25
     seed: str = "mix-1"
 
