@@ -134,12 +134,15 @@ def profile_fields(restaurant: Column, base_url: str = DEFAULT_BASE_URL) -> list
 
 
 def profile_rows(raw: DataFrame, arrival: tuple[str, ...] = ("captured_at", "raw_uri"), base_url: str = DEFAULT_BASE_URL) -> DataFrame:
-    """One profile per restaurant, the last seen by (arrival columns, position in the listing)."""
+    """One profile per restaurant, the last seen by (arrival columns, position in the listing).
+
+    The first arrival column is an instant; its text may carry any offset from UTC.
+    """
     staged = restaurants_of(raw, list(arrival)).withColumn("restaurant_id", restaurant_key(F.col("restaurant")))
     staged = staged.filter(F.col("restaurant_id").isNotNull()).select(
         "restaurant_id",
         F.struct(*profile_fields(F.col("restaurant"), base_url)).alias("_profile"),
-        F.struct(*arrival, "position").alias("_seen"),
+        F.struct(F.col(arrival[0]).try_cast("timestamp").alias("_instant"), *arrival, "position").alias("_seen"),
     )
     latest = staged.groupBy("restaurant_id").agg(F.max_by("_profile", "_seen").alias("_profile"))
     return latest.select("restaurant_id", "_profile.*")

@@ -24,9 +24,9 @@ TAG_HOURS = {
 }
 HOURS_SQL = ", ".join(f"('{tag}', '{start}', '{end}')" for tag, (start, end) in TAG_HOURS.items())
 
-# ---- brand rules restated for the SQL twins (RE2)
+# ---- brand rules restated for the SQL twins. The names and patterns of brands, grocers and tags.
 _N = "lower(coalesce(restaurant_name, ''))"
-_END = r"($|[^0-9a-z_A-Z])"
+_END = r"\b"
 BRAND_SQL = f"""CASE
     WHEN regexp_matches({_N}, '^\\s*co[- ]?op{_END}') THEN 'coop'
     WHEN regexp_matches({_N}, '^\\s*morrisons{_END}') THEN 'morrisons'
@@ -301,7 +301,7 @@ def raw_roundtrip(spark, sf_dir):
     """Land the documents as gzip JSON lines under folders, then read them back."""
     folder = scratch_dir(spark, "raw")
     writers.write_raw_landing(_raw(spark, sf_dir), folder)
-    back = readers.read_raw_listings(spark, folder, per_file=False)
+    back = readers.read_raw_listings(spark, folder)
     return back.select(
         "provider", "planned_window", "postcode", "snapshot_id", "job_id", "scheduled_at", "captured_at",
         F.size("response.restaurants").cast("long").alias("restaurants"), F.get("response.restaurants", 0)["name"].alias("first_name"),
@@ -352,7 +352,7 @@ def release_partitions(spark, sf_dir):
 @query(
     "release_summary",
     f"""{cte('snapshots')} SELECT 'observed_availability' AS dataset, 'restaurant_snapshots' AS source_table,
-    'Observed open-now availability by collection window.' AS description, count(*) AS source_rows,
+    'Outlets seen open at collection time.' AS description, count(*) AS source_rows,
     count(*) FILTER (planned_window IN ({TAG_LIST})) AS exported_rows, count(*) FILTER (planned_window NOT IN ({TAG_LIST})) AS excluded_rows,
     'planned_window' AS partition_field, FALSE AS is_sample_export FROM d_snapshots""",
 )

@@ -108,7 +108,7 @@ def clean_sql(expression: str) -> str:
     "script_inventory",
     f"""WITH s AS (SELECT page_id, unnest(regexp_extract_all(html, '{_SCRIPT}', 2)) AS body, generate_subscripts(regexp_extract_all(html, '{_SCRIPT}', 2), 1) - 1 AS index FROM pages)
     SELECT page_id, CAST(index AS BIGINT) AS index, CAST(NULL AS STRING) AS id, CAST(NULL AS STRING) AS type, CAST(NULL AS STRING) AS src, length(body) AS text_length, contains(lower({clean_sql('body')}), 'restaurant') AS has_restaurant_sample,
-    CAST(NULL AS STRING) AS json_keys, {clean_sql('left(body, 1200)')} AS sample FROM s WHERE {clean_sql('left(body, 1200)')} <> ''""",
+    CAST(NULL AS STRING) AS json_keys, {clean_sql('body')} AS sample FROM s WHERE {clean_sql('body')} <> ''""",
 )
 def script_inventory(spark, sf_dir):
     return profiling.script_inventory(spread(driver_table(spark, sf_dir, "pages")))
@@ -131,11 +131,10 @@ def keyword_snippets(spark, sf_dir):
 
 @query(
     "interesting_pages",
-    "SELECT page_id, url FROM pages WHERE contains(lower(url || ' ' || left(html, 1000)), '/de/') OR contains(lower(url || ' ' || left(html, 1000)), 'nicht')",
+    "SELECT page_id, url FROM pages WHERE contains(lower(url || ' ' || html), '/de/') OR contains(lower(url || ' ' || html), 'nicht')",
 )
 def interesting_pages(spark, sf_dir):
-    pages = driver_table(spark, sf_dir, "pages").withColumns({"content_type": F.lit(""), "body_sample": F.left("html", F.lit(1000))})
-    return profiling.interesting(pages, ("/DE/", "nicht")).select("page_id", "url")
+    return profiling.interesting(driver_table(spark, sf_dir, "pages"), ("/DE/", "nicht"), ("url", "html")).select("page_id", "url")
 
 
 _HOST = r"regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1)"
@@ -173,10 +172,10 @@ def response_dedupe(spark, sf_dir):
     f"""WITH {RESPONSES_SQL} SELECT response_id, method, CAST(200 AS BIGINT) AS status, content_type, url, {_HOST} AS url_host, {_PATH} AS url_path, {_KEYS} AS query_keys, {clean_sql('post_data')} AS post_data,
     strlen(body) AS body_bytes, CASE WHEN n IS NOT NULL THEN 'dict' END AS top_level_type, CASE WHEN n IS NOT NULL THEN 'type,list,more' END AS top_level_keys,
     CASE WHEN n IS NOT NULL THEN '$.list:' || n || '; $.more.k:3' END AS list_lengths, coalesce(n, 0) AS restaurant_like_count, CAST(NULL AS STRING) AS error
-    FROM f WHERE regexp_matches(lower(url || ' ' || content_type || ' ' || left(body, 1000)), 'restaurant|grocer|delivery|eta|rating|postcode|vertical|search|discovery|places')""",
+    FROM f WHERE regexp_matches(lower(url || ' ' || content_type || ' ' || body), 'restaurant|grocer|delivery|eta|rating|postcode|vertical|search|discovery|places')""",
 )
 def response_log(spark, sf_dir):
-    return profiling.response_log(responses(spark, sf_dir)).drop("body_sample")
+    return profiling.response_log(responses(spark, sf_dir)).drop("body_text")
 
 
 def _bodies(spark, sf_dir):
@@ -197,7 +196,7 @@ _FIRST = """'{"name": "N1", "rating": ' || value || '}'"""
 
 @query(
     "json_lists",
-    f"""WITH {RESPONSES_SQL} SELECT response_id, '$.list' AS path, n AS length, n AS strong_first_20, 'name,rating' AS first_keys, {_FIRST} AS first_sample, CAST(NULL AS STRING) AS error {_EVENTS} AND n >= 5""",
+    f"""WITH {RESPONSES_SQL} SELECT response_id, '$.list' AS path, n AS length, n AS strong, 'name,rating' AS first_keys, {_FIRST} AS first_sample, CAST(NULL AS STRING) AS error {_EVENTS} AND n >= 5""",
 )
 def json_lists(spark, sf_dir):
     return profiling.json_lists(_bodies(spark, sf_dir), "body", ("response_id",))
@@ -205,18 +204,18 @@ def json_lists(spark, sf_dir):
 
 @query(
     "json_top_lists",
-    f"WITH {RESPONSES_SQL} SELECT response_id, '$.list' AS path, n AS length, n AS strong_first_20 {_EVENTS} AND n >= 5 ORDER BY n DESC, response_id LIMIT 20",
+    f"WITH {RESPONSES_SQL} SELECT response_id, '$.list' AS path, n AS length, n AS strong {_EVENTS} AND n >= 5 ORDER BY n DESC, response_id LIMIT 20",
 )
 def json_top_lists(spark, sf_dir):
     """A top-k report: its limit is the feature."""
     found = profiling.json_lists(_bodies(spark, sf_dir), "body", ("response_id",))
-    return profiling.top_lists(found).select("response_id", "path", "length", "strong_first_20")
+    return profiling.top_lists(found).select("response_id", "path", "length", "strong")
 
 
 @query(
     "json_keyword_paths",
     f"""WITH {RESPONSES_SQL} SELECT response_id, '$.list' AS path, 'list' AS kind, n AS size,
-        '[' || array_to_string(['{{"name": "N' || i || '", "rating": ' || value || '}}' FOR i IN range(1, 1 + least(n, 3))], ', ') || ']' AS sample, CAST(NULL AS STRING) AS error {_EVENTS}
+        '[' || array_to_string(['{{"name": "N' || i || '", "rating": ' || value || '}}' FOR i IN range(1, 1 + n)], ', ') || ']' AS sample, CAST(NULL AS STRING) AS error {_EVENTS}
     UNION ALL SELECT response_id, '$.list', 'list', n, {_FIRST}, NULL {_EVENTS} AND n >= 5
     UNION ALL SELECT response_id, '$.type', 'str', 4, '"view"', NULL {_EVENTS} AND event_type = 'view'""",
 )
@@ -226,7 +225,7 @@ def json_keyword_paths(spark, sf_dir):
 
 @query(
     "json_named_lists",
-    f"WITH {RESPONSES_SQL} SELECT response_id, '$.list' AS path, n AS length, n AS hits_first_30, CAST(NULL AS STRING) AS error {_EVENTS}",
+    f"WITH {RESPONSES_SQL} SELECT response_id, '$.list' AS path, n AS length, n AS hits, CAST(NULL AS STRING) AS error {_EVENTS}",
 )
 def json_named_lists(spark, sf_dir):
     return profiling.json_named_lists(_bodies(spark, sf_dir), "body", ("response_id",))

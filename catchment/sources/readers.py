@@ -127,20 +127,44 @@ def read_window_config(spark: SparkSession, path_or_json: str | dict, tags: Iter
     return window_config_rows(payload, tags)
 
 
+def _opened_envelopes(raw: DataFrame, text: str, keep: tuple[str, ...], schema: str) -> DataFrame:
+    """The envelope of each text and `_flaw`: NULL, "odd field" (it is NULL, the rest stays) or "unreadable"."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    parsed = raw.select(*keep, F.col(text).alias("_text"), F.from_json(F.col(text), f"{schema}, _corrupt string", options).alias("envelope"))
+    readable = F.try_parse_json("_text").isNotNull() & F.ltrim("_text").rlike(r"^\s*\{")
+    flaw = F.when(~F.coalesce(readable, F.lit(False)), "unreadable").when(F.col("envelope._corrupt").isNotNull(), "odd field")
+    return parsed.withColumn("_flaw", flaw)
+
+
 def parse_envelopes(raw: DataFrame, text: str = "value", keep: tuple[str, ...] = (), schema: str = ENVELOPE) -> DataFrame:
-    """Typed envelope columns out of JSON text; unreadable text raises. A narrower schema parses faster."""
-    parsed = raw.select(*keep, F.from_json(F.col(text), schema, {"mode": "FAILFAST"}).alias("envelope"))
-    return parsed.select(*keep, "envelope.*")
+    """Typed envelope columns out of JSON text. A narrower schema parses faster.
+
+    A field of another type than expected is NULL and the rest of the document stays; a text that is no JSON object is
+    left out. `envelope_rejects` gives both kinds.
+    """
+    opened = _opened_envelopes(raw, text, keep, schema).filter("_flaw IS NULL OR _flaw <> 'unreadable'")
+    return opened.select(*keep, "envelope.*").drop("_corrupt")
+
 
+def envelope_rejects(raw: DataFrame, text: str = "value", keep: tuple[str, ...] = (), schema: str = ENVELOPE) -> DataFrame:
+    """Texts that couldn't be read, or not in full: the kept columns, `flaw` and the text."""
+    opened = _opened_envelopes(raw, text, keep, schema).filter("_flaw IS NOT NULL")
+    return opened.select(*keep, F.col("_flaw").alias("flaw"), F.col("_text").alias(text))
 
-def raw_lines(spark: SparkSession, path: str | list[str], per_file: bool = True) -> DataFrame:
-    """JSON text with its file path as `raw_uri`: one document per file, or one per line."""
-    return spark.read.text(path, wholetext=per_file).select("value", F.col("_metadata.file_path").alias("raw_uri"))
 
+def raw_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """JSON text with its file path as `raw_uri`: each line is one document, as the landing writer puts them."""
+    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("raw_uri"))
 
-def read_raw_listings(spark: SparkSession, path: str | list[str], per_file: bool = True) -> DataFrame:
+
+def read_raw_listings(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Raw gzip envelopes; `captured_at` and `scheduled_at` stay ISO text."""
-    return parse_envelopes(raw_lines(spark, path, per_file), keep=("raw_uri",))
+    return parse_envelopes(raw_lines(spark, path), keep=("raw_uri",))
+
+
+def read_raw_rejects(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(raw_uri, flaw, value) of the documents that `read_raw_listings` leaves out or reads in part."""
+    return envelope_rejects(raw_lines(spark, path), keep=("raw_uri",))
 
 
 def split_uri(uri: str, scheme: str) -> tuple[str, str]:

@@ -2,83 +2,222 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_TYPES = {
-    "string": T.StringType(),
-    "long": T.LongType(),
-    "double": T.DoubleType(),
-    "boolean": T.BooleanType(),
-    "timestamp": T.TimestampType(),
-}
-
-
-def table(required: str, optional: str = "") -> T.StructType:
-    """A schema out of 'name:type' words; the type defaults to string."""
-    fields = []
-    for text, nullable in ((required, False), (optional, True)):
-        for word in text.split():
-            name, _, kind = word.partition(":")
-            fields.append(T.StructField(name, _TYPES[kind or "string"], nullable))
-    return T.StructType(fields)
+STRING, LONG, DOUBLE, BOOLEAN, TIMESTAMP = T.StringType(), T.LongType(), T.DoubleType(), T.BooleanType(), T.TimestampType()
 
+# The stored tables, column by column, in stored order.
 
-SCRAPE_JOBS = table(
-    "job_id provider postcode planned_window scheduled_at:timestamp status attempt_count:long max_attempts:long created_at:timestamp",
-    "started_at:timestamp finished_at:timestamp raw_uri processed_rows:long error",
-)
-JOB_MANIFEST = table(
-    "job_id provider postcode planned_window scheduled_at:timestamp created_at:timestamp",
-    "run_id task_name status attempt_count:long max_attempts:long started_at:timestamp finished_at:timestamp"
-    " raw_uri processed_rows:long error",
+SCRAPE_JOBS = T.StructType(
+    [
+        T.StructField("job_id", STRING, nullable=False),
+        T.StructField("provider", STRING, nullable=False),
+        T.StructField("postcode", STRING, nullable=False),
+        T.StructField("planned_window", STRING, nullable=False),
+        T.StructField("scheduled_at", TIMESTAMP, nullable=False),
+        T.StructField("status", STRING, nullable=False),
+        T.StructField("attempt_count", LONG, nullable=False),
+        T.StructField("max_attempts", LONG, nullable=False),
+        T.StructField("created_at", TIMESTAMP, nullable=False),
+        T.StructField("started_at", TIMESTAMP, nullable=True),
+        T.StructField("finished_at", TIMESTAMP, nullable=True),
+        T.StructField("raw_uri", STRING, nullable=True),
+        T.StructField("processed_rows", LONG, nullable=True),
+        T.StructField("error", STRING, nullable=True),
+    ]
 )
-JOB_EVENTS = table(
-    "event_id job_id provider postcode planned_window event_type event_time:timestamp",
-    "message raw_uri processed_rows:long",
+
+JOB_MANIFEST = T.StructType(
+    [
+        T.StructField("job_id", STRING, nullable=False),
+        T.StructField("run_id", STRING, nullable=True),
+        T.StructField("provider", STRING, nullable=False),
+        T.StructField("postcode", STRING, nullable=False),
+        T.StructField("planned_window", STRING, nullable=False),
+        T.StructField("scheduled_at", TIMESTAMP, nullable=False),
+        T.StructField("created_at", TIMESTAMP, nullable=False),
+        T.StructField("task_name", STRING, nullable=True),
+        T.StructField("status", STRING, nullable=True),
+        T.StructField("attempt_count", LONG, nullable=True),
+        T.StructField("max_attempts", LONG, nullable=True),
+        T.StructField("started_at", TIMESTAMP, nullable=True),
+        T.StructField("finished_at", TIMESTAMP, nullable=True),
+        T.StructField("raw_uri", STRING, nullable=True),
+        T.StructField("processed_rows", LONG, nullable=True),
+        T.StructField("error", STRING, nullable=True),
+    ]
 )
-JOB_DIAGNOSTICS = table(
-    "diagnostic_id job_id provider postcode planned_window diagnostic_time:timestamp",
-    "run_id worker_received_at:timestamp worker_started_at:timestamp limiter_enabled:boolean limiter_key"
-    " limiter_acquire_started_at:timestamp limiter_acquire_finished_at:timestamp limiter_attempts:long"
-    " limiter_spacing_ms:long limiter_previous_next_allowed_ms:long limiter_token_reserved_for_ms:long"
-    " limiter_token_reserved_for:timestamp limiter_wait_ms:long api_request_started_at:timestamp"
-    " api_request_finished_at:timestamp api_latency_ms:long api_url http_status:long outcome processed_rows:long"
-    " raw_uri error",
+
+JOB_EVENTS = T.StructType(
+    [
+        T.StructField("event_id", STRING, nullable=False),
+        T.StructField("job_id", STRING, nullable=False),
+        T.StructField("provider", STRING, nullable=False),
+        T.StructField("postcode", STRING, nullable=False),
+        T.StructField("planned_window", STRING, nullable=False),
+        T.StructField("event_type", STRING, nullable=False),
+        T.StructField("event_time", TIMESTAMP, nullable=False),
+        T.StructField("message", STRING, nullable=True),
+        T.StructField("raw_uri", STRING, nullable=True),
+        T.StructField("processed_rows", LONG, nullable=True),
+    ]
 )
-LISTING_COLUMNS = (
-    "Name Rating:double ReviewCount:long Categories DeliveryTime DeliveryFee MinimumOrder Offer Tags Url Vertical"
-    " ListingId CuisineIds"
+
+JOB_DIAGNOSTICS = T.StructType(
+    [
+        T.StructField("diagnostic_id", STRING, nullable=False),
+        T.StructField("job_id", STRING, nullable=False),
+        T.StructField("run_id", STRING, nullable=True),
+        T.StructField("provider", STRING, nullable=False),
+        T.StructField("postcode", STRING, nullable=False),
+        T.StructField("planned_window", STRING, nullable=False),
+        T.StructField("diagnostic_time", TIMESTAMP, nullable=False),
+        T.StructField("worker_received_at", TIMESTAMP, nullable=True),
+        T.StructField("worker_started_at", TIMESTAMP, nullable=True),
+        T.StructField("limiter_enabled", BOOLEAN, nullable=True),
+        T.StructField("limiter_key", STRING, nullable=True),
+        T.StructField("limiter_acquire_started_at", TIMESTAMP, nullable=True),
+        T.StructField("limiter_acquire_finished_at", TIMESTAMP, nullable=True),
+        T.StructField("limiter_attempts", LONG, nullable=True),
+        T.StructField("limiter_spacing_ms", LONG, nullable=True),
+        T.StructField("limiter_previous_next_allowed_ms", LONG, nullable=True),
+        T.StructField("limiter_token_reserved_for_ms", LONG, nullable=True),
+        T.StructField("limiter_token_reserved_for", TIMESTAMP, nullable=True),
+        T.StructField("limiter_wait_ms", LONG, nullable=True),
+        T.StructField("api_request_started_at", TIMESTAMP, nullable=True),
+        T.StructField("api_request_finished_at", TIMESTAMP, nullable=True),
+        T.StructField("api_latency_ms", LONG, nullable=True),
+        T.StructField("api_url", STRING, nullable=True),
+        T.StructField("http_status", LONG, nullable=True),
+        T.StructField("outcome", STRING, nullable=True),
+        T.StructField("processed_rows", LONG, nullable=True),
+        T.StructField("raw_uri", STRING, nullable=True),
+        T.StructField("error", STRING, nullable=True),
+    ]
 )
-SNAPSHOTS = table(
-    "snapshot_id job_id provider postcode planned_window scheduled_at:timestamp captured_at:timestamp", LISTING_COLUMNS
+
+SNAPSHOTS = T.StructType(
+    [
+        T.StructField("snapshot_id", STRING, nullable=False),
+        T.StructField("job_id", STRING, nullable=False),
+        T.StructField("provider", STRING, nullable=False),
+        T.StructField("postcode", STRING, nullable=False),
+        T.StructField("planned_window", STRING, nullable=False),
+        T.StructField("scheduled_at", TIMESTAMP, nullable=False),
+        T.StructField("captured_at", TIMESTAMP, nullable=False),
+        T.StructField("Name", STRING, nullable=True),
+        T.StructField("Rating", DOUBLE, nullable=True),
+        T.StructField("ReviewCount", LONG, nullable=True),
+        T.StructField("Categories", STRING, nullable=True),
+        T.StructField("DeliveryTime", STRING, nullable=True),
+        T.StructField("DeliveryFee", STRING, nullable=True),
+        T.StructField("MinimumOrder", STRING, nullable=True),
+        T.StructField("Offer", STRING, nullable=True),
+        T.StructField("Tags", STRING, nullable=True),
+        T.StructField("Url", STRING, nullable=True),
+        T.StructField("Vertical", STRING, nullable=True),
+        T.StructField("ListingId", STRING, nullable=True),
+        T.StructField("CuisineIds", STRING, nullable=True),
+    ]
 )
-MENU_TASKS = table(
-    "task_id run_id restaurant_id restaurant_unique_name scheduled_at:timestamp created_at:timestamp",
-    "restaurant_name restaurant_url cuisine_names task_name",
+
+MENU_TASKS = T.StructType(
+    [
+        T.StructField("task_id", STRING, nullable=False),
+        T.StructField("run_id", STRING, nullable=False),
+        T.StructField("restaurant_id", STRING, nullable=False),
+        T.StructField("restaurant_name", STRING, nullable=True),
+        T.StructField("restaurant_unique_name", STRING, nullable=False),
+        T.StructField("restaurant_url", STRING, nullable=True),
+        T.StructField("cuisine_names", STRING, nullable=True),
+        T.StructField("scheduled_at", TIMESTAMP, nullable=False),
+        T.StructField("created_at", TIMESTAMP, nullable=False),
+        T.StructField("task_name", STRING, nullable=True),
+    ]
 )
-MENU_RESULTS = table(
-    "result_id task_id run_id restaurant_id restaurant_unique_name fetched_at:timestamp",
-    "restaurant_name restaurant_url cuisine_names manifest_source manifest_url http_status:long latency_ms:long"
-    " fallback_used:boolean manifest_restaurant_id manifest_name timezone is_offline:boolean menu_count:long items_url"
-    " item_details_url opening_time_count:long opening_service_types outcome error",
+
+MENU_RESULTS = T.StructType(
+    [
+        T.StructField("result_id", STRING, nullable=False),
+        T.StructField("task_id", STRING, nullable=False),
+        T.StructField("run_id", STRING, nullable=False),
+        T.StructField("restaurant_id", STRING, nullable=False),
+        T.StructField("restaurant_name", STRING, nullable=True),
+        T.StructField("restaurant_unique_name", STRING, nullable=False),
+        T.StructField("restaurant_url", STRING, nullable=True),
+        T.StructField("cuisine_names", STRING, nullable=True),
+        T.StructField("fetched_at", TIMESTAMP, nullable=False),
+        T.StructField("manifest_source", STRING, nullable=True),
+        T.StructField("manifest_url", STRING, nullable=True),
+        T.StructField("http_status", LONG, nullable=True),
+        T.StructField("latency_ms", LONG, nullable=True),
+        T.StructField("fallback_used", BOOLEAN, nullable=True),
+        T.StructField("manifest_restaurant_id", STRING, nullable=True),
+        T.StructField("manifest_name", STRING, nullable=True),
+        T.StructField("timezone", STRING, nullable=True),
+        T.StructField("is_offline", BOOLEAN, nullable=True),
+        T.StructField("menu_count", LONG, nullable=True),
+        T.StructField("items_url", STRING, nullable=True),
+        T.StructField("item_details_url", STRING, nullable=True),
+        T.StructField("opening_time_count", LONG, nullable=True),
+        T.StructField("opening_service_types", STRING, nullable=True),
+        T.StructField("outcome", STRING, nullable=True),
+        T.StructField("error", STRING, nullable=True),
+    ]
 )
-OPENING_TIMES = table(
-    "opening_time_id task_id run_id restaurant_id restaurant_unique_name fetched_at:timestamp",
-    "service_type day_of_week interval_index:long opens_at_local closes_at_local crosses_midnight:boolean timezone source",
+
+OPENING_TIMES = T.StructType(
+    [
+        T.StructField("opening_time_id", STRING, nullable=False),
+        T.StructField("task_id", STRING, nullable=False),
+        T.StructField("run_id", STRING, nullable=False),
+        T.StructField("restaurant_id", STRING, nullable=False),
+        T.StructField("restaurant_unique_name", STRING, nullable=False),
+        T.StructField("service_type", STRING, nullable=True),
+        T.StructField("day_of_week", STRING, nullable=True),
+        T.StructField("interval_index", LONG, nullable=True),
+        T.StructField("opens_at_local", STRING, nullable=True),
+        T.StructField("closes_at_local", STRING, nullable=True),
+        T.StructField("crosses_midnight", BOOLEAN, nullable=True),
+        T.StructField("timezone", STRING, nullable=True),
+        T.StructField("source", STRING, nullable=True),
+        T.StructField("fetched_at", TIMESTAMP, nullable=False),
+    ]
 )
-COVERAGE = table(
-    "snapshot_label postcode restaurant_id",
-    "is_delivery:boolean delivery_fee:double minimum_delivery_value:double delivery_eta_lower_minutes:long"
-    " delivery_eta_upper_minutes:long drive_distance_meters:long",
+
+COVERAGE = T.StructType(
+    [
+        T.StructField("snapshot_label", STRING, nullable=False),
+        T.StructField("postcode", STRING, nullable=False),
+        T.StructField("restaurant_id", STRING, nullable=False),
+        T.StructField("is_delivery", BOOLEAN, nullable=True),
+        T.StructField("delivery_fee", DOUBLE, nullable=True),
+        T.StructField("minimum_delivery_value", DOUBLE, nullable=True),
+        T.StructField("delivery_eta_lower_minutes", LONG, nullable=True),
+        T.StructField("delivery_eta_upper_minutes", LONG, nullable=True),
+        T.StructField("drive_distance_meters", LONG, nullable=True),
+    ]
 )
-PROFILE = table(
-    "restaurant_id",
-    "restaurant_name restaurant_unique_name restaurant_url address_first_line city postal_code latitude:double"
-    " longitude:double cuisine_names cuisine_unique_names rating_count:long rating_star:double logo_url",
+
+PROFILE = T.StructType(
+    [
+        T.StructField("restaurant_id", STRING, nullable=False),
+        T.StructField("restaurant_name", STRING, nullable=True),
+        T.StructField("restaurant_unique_name", STRING, nullable=True),
+        T.StructField("restaurant_url", STRING, nullable=True),
+        T.StructField("address_first_line", STRING, nullable=True),
+        T.StructField("city", STRING, nullable=True),
+        T.StructField("postal_code", STRING, nullable=True),
+        T.StructField("latitude", DOUBLE, nullable=True),
+        T.StructField("longitude", DOUBLE, nullable=True),
+        T.StructField("cuisine_names", STRING, nullable=True),
+        T.StructField("cuisine_unique_names", STRING, nullable=True),
+        T.StructField("rating_count", LONG, nullable=True),
+        T.StructField("rating_star", DOUBLE, nullable=True),
+        T.StructField("logo_url", STRING, nullable=True),
+    ]
 )
 
 TABLES = {
@@ -161,7 +300,3 @@ def missing_required(df: DataFrame, fields: list[str]) -> DataFrame:
     ]
     names = F.array_join(F.array_compact(F.array(*flags)), ", ")
     return df.withColumn("missing_fields", F.nullif(names, F.lit("")))
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)

@@ -17,7 +17,18 @@ BOM = "﻿"
 ROWS_PER_FILE = 1_000_000
 SAMPLE_ROWS = 1000
 
-ENVELOPE_FIELDS = "snapshot_id job_id provider postcode planned_window scheduled_at captured_at source_url response".split()
+# The envelope of a landed document.
+ENVELOPE_FIELDS = [
+    "snapshot_id",
+    "job_id",
+    "provider",
+    "postcode",
+    "planned_window",
+    "scheduled_at",
+    "captured_at",
+    "source_url",
+    "response",
+]
 
 
 def raw_landing_rows(raw: DataFrame) -> DataFrame:
@@ -65,20 +76,20 @@ class ReleaseSpec:
 
 # The released datasets and their four collection windows.
 RELEASE = {
-    "profile": ReleaseSpec("restaurant_profile", "restaurant_profile", "One row per restaurant.", ("restaurant_id",)),
+    "profile": ReleaseSpec("restaurant_profile", "restaurant_profile", "What is known of each outlet.", ("restaurant_id",)),
     "opening_times": ReleaseSpec(
         "restaurant_opening_times",
         "restaurant_opening_times",
-        "Opening intervals by service, day and time.",
+        "Hours of each outlet, an interval per row.",
         ("restaurant_id", "service_type", "day_of_week", "interval_index", "opening_time_id"),
     ),
     "static_coverage": ReleaseSpec(
-        "static_coverage", "postcode_restaurant_delivery_map", "Static postcode-to-restaurant coverage.", ("postcode", "restaurant_id")
+        "static_coverage", "postcode_restaurant_delivery_map", "Which outlets deliver where, open or not.", ("postcode", "restaurant_id")
     ),
     "observed_availability": ReleaseSpec(
         "observed_availability",
         "restaurant_snapshots",
-        "Observed open-now availability by collection window.",
+        "Outlets seen open at collection time.",
         ("postcode", "ListingId", "captured_at"),
         "planned_window",
         ("weekday_afternoon", "weekday_evening", "weekday_early_hours", "saturday_peak"),

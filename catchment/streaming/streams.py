@@ -13,15 +13,15 @@ from catchment.session import pin
 from catchment.sources.readers import parse_envelopes
 
 
-def stream_raw(spark: SparkSession, raw_dir: str, per_file: bool = True) -> DataFrame:
+def stream_raw(spark: SparkSession, raw_dir: str) -> DataFrame:
     """New raw envelopes as they land."""
-    lines = spark.readStream.text(raw_dir, wholetext=per_file).select("value", F.col("_metadata.file_path").alias("raw_uri"))
+    lines = spark.readStream.text(raw_dir).select("value", F.col("_metadata.file_path").alias("raw_uri"))
     return parse_envelopes(lines, keep=("raw_uri",))
 
 
-def stream_snapshots(spark: SparkSession, raw_dir: str, out: str, checkpoint: str, per_file: bool = True, now: bool = True) -> StreamingQuery:
+def stream_snapshots(spark: SparkSession, raw_dir: str, out: str, checkpoint: str, now: bool = True) -> StreamingQuery:
     """Raw landing files to open-now snapshots; the file sink and its checkpoint make each file count once."""
-    rows = open_now(stream_raw(spark, raw_dir, per_file))
+    rows = open_now(stream_raw(spark, raw_dir))
     return _to_parquet(rows, out, checkpoint, now)
 
 

@@ -103,7 +103,6 @@ def backfill(
     coverage_path: str | None = None,
     profile_path: str | None = None,
     existing_profiles: DataFrame | None = None,
-    per_file: bool = True,
     dry_run: bool = False,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Coverage rows, new profiles and counters out of raw documents, given by path or by their succeeded events.
@@ -112,16 +111,18 @@ def backfill(
     """
     if (raw_paths is None) == (events is None):
         raise ValueError("give either raw paths or events")
-    lines = readers.raw_lines(spark, raw_paths or _event_folders(events), per_file)
+    lines = readers.raw_lines(spark, raw_paths or _event_folders(events))
     if events is not None:
         # Unwanted files leave as plain text, before anything is parsed.
-        wanted = readers.succeeded_uris(events, limit_raw_files).select(_address(F.col("raw_uri")).alias("address"))
-        lines = lines.withColumn("address", _address(F.col("raw_uri"))).join(wanted.distinct(), "address", "left_semi")
-    raw = readers.parse_envelopes(lines, keep=("raw_uri",))
-    raw = pin(raw.select("raw_uri", "postcode", "captured_at", "response"))
+        wanted = readers.succeeded_uris(events, limit_raw_files).groupBy(_address(F.col("raw_uri")).alias("address")).agg(F.max("event_time").alias("event_time"))
+        lines = lines.withColumn("address", _address(F.col("raw_uri"))).join(wanted, "address").drop("address")
+    # The last seen wins: by the time of the event that named the file, or by the document's own.
+    arrival = "captured_at" if events is None else "event_time"
+    keep = ("raw_uri",) if events is None else ("raw_uri", "event_time")
+    raw = pin(readers.parse_envelopes(lines, keep=keep).select("raw_uri", "postcode", arrival, "response"))
     known = existing_profiles if existing_profiles is not None else spark.createDataFrame([], "restaurant_id string")
     coverage = conform_to_schema(listing.coverage_rows(raw, snapshot_label), COVERAGE)
-    profiles = conform_to_schema(listing.new_profiles(listing.profile_rows(raw), known), PROFILE)
+    profiles = conform_to_schema(listing.new_profiles(listing.profile_rows(raw, (arrival, "raw_uri")), known), PROFILE)
     if not dry_run:
         if coverage_path:
             writers.append_rows(coverage, coverage_path, "postcode_restaurant_delivery_map")
@@ -143,9 +144,9 @@ def _event_folders(events: DataFrame) -> list[str]:
     return [row.folder for row in folders.distinct().collect()]
 
 
-def collect_snapshots(spark: SparkSession, raw_paths: str | list[str], out: str, per_file: bool = True) -> None:
+def collect_snapshots(spark: SparkSession, raw_paths: str | list[str], out: str) -> None:
     """Raw documents to observed availability, appended."""
-    rows = listing.open_now(readers.read_raw_listings(spark, raw_paths, per_file))
+    rows = listing.open_now(readers.read_raw_listings(spark, raw_paths))
     timed = rows.withColumns({name: F.to_timestamp(name) for name in ("scheduled_at", "captured_at")})
     writers.append_rows(timed, out, "restaurant_snapshots")
 

@@ -1,3 +1,5 @@
+import bisect
+import itertools
 from datetime import datetime, timedelta
 from zoneinfo import ZoneInfo
 
@@ -20,21 +22,15 @@ JUNE = {
 
 
 def twin(intervals, count):
-    """Walk the intervals job by job."""
-    parts = []
-    for start, end in intervals:
-        opens, closes = datetime.fromisoformat(start), datetime.fromisoformat(end)
-        parts.append((opens, (closes - opens).total_seconds() - 60, closes))
-    step = sum(length for _, length, _ in parts) / count
+    """Where each job falls on the joined-up intervals, by bisection on their cumulative lengths in seconds, as doubles."""
+    bounds = [tuple(map(datetime.fromisoformat, pair)) for pair in intervals]
+    ends = list(itertools.accumulate(int((close - open_).total_seconds()) - 60 for open_, close in bounds))
     made = []
     for job in range(count):
-        left = job * step
-        for opens, length, closes in parts:
-            if left < length:
-                at = (opens + timedelta(seconds=left)).replace(tzinfo=LONDON).astimezone(UTC).replace(microsecond=0)
-                made.append((at, closes.replace(tzinfo=LONDON).astimezone(UTC)))
-                break
-            left -= length
+        place = job * (ends[-1] / count)
+        at = bisect.bisect_right(ends, place)
+        start = bounds[at][0] + timedelta(seconds=place - (ends[at - 1] if at else 0))
+        made.append(tuple(moment.replace(tzinfo=LONDON, microsecond=0).astimezone(UTC) for moment in (start, bounds[at][1])))
     return made
 
 
@@ -56,12 +52,15 @@ def check(spark, config, counts):
             assert found[tag, at] == (int(start.timestamp()), int(end.timestamp())), (tag, count, at)
 
 
-def test_schedule_stays_inside_and_keeps_the_guard(spark):
-    found = planned(spark, JUNE, {"weekday_afternoon": 100})
-    times = [found["weekday_afternoon", at] for at in range(100)]
-    assert [start for start, _ in times] == sorted(start for start, _ in times)
-    assert all(start <= end - 60 for start, end in times)
-    check(spark, JUNE, {"weekday_afternoon": 100, "saturday_peak": 1})
+def test_schedule_is_even_ordered_and_guarded(spark):
+    config = {"lunch": [["2026-03-03T11:00:00", "2026-03-03T12:30:00"], ["2026-03-05T11:00:00", "2026-03-05T13:00:00"], ["2026-03-06T10:00:00", "2026-03-06T10:20:00"]]}
+    found = planned(spark, config, {"lunch": 45})
+    times = [found["lunch", at] for at in range(45)]
+    assert times == sorted(times) and all(start + 60 <= end for start, end in times)
+    gaps = {later[0] - sooner[0] for sooner, later in zip(times, times[1:], strict=False) if later[1] == sooner[1]}
+    assert max(gaps) - min(gaps) <= 1
+    check(spark, config, {"lunch": 45})
+    check(spark, JUNE, {"weekday_afternoon": 37, "saturday_peak": 1})
 
 
 def test_boundary_counts_and_large_counts(spark):
