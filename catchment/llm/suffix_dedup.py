@@ -11,7 +11,7 @@ j + k into the sample. So two equal strings hold equal strings of `length - peri
 3. Where a name has different surroundings, the places in between are merged: the strings of `length` bytes at each place
    there, once for each kind of surroundings, are sorted and compared with their neighbours.
 
-Fingerprints stand for bytes, 48 bits where a false match only costs work, 64 bits where it decides. They are packed by the
+Fingerprints stand for bytes, 40 or 48 bits where a false match only costs work, 64 bits where it decides. They are packed by the
 task, equal ones of a task are sent once, so a passage of any share of the documents is one entry of each task.
 """
 
@@ -23,25 +23,20 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catchment.llm.common import whole_text
 from catchment.llm.presence import passes, presence
-from catchment.llm.shingles import mixed
+from catchment.llm.prints import CHUNK, Prints, mixed
 from catchment.session import pin
 
 LENGTH = 200
-#: Bytes of text a task packs at a time, entries of a bucket, bytes of a text that are worked on at a time.
-HELD = 16 << 20
+#: Bytes of text a task packs at a time, and entries of a bucket.
+HELD = 4 << 20
 BUCKET = 1 << 21
-CHUNK = 1 << 20
-
-#: Odd base of the rolling fingerprint, its inverse modulo 2**64, and values that stand for the bytes.
-BASE = 0xD1342543DE82EF95
-INVERSE = pow(BASE, -1, 1 << 64)
-BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 class Cover(NamedTuple):
@@ -58,28 +53,8 @@ COVERS = (Cover(133, (1, 10, 11, 13, 27, 31, 68, 75, 83, 110, 115, 121)), Cover(
 
 
 def cover_for(length: int) -> Cover:
-    """The largest cover that leaves names of a third of the strings or more."""
-    return next((cover for cover in COVERS if 3 * (length - cover.period + 1) >= length), COVERS[-1])
-
-
-def _powers(base: int, number: int) -> np.ndarray:
-    values = np.full(number, base, np.uint64)
-    values[0] = 1
-    return np.cumprod(values, dtype=np.uint64)
-
-
-_UP, _DOWN = _powers(BASE, CHUNK + 4096), _powers(INVERSE, CHUNK + 4096)
-
-
-class Prints:
-    """Fingerprints of the substrings of a piece of text."""
-
-    def __init__(self, data: np.ndarray) -> None:
-        self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(BYTES[data] * _DOWN[: len(data)], out=self.sums[1:])
-
-    def at(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mixed((self.sums[ends] - self.sums[starts]) * _UP[starts] + (ends - starts).astype(np.uint64))
+    """The largest cover that leaves names of two thirds of the strings or more, so that shorter repeats end early."""
+    return next((cover for cover in COVERS if 3 * (length - cover.period + 1) >= 2 * length), COVERS[-1])
 
 
 def sampled(cover: Cover, start: int, end: int) -> np.ndarray:
@@ -89,7 +64,7 @@ def sampled(cover: Cover, start: int, end: int) -> np.ndarray:
     return grid[(grid >= start) & (grid < end)]
 
 
-def named(data: bytes, length: int, cover: Cover) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def named(data: bytes, length: int, cover: Cover, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(positions, names) of the sampled positions of a text, chunk by chunk."""
     word = (length - cover.period + 1) // 3
     whole = np.frombuffer(data, np.uint8)
@@ -101,7 +76,7 @@ def named(data: bytes, length: int, cover: Cover) -> Iterator[tuple[np.ndarray,
         triple = [prints.at(at + place * word, at + (place + 1) * word) for place in range(3)]
         # The name of a triple is made of the names of its words.
         name = mixed(triple[0] + mixed(triple[1] + mixed(triple[2])))
-        yield at + start, name >> np.uint64(17)
+        yield at + start, name & np.uint64((1 << 8 * width) - 1)
 
 
 class Entry(NamedTuple):
@@ -112,14 +87,14 @@ class Entry(NamedTuple):
     kinds: np.ndarray
 
 
-REPLIES = "bucket long, key long, keys binary, owners binary, names binary, kinds binary, flags binary"
+REPLIES = "bucket long, answer boolean, keys binary, counts binary, names binary, kinds binary, flags binary"
 REPEATED, SENDER = 1, 2
 
 
 def rows_of(rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) or [[]] * 7
-    types = [pa.int64(), pa.int64(), *[pa.binary()] * 5]
-    names = ["bucket", "key", "keys", "owners", "names", "kinds", "flags"]
+    types = [pa.int64(), pa.bool_(), *[pa.binary()] * 5]
+    names = ["bucket", "answer", "keys", "counts", "names", "kinds", "flags"]
     return pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(columns, types, strict=True)], names=names)
 
 
@@ -133,6 +108,8 @@ def packed(entries: list[Entry], buckets: int, width: int) -> Iterator[pa.Record
     sizes = [len(entry.names) for entry in entries]
     owners = np.repeat(np.arange(len(entries), dtype=np.uint32), sizes)
     names, kinds = np.concatenate([entry.names for entry in entries]), np.concatenate([entry.kinds for entry in entries])
+    held_keys = np.array([entry.key for entry in entries], np.int64)
+    entries.clear()
     with_kinds = len(kinds) > 0
     order = np.lexsort((kinds, names)) if with_kinds else np.argsort(names, kind="stable")
     owners, names = owners[order], names[order]
@@ -143,17 +120,17 @@ def packed(entries: list[Entry], buckets: int, width: int) -> Iterator[pa.Record
     starts = np.flatnonzero(np.r_[True, fresh])
     many = np.diff(np.r_[starts, len(names)]) > 1
     answered = np.repeat(many, np.diff(np.r_[starts, len(names)]))
-    yield from answers(np.array([entry.key for entry in entries])[owners[answered]], (kinds if with_kinds else names)[answered], buckets, width, with_kinds)
+    yield from answers(held_keys[owners[answered]], (kinds if with_kinds else names)[answered], buckets, width, with_kinds)
     owners, names = owners[starts], names[starts]
     kinds = kinds[starts] if with_kinds else kinds
     bucket = (mixed(names) % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
+    order = np.lexsort((owners, bucket))
     rows = []
     for some in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
-        held, local = np.unique(owners[some], return_inverse=True)
-        keys = np.array([entries[owner].key for owner in held], np.int64)
+        held, counts = np.unique(owners[some], return_counts=True)
+        keys = held_keys[held]
         rows.append((
-            int(bucket[some[0]]), None, keys.tobytes(), local.astype(np.uint16 if len(held) < 65536 else np.uint32).tobytes(),
+            int(bucket[some[0]]), False, keys.tobytes(), counts.astype(np.uint32).tobytes(),
             narrow(names[some], width), kinds[some].tobytes() if with_kinds else b"", np.packbits(many[some]).tobytes(),
         ))
     yield rows_of(rows)
@@ -170,16 +147,18 @@ def wide(data: bytes, width: int) -> np.ndarray:
 
 
 def answers(keys: np.ndarray, values: np.ndarray, buckets: int, width: int, with_kinds: bool, flags: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
-    """What each text is told: its values that repeat, a row for each text."""
+    """What each text is told: its values that repeat, packed by bucket of the text."""
     if not len(keys):
         return
-    order = np.argsort(keys, kind="stable")
-    keys, values = keys[order], values[order]
-    flags = np.full(len(keys), REPEATED, np.uint8) if flags is None else flags[order]
+    flags = np.full(len(keys), REPEATED, np.uint8) if flags is None else flags
+    bucket = keys % buckets
+    order = np.lexsort((keys, bucket))
+    keys, values, flags, bucket = keys[order], values[order], flags[order], bucket[order]
     rows = []
-    for some in np.split(np.arange(len(keys)), np.flatnonzero(np.diff(keys)) + 1):
+    for some in np.split(np.arange(len(keys)), np.flatnonzero(np.diff(bucket)) + 1):
+        owners, counts = np.unique(keys[some], return_counts=True)
         data = narrow(values[some], 8 if with_kinds else width)
-        rows.append((int(keys[some[0]]) % buckets, int(keys[some[0]]), None, None, data, None, flags[some].tobytes()))
+        rows.append((int(bucket[some[0]]), True, owners.tobytes(), counts.astype(np.uint32).tobytes(), data, None, flags[some].tobytes()))
     yield rows_of(rows)
 
 
@@ -191,8 +170,9 @@ def repeated(sent: DataFrame, buckets: int, width: int) -> DataFrame:
     """
 
     def sorted_names(key: tuple, table: pa.Table) -> pa.Table:
-        done = table.filter(pa.compute.is_valid(table["key"])).select(["key", "names", "flags"])
-        rows = table.filter(pa.compute.is_null(table["key"])).to_pylist()
+        columns = ["bucket", "keys", "counts", "names", "flags"]
+        done = table.filter(table["answer"]).select(columns)
+        rows = table.filter(pa.compute.invert(table["answer"])).to_pylist()
         if not rows:
             return done
         names = np.concatenate([wide(row["names"], width) for row in rows])
@@ -201,8 +181,7 @@ def repeated(sent: DataFrame, buckets: int, width: int) -> DataFrame:
         parts, twice = [], []
         for row in rows:
             owners, number = np.frombuffer(row["keys"], np.int64), len(row["names"]) // width
-            local = np.frombuffer(row["owners"], np.uint16 if len(owners) < 65536 else np.uint32)
-            parts.append(owners[local])
+            parts.append(np.repeat(owners, np.frombuffer(row["counts"], np.uint32)))
             twice.append(np.unpackbits(np.frombuffer(row["flags"], np.uint8))[:number].astype(bool))
         keys, many = np.concatenate(parts), np.concatenate(twice)
         order = np.lexsort((keys, kinds, names) if with_kinds else (keys, names))
@@ -210,26 +189,39 @@ def repeated(sent: DataFrame, buckets: int, width: int) -> DataFrame:
         kinds = kinds[order] if with_kinds else names
         name_starts = np.r_[True, names[1:] != names[:-1]]
         kind_starts = name_starts | np.r_[True, kinds[1:] != kinds[:-1]]
-        kind = np.cumsum(kind_starts) - 1
+        firsts = np.flatnonzero(kind_starts)
         # Texts that hold the kind, as the copies of a text may come from several tasks.
-        others = np.bincount(kind, weights=kind_starts | np.r_[True, keys[1:] != keys[:-1]]) > 1
-        flags = np.where((others | (np.bincount(kind, weights=many) > 0))[kind], REPEATED, 0).astype(np.uint8)
+        texts = np.add.reduceat(kind_starts | np.r_[True, keys[1:] != keys[:-1]], firsts, dtype=np.int32)
+        twice_ = (texts > 1) | np.logical_or.reduceat(many, firsts)
+        flags = np.repeat(np.where(twice_, REPEATED, 0).astype(np.uint8), np.diff(np.r_[firsts, len(keys)]))
         if with_kinds:
-            name = np.cumsum(name_starts) - 1
-            mixed_names = np.bincount(name, weights=kind_starts) > 1
-            flags |= np.where(mixed_names[name] & kind_starts, SENDER, 0).astype(np.uint8)
+            heads = np.flatnonzero(name_starts)
+            several = np.add.reduceat(kind_starts, heads, dtype=np.int32) > 1
+            flags[kind_starts & np.repeat(several, np.diff(np.r_[heads, len(keys)]))] |= SENDER
         told = (flags & SENDER > 0) | ((flags > 0) & ~many)
-        found = [pa.Table.from_batches([batch]).select(["key", "names", "flags"]) for batch in answers(keys[told], kinds[told], 1, width, with_kinds, flags[told])]
+        found = [pa.Table.from_batches([batch]).select(columns) for batch in answers(keys[told], kinds[told], buckets, width, with_kinds, flags[told])]
         return pa.concat_tables([done, *found])
 
-    answered = sent.groupBy("bucket").applyInArrow(sorted_names, "key long, names binary, flags binary")
-    return answered.groupBy("key").agg(F.collect_list("names").alias("values"), F.collect_list("flags").alias("flags"))
+    def gathered(key: tuple, table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        keys = np.concatenate([np.repeat(np.frombuffer(row["keys"], np.int64), np.frombuffer(row["counts"], np.uint32)) for row in rows])
+        given = np.frombuffer(b"".join(row["flags"] for row in rows), np.uint8)
+        size = sum(len(row["names"]) for row in rows) // max(len(keys), 1)
+        values = np.frombuffer(b"".join(row["names"] for row in rows), np.uint8).reshape(-1, size)
+        order = np.argsort(keys, kind="stable")
+        owners, counts = np.unique(keys, return_counts=True)
+        parts = np.split(order, np.cumsum(counts)[:-1])
+        columns = [pa.array([side[part].tobytes() for part in parts], pa.binary()) for side in (values, given)]
+        return pa.table([pa.array(owners), *columns], names=["key", "values", "flags"])
+
+    answered = sent.groupBy("bucket").applyInArrow(sorted_names, "bucket long, keys binary, counts binary, names binary, flags binary")
+    return answered.groupBy("bucket").applyInArrow(gathered, "key long, values binary, flags binary")
 
 
 def told(values: pa.Scalar, flags: pa.Scalar, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted values of a text and their flags, joined."""
-    found = wide(b"".join(values.as_py()), width)
-    given = np.frombuffer(b"".join(flags.as_py()), np.uint8)
+    found = wide(values.as_py(), width)
+    given = np.frombuffer(flags.as_py(), np.uint8)
     order = np.argsort(found, kind="stable")
     found, given = found[order], given[order]
     if not len(found):
@@ -256,6 +248,12 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts[new], reach[np.r_[np.flatnonzero(new)[1:] - 1, len(starts) - 1]]
 
 
+def spread(firsts: np.ndarray, lasts: np.ndarray) -> np.ndarray:
+    """All places from each first to before its last."""
+    sizes = lasts - firsts
+    return np.repeat(firsts - np.r_[0, np.cumsum(sizes)[:-1]][: len(sizes)], sizes) + np.arange(sizes.sum())
+
+
 def text_key(data: bytes) -> int:
     return xxhash.xxh3_64_intdigest(data) - (1 << 63)
 
@@ -286,7 +284,7 @@ def first_names(texts: DataFrame, length: int, cover: Cover, buckets: int, width
                 if len(data) < length or (key := text_key(data)) in seen:
                     continue
                 seen.add(key)
-                for _, names in named(data, length, cover):
+                for _, names in named(data, length, cover, width):
                     entries.append(Entry(key, names, np.zeros(0, np.uint64)))
                 held += len(data)
                 if held >= HELD:
@@ -310,7 +308,7 @@ def chosen_texts(texts: DataFrame, keys: DataFrame) -> DataFrame:
     return texts.mapInArrow(taken, "key long, data binary").dropDuplicates(["key"])
 
 
-SEGMENTS = "key long, size long, offset long, data binary, hits binary"
+SEGMENTS = "key long, size long, offset long, floor long, data binary, hits binary"
 
 
 def segments(texts: DataFrame, replies: DataFrame, length: int, cover: Cover, width: int) -> DataFrame:
@@ -321,30 +319,32 @@ def segments(texts: DataFrame, replies: DataFrame, length: int, cover: Cover, wi
             for row in range(batch.num_rows):
                 data = batch.column(1)[row].as_buffer()
                 found, given = told(batch.column(2)[row], batch.column(3)[row], width)
-                hits = [at[looked_up(names, found, given) > 0] for at, names in named(data, length, cover)]
+                hits = [at[looked_up(names, found, given) > 0] for at, names in named(data, length, cover, width)]
                 hits = np.concatenate(hits) if hits else np.zeros(0, np.int64)
                 low, high = np.maximum(hits - cover.period + 1, 0), np.minimum(hits + length, len(data))
                 rows = []
                 for start, end in zip(*merged(low, high), strict=True):
                     inside = hits[np.searchsorted(hits, start) : np.searchsorted(hits, end)]
+                    floor = int(start)  # a place is sent by one part only, though the parts of a long text overlap
                     for group in np.split(inside, np.flatnonzero(np.diff(inside // CHUNK)) + 1):
                         first, last = max(group[0] - cover.period + 1, 0), min(group[-1] + length, len(data))
-                        rows.append((len(data), int(first), bytes(data[first:last]), group.astype(np.int64).tobytes()))
-                columns = list(zip(*rows, strict=True)) or [[]] * 4
-                kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+                        rows.append((len(data), int(first), floor, bytes(data[first:last]), (group - first).astype(np.uint32).tobytes()))
+                        floor = int(group[-1]) + 1
+                columns = list(zip(*rows, strict=True)) or [[]] * 5
+                kinds = [*[pa.int64()] * 3, *[pa.binary()] * 2]
                 arrays = [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)]
                 keys = pa.array([batch.column(0)[row].as_py()] * len(rows), pa.int64())
-                yield pa.RecordBatch.from_arrays([keys, *arrays], names=["key", "size", "offset", "data", "hits"])
+                yield pa.RecordBatch.from_arrays([keys, *arrays], names=["key", "size", "offset", "floor", "data", "hits"])
 
     return texts.join(replies, "key").select("key", "data", "values", "flags").mapInArrow(cut, SEGMENTS)
 
 
-def surroundings(data: bytes, size: int, offset: int, hits: np.ndarray, length: int, cover: Cover) -> tuple[np.ndarray, ...]:
-    """(names, kinds, first places, last places) of the strings that cover each hit's triple, places relative to the part."""
+def surroundings(data: bytes, size: int, offset: int, hits: bytes, length: int, cover: Cover) -> tuple[np.ndarray, ...]:
+    """(names, kinds, first places, last places) of the strings that cover each hit's triple, relative to the part."""
     word = (length - cover.period + 1) // 3
     prints = Prints(np.frombuffer(data, np.uint8))
-    at = hits - offset
-    low, high = np.maximum(hits - cover.period + 1, 0) - offset, np.minimum(hits + length, size) - offset
+    at = np.frombuffer(hits, np.uint32).astype(np.int64)
+    low, high = np.maximum(at - cover.period + 1, -offset), np.minimum(at + length, size - offset)
     names = prints.at(at, at + 3 * word)
     return names, mixed(prints.at(low, high) + (at - low).astype(np.uint64)), low, np.minimum(at, size - length - offset)
 
@@ -356,7 +356,7 @@ def second_names(parts: DataFrame, length: int, cover: Cover, buckets: int) -> D
         entries, held = [], 0
         for batch in batches:
             for key, size, offset, data, hits in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                names, kinds, _, _ = surroundings(data, size, offset, np.frombuffer(hits, np.int64), length, cover)
+                names, kinds, _, _ = surroundings(data, size, offset, hits, length, cover)
                 entries.append(Entry(key, names, kinds))
                 held += len(data)
                 if held >= HELD:
@@ -368,32 +368,32 @@ def second_names(parts: DataFrame, length: int, cover: Cover, buckets: int) -> D
 
 
 def settled(parts: DataFrame, replies: DataFrame, length: int, cover: Cover) -> DataFrame:
-    """(key, starts, ends, places, prints): runs of bytes that repeat, and the strings a sender has to have compared."""
+    """(key, starts, ends, firsts, lasts, prints): runs of bytes that repeat, and the strings a sender has to have compared."""
 
     def told_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["key", "starts", "ends", "places", "prints"]
+        names = ["key", "starts", "ends", "firsts", "lasts", "prints"]
         for batch in batches:
             rows = []
             for row in range(batch.num_rows):
-                key, size, offset, data, hits = (batch.column(at)[row].as_py() for at in range(5))
-                _, kinds, first, last = surroundings(data, size, offset, np.frombuffer(hits, np.int64), length, cover)
-                flags = looked_up(kinds, *told(batch.column(5)[row], batch.column(6)[row], 8))
+                key, size, offset, data, hits, floor = (batch.column(at)[row].as_py() for at in range(6))
+                _, kinds, first, last = surroundings(data, size, offset, hits, length, cover)
+                flags = looked_up(kinds, *told(batch.column(6)[row], batch.column(7)[row], 8))
                 some = last >= first
                 known = some & (flags & REPEATED > 0)
                 starts, ends = merged(first[known], last[known] + length)
-                marks = np.zeros(len(data) + 2, np.int32)
                 send = some & (flags & SENDER > 0)
-                np.add.at(marks, first[send], 1)
-                np.add.at(marks, last[send] + 1, -1)
-                places = np.flatnonzero(np.cumsum(marks) > 0)
+                firsts, lasts = merged(first[send], last[send] + 1)
+                firsts = np.maximum(firsts, floor - offset)
+                firsts, lasts = firsts[firsts < lasts], lasts[firsts < lasts]
+                places = spread(firsts, lasts)
                 prints = Prints(np.frombuffer(data, np.uint8)).at(places, places + length)
-                rows.append((key, (starts + offset).tobytes(), (ends + offset).tobytes(), (places + offset).tobytes(), prints.tobytes()))
-            columns = list(zip(*rows, strict=True)) or [[]] * 5
-            kinds_ = [pa.int64(), *[pa.binary()] * 4]
+                rows.append((key, *((side + offset).tobytes() for side in (starts, ends, firsts, lasts)), prints.tobytes()))
+            columns = list(zip(*rows, strict=True)) or [[]] * 6
+            kinds_ = [pa.int64(), *[pa.binary()] * 5]
             yield pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(columns, kinds_, strict=True)], names=names)
 
-    both = parts.join(replies, "key").select("key", "size", "offset", "data", "hits", "values", "flags")
-    return both.mapInArrow(told_apart, "key long, starts binary, ends binary, places binary, prints binary")
+    both = parts.join(replies, "key").select("key", "size", "offset", "data", "hits", "floor", "values", "flags")
+    return both.mapInArrow(told_apart, "key long, starts binary, ends binary, firsts binary, lasts binary, prints binary")
 
 
 def third_names(places: DataFrame, buckets: int) -> DataFrame:
@@ -424,7 +424,8 @@ def runs(parts: DataFrame, replies: DataFrame, length: int) -> DataFrame:
                 starts = [np.frombuffer(part["starts"], np.int64) for part in parts_]
                 ends = [np.frombuffer(part["ends"], np.int64) for part in parts_]
                 if batch.column(2)[row].is_valid:
-                    places = np.concatenate([np.frombuffer(part["places"], np.int64) for part in parts_])
+                    runs_ = [[np.frombuffer(part[side], np.int64) for part in parts_] for side in ("firsts", "lasts")]
+                    places = spread(*map(np.concatenate, runs_))
                     prints = np.concatenate([np.frombuffer(part["prints"], np.uint64) for part in parts_])
                     places = places[looked_up(prints, *told(batch.column(2)[row], batch.column(3)[row], 8)) > 0]
                     starts, ends = [*starts, places], [*ends, places + length]
@@ -435,7 +436,7 @@ def runs(parts: DataFrame, replies: DataFrame, length: int) -> DataFrame:
                     lasts.append(last.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(firsts, pa.binary()), pa.array(lasts, pa.binary())], names=["key", "starts", "ends"])
 
-    whole = parts.groupBy("key").agg(F.collect_list(F.struct("starts", "ends", "places", "prints")).alias("parts"))
+    whole = parts.groupBy("key").agg(F.collect_list(F.struct("starts", "ends", "firsts", "lasts", "prints")).alias("parts"))
     return whole.join(replies, "key", "left").select("key", "parts", "values", "flags").mapInArrow(covered, "key long, starts binary, ends binary")
 
 
@@ -449,11 +450,14 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     enough. Rows that repeat an id are rows like others, a NULL id stays NULL, other columns are ignored, and an empty
     table gives no rows. Very long texts are worked on in chunks. Texts are told apart by 64-bit hashes.
     """
-    cover, width = cover_for(length), 6
+    cover = cover_for(length)
     rows = pin(described(docs, id_col, text_col))
     texts = docs.select(whole_text(text_col).cast("binary").alias("_data"))
     total = rows.agg(F.sum("n_bytes")).first()[0] or 0
-    buckets = max(1, -(-total * len(cover.residues) // cover.period // BUCKET))
+    samples = total * len(cover.residues) // cover.period
+    buckets = max(1, -(-samples // BUCKET))
+    # First names only choose candidates: one in 256 or fewer may match by chance.
+    width = min(6, max(5, (samples.bit_length() + 15) // 8))
 
     replies = pin(repeated(first_names(texts, length, cover, buckets, width), buckets, width))
     parts = pin(segments(chosen_texts(texts, replies.select("key")), replies, length, cover, width))
