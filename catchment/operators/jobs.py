@@ -16,8 +16,6 @@ DEFAULT_MAX_ATTEMPTS = 3
 # Fields every task must carry.
 TASK_FIELDS = ["job_id", "run_id", "provider", "postcode", "planned_window", "scheduled_at"]
 MENU_TASK_FIELDS = ["task_id", "run_id", "restaurant_id", "restaurant_unique_name", "scheduled_at"]
-# Fixed value: longest stored error text.
-ERROR_LENGTH = 2000
 
 
 def latest_manifest(manifest: DataFrame) -> DataFrame:
@@ -244,7 +242,7 @@ def manifest_results(tasks: DataFrame, chosen: DataFrame) -> DataFrame:
         F.aggregate(counts, F.lit(0), lambda total, one: total + one).cast("long").alias("opening_time_count"),
         F.nullif(F.array_join(types, "|"), F.lit("")).alias("opening_service_types"),
         "outcome",
-        F.when(failed, F.left(message, F.lit(ERROR_LENGTH))).alias("error"),
+        F.when(failed, message).alias("error"),
     )
 
 

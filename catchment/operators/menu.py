@@ -104,7 +104,7 @@ def menu_positions(state: DataFrame) -> DataFrame:
     """One row per (menu, category, item position), positions from zero."""
     menus = open_array(state, ["page_id", "restaurant_id", "restaurant_name"], "menus", "menu", "menu_index")
     categories = open_array(menus, ["*"], "menu.categories", "category", "category_index")
-    positions = open_array(categories, ["*"], "category.itemIds", "item_key", "position_in_category")
+    positions = open_array(categories, ["*"], "category.itemIds", "item_key", "position_in_category", keep_null=True)
     return positions.select(
         "page_id",
         "restaurant_id",
@@ -166,7 +166,7 @@ def missing_items(state: DataFrame) -> DataFrame:
 def menu_modifiers(state: DataFrame) -> DataFrame:
     """One row per modifier of each group; an unknown modifier keeps its row with blank columns."""
     groups = open_array(state, ["page_id", "restaurant_id", "restaurant_name"], "details.ModifierGroups", "group")
-    entries = open_array(groups, ["*"], "group.Modifiers", "modifier_set_id", "position_in_group")
+    entries = open_array(groups, ["*"], "group.Modifiers", "modifier_set_id", "position_in_group", keep_null=True)
     sets = open_array(state, ["page_id"], "details.ModifierSets", "set", "at").groupBy(
         "page_id", F.coalesce("set.Id", F.lit("None")).alias("modifier_set_id")
     ).agg(F.max_by("set.Modifier", "at").alias("modifier"))

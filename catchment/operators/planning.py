@@ -319,10 +319,11 @@ def scrape_jobs(scheduled: DataFrame, run: Run) -> DataFrame:
     return rows.withColumn("job_id", identifier).drop("run_id", "task_name")
 
 
-def seeded_sample(df: DataFrame, seed: str, n: int, id_column: str = "restaurant_id", slug_column: str = "restaurant_unique_name") -> DataFrame:
-    """The first n rows, with a slug, in the order of a seeded hash; adds `rank_key` to sort by."""
+def seeded_sample(df: DataFrame, seed: str, n: int | None, id_column: str = "restaurant_id", slug_column: str = "restaurant_unique_name") -> DataFrame:
+    """The first n rows (all without n), with a slug, in the order of a seeded hash; adds `rank_key` to sort by."""
     rank = F.sha2(F.concat(F.col(id_column).cast("string"), F.lit(seed)), 256)
-    return df.filter(F.col(slug_column) != "").withColumn("rank_key", rank).orderBy("rank_key", id_column).limit(n)
+    ranked = df.filter(F.col(slug_column) != "").withColumn("rank_key", rank)
+    return ranked if n is None else ranked.orderBy("rank_key", id_column).limit(n)
 
 
 def menu_tasks(restaurants: DataFrame, run_id: str, now: str) -> DataFrame:

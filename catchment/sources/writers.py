@@ -257,8 +257,7 @@ def export_release(
     for spec in specs:
         source = tables[spec.source_table]
         export_dataset(source, spec, out_dir, rows_per_file, max_rows)
-        counted = source.limit(max_rows) if max_rows is not None else source
-        summaries.append(release_summary(counted, spec, max_rows))
+        summaries.append(release_summary(source, spec, max_rows))
         dictionaries.append(data_dictionary(source, spec.dataset, spec.source_table))
         sample = release_sample(source, spec, sample_rows)
         write_csv(sample.drop("sample_rank").coalesce(1), f"{out_dir}/csv_samples/{spec.dataset}")

@@ -86,8 +86,8 @@ def plan_collection(
     return tasks, rows
 
 
-def plan_menus(spark: SparkSession, profile: DataFrame, run_id: str, now: str, seed: str, limit: int = 1000, out: str | None = None) -> DataFrame:
-    """Menu tasks of a seeded sample of the outlets."""
+def plan_menus(spark: SparkSession, profile: DataFrame, run_id: str, now: str, seed: str, limit: int | None = None, out: str | None = None) -> DataFrame:
+    """Menu tasks of the outlets in seeded order; with a limit, of the first ones."""
     tasks = planning.menu_tasks(planning.seeded_sample(profile, seed, limit), run_id, now)
     if out:
         writers.append_rows(tasks, out, "menu_manifest_tasks")

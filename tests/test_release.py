@@ -40,6 +40,8 @@ def test_release(spark, tables, tmp_path, rows):
 def test_sample_export(tables, tmp_path, rows):
     found = rows(writers.export_release(tables, str(tmp_path / "small"), ["profile"], max_rows=7))
     assert sum(row["rows"] for row in found) == 7
+    summary = next((tmp_path / "small" / "release_summary").glob("*.csv")).read_text(encoding="utf-8")
+    assert f",{tables['restaurant_profile'].count()},7,0," in summary
 
 
 def test_specs_and_dictionary(spark, tables, rows):
