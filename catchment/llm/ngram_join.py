@@ -14,13 +14,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from catchment.llm.common import whole_text
 from catchment.llm.components import components
 from catchment.llm.presence import passes, presence
-from catchment.llm.shingles import mixed, set_key, shingles
+from catchment.llm.prints import mixed
+from catchment.llm.shingles import set_key, sets_in
 from catchment.session import pin
 
 #: Similarity in percent.
@@ -71,17 +73,16 @@ def added(rows: DataFrame) -> np.ndarray:
 
 
 def describe(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows (id, n, key) of each document, and each task's counters as rows (slice, counts)."""
+    """Rows (id, n, key, text_key) of each document, and each task's counters as rows (slice, counts)."""
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "n", "key", "slice", "counts"]
+        names = ["id", "n", "key", "text_key", "slice", "counts"]
         counts = np.zeros(SKETCH, np.uint32)
         seen: set[int] = set()
         for batch in batches:
             sizes, keys, fresh = [], [], []
-            for text in batch.column(1):
-                found = shingles(text.as_py())
+            for found in sets_in(batch.column(1)):
                 sizes.append(len(found))
                 keys.append(set_key(found) if len(found) else None)
                 if len(found) and keys[-1] not in seen:
@@ -92,12 +93,17 @@ def describe(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             if fresh:
                 counts += np.bincount(np.concatenate(fresh), minlength=SKETCH).astype(np.uint32)
             none = pa.nulls(len(sizes))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), none.cast(pa.int32()), none.cast(pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), text_keys(batch.column(1)), none.cast(pa.int32()), none.cast(pa.binary())], names=names)
         parts = list(sketch_rows(counts))
         none = pa.nulls(len(parts)).cast(pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, pa.array([p[0] for p in parts], pa.int32()), pa.array([p[1] for p in parts], pa.binary())], names=names)
+        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array([p[0] for p in parts], pa.int32()), pa.array([p[1] for p in parts], pa.binary())], names=names)
 
-    return rows.mapInArrow(described, "id long, n long, key long, slice int, counts binary")
+    return rows.mapInArrow(described, "id long, n long, key long, text_key long, slice int, counts binary")
+
+
+def text_keys(texts: pa.Array) -> pa.Array:
+    """A quick hash of each text, to find texts again without working out their shingles."""
+    return pa.array([xxhash.xxh3_64_intdigest(text.as_buffer()) - (1 << 63) if text.is_valid else None for text in texts], pa.int64())
 
 
 ENTRY = np.dtype([("shingle", "<u8"), ("key", "<i8"), ("n", "<i4")])
@@ -111,7 +117,7 @@ def prefixes(docs: DataFrame, text_col: str, levels: np.ndarray, buckets: int, p
             if not parts:
                 return
             entries = np.concatenate(parts)
-            spread = np.maximum(levels[(entries["shingle"] % np.uint64(SKETCH)).astype(np.int64)].astype(np.int64) - PART_BITS, 0)
+            spread = spread_bits(entries["shingle"], levels)
             part = mixed(entries["key"].astype(np.uint64)) & ((np.uint64(1) << spread.astype(np.uint64)) - np.uint64(1))
             bucket = (mixed(entries["shingle"] + part) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
@@ -121,8 +127,7 @@ def prefixes(docs: DataFrame, text_col: str, levels: np.ndarray, buckets: int, p
 
         parts, held, seen = [], 0, set()
         for batch in batches:
-            for text in batch.column(0):
-                found = shingles(text.as_py())
+            for found in sets_in(batch.column(0)):
                 if not len(found) or (key := set_key(found)) in seen:
                     continue
                 seen.add(key)
@@ -140,25 +145,38 @@ def prefixes(docs: DataFrame, text_col: str, levels: np.ndarray, buckets: int, p
     return docs.select(F.col(text_col).alias("_text")).mapInArrow(packed, "bucket long, entries binary")
 
 
-def grouped(packed: DataFrame, percent: int) -> DataFrame:
-    """Groups of two sets or more: (part, keys, sizes, leaders), by size; the leader of a set is the first it can link to."""
+def spread_bits(shingle: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """Bits of the set's key that deal a frequent shingle's sets to parts; none for most."""
+    return np.maximum(levels[(shingle % np.uint64(SKETCH)).astype(np.int64)].astype(np.int64) - PART_BITS, 0)
+
+
+def grouped(packed: DataFrame, levels: np.ndarray, percent: int) -> DataFrame:
+    """Groups of two sets or more: (shingle, keys, sizes, leaders), by size.
+
+    A group ends where the next larger set is too large to link. The leader of a set is the first it can link to. Parts of
+    a frequent shingle are kept whole, as their sets may link to those of other parts.
+    """
 
     def groups(key: tuple, table: pa.Table) -> pa.Table:
         entries = np.frombuffer(b"".join(table["entries"].to_pylist()), ENTRY)
         entries = entries[np.lexsort((entries["key"], entries["n"], entries["shingle"]))]
-        fresh = np.r_[True, (entries["shingle"][1:] != entries["shingle"][:-1]) | (entries["key"][1:] != entries["key"][:-1])]
-        entries = entries[fresh[: len(entries)]]
-        starts = np.flatnonzero(np.r_[True, entries["shingle"][1:] != entries["shingle"][:-1]][: len(entries)])
+        other = entries["shingle"][1:] != entries["shingle"][:-1]
+        entries = entries[np.r_[True, other | (entries["key"][1:] != entries["key"][:-1])][: len(entries)]]
+        other = entries["shingle"][1:] != entries["shingle"][:-1]
+        n = entries["n"].astype(np.int64)
+        parted = spread_bits(entries["shingle"], levels) > 0
+        ends_here = other | ((100 * n[:-1] < percent * n[1:]) & ~parted[1:])
+        starts = np.flatnonzero(np.r_[True, ends_here][: len(entries)])
         ends = np.r_[starts[1:], len(entries)] if len(starts) else starts
+        useful = (ends - starts > 1) | parted[starts]
         rows, known = [], set()
-        for start, end in zip(starts[ends - starts > 1], ends[ends - starts > 1], strict=True):
-            keys, sizes = entries["key"][start:end], entries["n"][start:end].astype(np.int64)
+        for start, end in zip(starts[useful], ends[useful], strict=True):
+            keys, sizes = entries["key"][start:end], n[start:end]
             content = keys.tobytes()
-            if content in known:  # the same sets met at another shingle
+            if content in known and not parted[start]:  # the same sets met at another shingle
                 continue
             known.add(content)
-            least = -(-percent * sizes // 100)
-            leaders = keys[np.searchsorted(sizes, least)]
+            leaders = keys[np.searchsorted(sizes, -(-percent * sizes // 100))]
             rows.append((int(entries["shingle"][start]) - (1 << 63), content, entries["n"][start:end].tobytes(), leaders.tobytes()))
         columns = list(zip(*rows, strict=True)) or [[]] * 4
         kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
@@ -183,41 +201,66 @@ def members(groups: DataFrame) -> DataFrame:
     return columns.mapInArrow(opened, "shingle long, part long, key long, n int, leader long")
 
 
-def sets_of(docs: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame:
-    """(key, n, bitmap, hashes) of the wanted sets, each once; other texts are read but not moved."""
-    filter_bits = presence(wanted.select("key"))
+def one_text(described: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, text_key): for each set of the keys the text that stands for it."""
+    rows = described.filter("key IS NOT NULL").join(keys.distinct(), "key", "left_semi")
+    return pin(rows.groupBy("key").agg(F.min("text_key").alias("text_key")))
+
+
+def sets_of(docs: DataFrame, text_col: str, wanted: DataFrame, whole: bool) -> DataFrame:
+    """(text_key, value) of the wanted texts: the whole set of each, or its bitmap.
+
+    Other texts are read, but neither worked out nor moved; a few may slip through and meet nothing later.
+    """
+    bits = presence(wanted.select("text_key"))
 
     def taken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            rows, held = [], 0
-            for text in batch.column(0):
-                found = shingles(text.as_py())
-                if not len(found):
-                    continue
-                key = set_key(found)
-                if key in seen or not passes(filter_bits, np.array([key]))[0]:
-                    continue
-                if len(seen) > 1 << 20:
-                    seen.clear()
-                seen.add(key)
-                rows.append((key, len(found), bitmap(found), found.tobytes()))
-                held += len(found)
-                if held > BUCKET:
-                    yield batch_of(rows)
-                    rows, held = [], 0
-            yield batch_of(rows)
-
-    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        columns = list(zip(*rows, strict=True)) or [[]] * 4
-        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["key", "n", "bitmap", "hashes"])
+            found = text_keys(batch.column(0))
+            keys = found.fill_null(0).to_numpy()
+            at = []
+            for row in np.flatnonzero(passes(bits, keys)).tolist():
+                if keys[row] not in seen:
+                    seen.add(keys[row])
+                    at.append(row)
+            if len(seen) > 1 << 20:
+                seen.clear()
+            for some in np.array_split(np.array(at, np.int64), len(at) // 256 + 1):
+                rows = pa.array(some, pa.int64())
+                values = pa.array([hashes.tobytes() if whole else bitmap(hashes) for hashes in sets_in(batch.column(0).take(rows))], pa.binary())
+                yield pa.RecordBatch.from_arrays([found.take(rows), values], names=["text_key", "value"])
+
+    found = docs.select(F.col(text_col).alias("_text")).mapInArrow(taken, "text_key long, value binary")
+    return found.dropDuplicates(["text_key"])
+
+
+def with_room(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, n_a, n_b) whose bitmaps leave room for a link."""
 
-    found = docs.select(F.col(text_col).alias("_text")).mapInArrow(taken, "key long, n int, bitmap binary, hashes binary")
-    return found.join(wanted.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, other = (np.frombuffer(b"".join(batch.column(at).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for at in (4, 5))
+            both = batch.column(2).to_numpy().astype(np.int64) + batch.column(3).to_numpy()
+            differ = np.bitwise_count(one ^ other).sum(axis=1, dtype=np.int64)
+            keep = pa.array(room(differ, both, percent), pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(at).filter(keep) for at in (0, 1)], names=["a", "b"])
+
+    left = bitmaps.select(F.col("key").alias("a"), F.col("bitmap").alias("_one"))
+    right = bitmaps.select(F.col("key").alias("b"), F.col("bitmap").alias("_other"))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "_one", "_other")
+    return both.mapInArrow(compared, "a long, b long")
+
+
+def room(differ: np.ndarray, both: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of `both` shingles together can link, given how many bits of their bitmaps differ.
+
+    common <= (both - differ) / 2, and a link needs 100 * common >= percent * (both - common).
+    """
+    return (100 + percent) * (both - differ) >= 2 * percent * both
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, wanted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that link, by exact intersection."""
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,17 +270,74 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
 
-    left = sets.select(F.col("key").alias("a"), F.col("hashes").alias("_first"))
-    right = sets.select(F.col("key").alias("b"), F.col("hashes").alias("_second"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "_first", "_second")
+    texts = [wanted.select(F.col("key").alias(side), F.col("text_key").alias(f"_text_{side}")) for side in ("a", "b")]
+    placed = pairs.join(texts[0], "a").join(texts[1], "b")
+    # Sets are dealt out once, by text, for both joins.
+    left = sets.select(F.col("text_key").alias("_text_a"), F.col("value").alias("_first"))
+    right = sets.select(F.col("text_key").alias("_text_b"), F.col("value").alias("_second"))
+    both = placed.join(left, "_text_a").join(right, "_text_b").select("a", "b", "_first", "_second")
     return both.mapInArrow(checked, "a long, b long")
 
 
-def tiled(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components in a group whose bitmaps leave room for a link."""
+def forest(a: np.ndarray, b: np.ndarray, differ: np.ndarray) -> np.ndarray:
+    """Positions of the pairs of a spanning forest that takes the pairs with the fewest differences first."""
+    over: dict[int, int] = {}
+
+    def top(node: int) -> int:
+        while (above := over.get(node, node)) != node:
+            over[node] = node = over.get(above, above)
+        return node
+
+    kept = []
+    for at in np.argsort(differ, kind="stable").tolist():
+        one, other = top(int(a[at])), top(int(b[at]))
+        if one != other:
+            over[one] = other
+            kept.append(at)
+    return np.array(kept, np.int64)
+
+
+class Side:
+    """One side of the tiles of a batch: the members of all tiles, one after the other."""
+
+    def __init__(self, column: pa.Array) -> None:
+        sets = column.flatten()
+        self.sizes = column.value_lengths().to_numpy().astype(np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.key, self.component = sets.field("key").to_numpy(), sets.field("component").to_numpy()
+        self.n = sets.field("n").to_numpy().astype(np.int64)
+        self.maps = np.frombuffer(b"".join(sets.field("bitmap").to_pylist()), np.uint64).reshape(len(sets), -1)
+
+
+def pairs_with_room(one: Side, other: Side, cells: np.ndarray, tiles: np.ndarray, first: int, most: int, percent: int) -> np.ndarray:
+    """(tile, i, j, share of bits that differ) of the pairs of some tiles, from the first-th on, that may link."""
+    ends = np.cumsum(cells[tiles])
+    number = np.arange(first, min(first + most, ends[-1]))
+    place = np.searchsorted(ends, number, side="right")
+    tile = tiles[place]
+    number = number - (ends - cells[tiles])[place]
+    i, j = one.starts[tile] + number // other.sizes[tile], other.starts[tile] + number % other.sizes[tile]
+    n1, n2 = one.n[i], other.n[j]
+    keep = (one.component[i] != other.component[j]) & (100 * np.minimum(n1, n2) >= percent * np.maximum(n1, n2))
+    tile, i, j = tile[keep], i[keep], j[keep]
+    both = one.n[i] + other.n[j]
+    differ = np.concatenate([np.zeros(0, np.int64), *(np.bitwise_count(one.maps[i[at : at + 8192]] ^ other.maps[j[at : at + 8192]]).sum(axis=1, dtype=np.int64) for at in range(0, len(i), 8192))])
+    keep = room(differ, both, percent)
+    return np.stack([tile[keep], i[keep], j[keep], differ[keep] * 1_000_000 // np.maximum(both[keep], 1)])
+
+
+def tiled(sides: DataFrame, components: DataFrame, bitmaps: DataFrame, percent: int, spanning: bool) -> DataFrame:
+    """Pairs (shingle, a, b) of different components in a group whose bitmaps leave room for a link.
+
+    All of them, or with `spanning` only those of each tile's likeliest spanning forest of components.
+    """
+    marked = sides.select("shingle", "part", "key", "n").join(components.withColumnRenamed("node", "key"), "key", "left")
+    marked = marked.withColumn("component", F.coalesce("component", "key"))
+    split = marked.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
+    rest = marked.join(split.select("shingle"), "shingle", "left_semi")
     place = Window.partitionBy("shingle", "part").orderBy("n", "key")
     numbered = rest.withColumn("block", F.floor((F.row_number().over(place) - 1) / TILE))
-    side = numbered.join(sets.select("key", "bitmap"), "key")
+    side = numbered.join(bitmaps, "key")
     packed = side.groupBy("shingle", "part", "block").agg(
         F.min("n").alias("low"), F.max("n").alias("high"), F.collect_list(F.struct("key", "n", "component", "bitmap")).alias("sets")
     )
@@ -246,31 +346,27 @@ def tiled(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     # Blocks of one shingle meet, each pair of blocks once, if their sizes can link.
     ordered = (F.col("part_1") < F.col("part_2")) | ((F.col("part_1") == F.col("part_2")) & (F.col("block_1") <= F.col("block_2")))
     near = (100 * F.col("high_1") >= percent * F.col("low_2")) & (100 * F.col("high_2") >= percent * F.col("low_1"))
-    tiles = first.join(second, (F.col("shingle_1") == F.col("shingle_2")) & ordered & near).select("sets_1", "sets_2")
+    tiles = first.join(second, (F.col("shingle_1") == F.col("shingle_2")) & ordered & near).select("sets_1", "sets_2", "shingle_1")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def arrays(sets: pa.StructArray) -> tuple[np.ndarray, ...]:
-            maps = np.frombuffer(b"".join(sets.field("bitmap").to_pylist()), np.uint64).reshape(len(sets), -1)
-            return sets.field("key").to_numpy(), sets.field("n").to_numpy().astype(np.int64), sets.field("component").to_numpy(), maps
-
         for batch in batches:
-            for one, other in zip(batch.column(0), batch.column(1), strict=True):
-                k1, n1, c1, m1 = arrays(one.values)
-                k2, n2, c2, m2 = arrays(other.values)
-                firsts, seconds = [], []
-                for i in range(len(k1)):
-                    both = n1[i] + n2
-                    differ = np.bitwise_count(m1[i] ^ m2).sum(axis=1, dtype=np.int64)
-                    # common <= (both - differ) / 2, and a link needs 100 * common >= percent * (both - common).
-                    room = (100 + percent) * (both - differ) >= 2 * percent * both
-                    at = np.flatnonzero(room & (c1[i] != c2))
-                    firsts.append(np.minimum(k1[i], k2[at]))
-                    seconds.append(np.maximum(k1[i], k2[at]))
-                a, b = np.concatenate(firsts), np.concatenate(seconds)
-                pairs = np.unique(np.stack([a, b]), axis=1) if len(a) else np.zeros((2, 0), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
-
-    return tiles.mapInArrow(compared, "a long, b long").distinct()
+            one, other = Side(batch.column(0)), Side(batch.column(1))
+            cells = one.sizes * other.sizes
+            found = [np.zeros((4, 0), np.int64)]
+            # About as many pairs at a time as fit a core's cache.
+            for tiles_ in np.split(np.arange(len(cells)), np.flatnonzero(np.diff(np.cumsum(cells) // (1 << 15))) + 1):
+                for part in range(0, int(cells[tiles_].sum()), 1 << 18):
+                    found.append(pairs_with_room(one, other, cells, tiles_, part, 1 << 18, percent))
+            tile, i, j, share = np.concatenate(found, axis=1)
+            if spanning and len(tile):
+                kept = [some[forest(one.component[i[some]], other.component[j[some]], share[some])] for some in np.split(np.arange(len(tile)), np.flatnonzero(np.diff(tile)) + 1)]
+                tile, i, j = (side[np.concatenate(kept)] for side in (tile, i, j))
+            a, b = one.key[i], other.key[j]
+            shingle = batch.column(2).to_numpy()[tile]
+            pairs = np.unique(np.stack([shingle, np.minimum(a, b), np.maximum(a, b)]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(side) for side in pairs], names=["shingle", "a", "b"])
+
+    return tiles.mapInArrow(compared, "shingle long, a long, b long")
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -283,30 +379,38 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     apart by 64-bit values and shingles by 64-bit hashes; links are checked on whole sets.
     """
     described = pin(describe(docs, id_col, text_col))
-    rows = described.filter("slice IS NULL").select("id", "n", "key")
+    rows = described.filter("slice IS NULL").select("id", "n", "key", "text_key")
     levels = np.floor(np.log2(added(described.filter("slice IS NOT NULL").select("slice", "counts")).astype(float) + 1)).astype(np.uint8)
     total = rows.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, -(-total * (100 - percent) // 100 // BUCKET))
 
-    groups = pin(grouped(prefixes(docs, text_col, levels, buckets, percent), percent))
-    sides = pin(members(groups))
-    # Parts of one shingle meet in their first sets.
+    sides = pin(members(grouped(prefixes(docs, text_col, levels, buckets, percent), levels, percent)))
+    wanted = one_text(rows, sides.select("key"))
+    bitmaps = pin(sets_of(docs, text_col, wanted, whole=False).join(wanted, "text_key").select("key", F.col("value").alias("bitmap")))
+    # One leader for each set, the smallest of those its groups have; parts of one shingle meet in their first sets.
     heads = Window.partitionBy("shingle").orderBy("n", "key")
-    joints = (
-        sides.groupBy("shingle", "part").agg(F.min(F.struct("n", "key")).alias("head")).select("shingle", "head.*")
-        .select("key", F.lag("key").over(heads).alias("leader")).filter("leader IS NOT NULL AND key <> leader")
+    first = sides.groupBy("shingle", "part").agg(F.min(F.struct("n", "key")).alias("head")).select("shingle", "head.*")
+    joints = first.select("key", F.lag("key").over(heads).alias("leader")).filter("leader IS NOT NULL AND key <> leader")
+    stars = sides.filter("key <> leader").groupBy("key").agg(F.min("leader").alias("leader")).unionByName(joints).distinct()
+    sizes = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("n").alias("n"))
+    pairs = (
+        stars.join(sizes.withColumnRenamed("n", "n_a"), "key").withColumnRenamed("key", "a")
+        .join(sizes.select(F.col("key").alias("leader"), F.col("n").alias("n_b")), "leader").withColumnRenamed("leader", "b")
     )
-    sets = pin(sets_of(docs, text_col, sides.select("key").distinct()))
-    # One leader for each set: the smallest of those its groups have.
-    stars = sides.filter("key <> leader").groupBy("key").agg(F.min("leader").alias("leader")).unionByName(joints)
-    links = pin(verified(stars.select(F.col("key").alias("a"), F.col("leader").alias("b")).distinct(), sets, percent))
-    first = components(links)
-    marked = sides.select("shingle", "part", "key", "n").join(first.withColumnRenamed("node", "key"), "key", "left")
-    marked = pin(marked.withColumn("component", F.coalesce("component", "key")))
-    split = marked.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-    rest = marked.join(split.select("shingle"), "shingle", "left_semi")
-    more = verified(tiled(rest, sets, percent), sets, percent)
-    joined = components(links.unionByName(more)).withColumnRenamed("node", "key")
+    links = docs.sparkSession.createDataFrame([], "a long, b long")
+    pairs = pin(with_room(pairs, bitmaps, percent).distinct())
+    # Later turns compare what the components so far leave apart: the likeliest pairs, then all pairs that have room.
+    for turn in range(3):
+        if turn:
+            found = pin(tiled(sides, components(links), bitmaps, percent, spanning=turn == 1))
+            # Groups without any pair of room have none later, when components are larger.
+            sides = sides.join(found.select("shingle").distinct(), "shingle", "left_semi")
+            pairs = found.select("a", "b").distinct()
+        ends = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))
+        # Worked out for either end anew rather than stored: whole sets are larger than the texts.
+        wanted = one_text(rows, ends)
+        links = pin(links.unionByName(verified(pairs, wanted, sets_of(docs, text_col, wanted, whole=True), percent)))
+    joined = components(links).withColumnRenamed("node", "key")
 
     placed = pin(rows.join(joined, "key", "left").withColumn("component", F.coalesce("component", "key")))
     smallest = placed.filter("key IS NOT NULL").groupBy("component").agg(F.min("id").alias("component_id"))
