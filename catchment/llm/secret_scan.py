@@ -37,7 +37,8 @@ STEMS = {
 PLACEHOLDERS = ("example", "changeme", "change-me", "placeholder", "your", "dummy", "none", "null", "true", "false", "xxxx", "****", "todo")
 THRESHOLD = 0.55
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
-_HINT = re.compile("|".join(["passw", "passphrase", "pwd", "secret", "token", "credential", "key", "auth", "bearer", "signature", "salt"]), re.IGNORECASE | re.ASCII)
+#: Texts without any of these hold no name of a sensitivity above 0: parts of a name that are joined have only signs between them.
+_HINT = re.compile("|".join("[_.-]*".join(stem) for stem in STEMS), re.IGNORECASE | re.ASCII)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
