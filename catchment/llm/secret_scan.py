@@ -2,7 +2,8 @@
 
 A lexer reads name-literal pairs of source code and configuration (`name = "x"`, `name: x`, `"name": "x"`, `name => x`).
 A literal joined with + or standing behind another name (`key = base`) is followed to where it was written. A literal is
-reported when the names it reaches and its own looks score high enough.
+reported when the names it reaches and its own looks score high enough, whatever its length. A name stands for what was
+last assigned to it.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -55,27 +58,95 @@ def sensitivity(name: str) -> float:
     return max((STEMS.get(part, 0.0) for part in [*parts, *joined]), default=0.0)
 
 
-def looks(literal: str) -> float:
+class Value:
+    """What a name holds: a literal of the text, or values joined. Its text is never built, whatever its length."""
+
+    __slots__ = ("place", "terms", "profile")
+
+    def __init__(self, place: tuple[int, int] | None = None, terms: tuple[Value, ...] = ()) -> None:
+        self.place, self.terms = place, terms
+        self.profile: Profile | None = None
+
+
+class Profile(NamedTuple):
+    """What the score of a text is made of; `head` and `tail` are as long as a placeholder that stands across a join."""
+
+    size: int
+    counts: Counter[str]
+    head: str
+    tail: str
+    refused: bool
+
+
+_EDGE = max(map(len, PLACEHOLDERS)) - 1
+
+
+def refused(literal: str) -> bool:
+    return " " in literal or any(word in literal.lower() for word in PLACEHOLDERS)
+
+
+def profile_of(literal: str) -> Profile:
+    return Profile(len(literal), Counter(literal), literal[:_EDGE], literal[-_EDGE:], refused(literal))
+
+
+def joined_profile(one: Profile, other: Profile) -> Profile:
+    """The profile of both texts, one after the other."""
+    across = one.refused or other.refused or refused(one.tail + other.head)
+    return Profile(one.size + other.size, one.counts + other.counts, (one.head + other.head)[:_EDGE], (one.tail + other.tail)[-_EDGE:], across)
+
+
+def profile(value: Value, text: str) -> Profile:
+    """The profile of a value, worked out once for each value that it is made of."""
+    waiting = [value]
+    while waiting:
+        top = waiting[-1]
+        if missing := [term for term in top.terms if term.profile is None]:
+            waiting += missing
+            continue
+        waiting.pop()
+        if top.profile is None:
+            start, end = top.place or (0, 0)
+            top.profile = reduce(joined_profile, (term.profile for term in top.terms)) if top.terms else profile_of(text[start:end])
+    return value.profile
+
+
+def looks(its: Profile) -> float:
     """From 0 to 1: long, varied literals of mixed characters look like secrets, words and placeholders don't."""
-    if len(literal) < 8 or " " in literal or any(word in literal.lower() for word in PLACEHOLDERS):
+    if its.size < 8 or its.refused:
         return 0.0
-    counts = Counter(literal).values()
-    entropy = -sum(n / len(literal) * math.log2(n / len(literal)) for n in counts)
-    kinds = sum(bool(re.search(kind, literal)) for kind in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+    shares = [n / its.size for n in its.counts.values()]
+    entropy = -sum(share * math.log2(share) for share in shares if share > 0)  # a share may be too small for a float
+    characters = "".join(its.counts)
+    kinds = sum(bool(re.search(kind, characters)) for kind in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
     return min(1.0, entropy / 4) * (0.4 if kinds < 2 else 1.0)
 
 
-def literal_of(text: str, start: int, end: int) -> tuple[str, int, int]:
+def places(value: Value, seen: set[int]) -> Iterator[tuple[int, int]]:
+    """Places of the literals a value is made of; values in `seen` have been asked before."""
+    waiting = [value]
+    while waiting:
+        top = waiting.pop()
+        if id(top) in seen:
+            continue
+        seen.add(id(top))
+        waiting += top.terms
+        if top.place:
+            yield top.place
+
+
+def literal_of(text: str, start: int, end: int) -> tuple[int, int]:
     if text[start] in "\"'" and end - start >= 2:
-        return text[start + 1 : end - 1], start + 1, end - 1
-    return text[start:end].rstrip("."), start, start + len(text[start:end].rstrip("."))
+        return start + 1, end - 1
+    return start, start + len(text[start:end].rstrip("."))
 
 
 def named_spans(text: str) -> list[tuple[int, int, int]]:
     """Spans of literals that reach a sensitive name."""
     if not _HINT.search(text):
         return []
-    values: dict[str, tuple[str, frozenset[tuple[int, int]]]] = {}
+    values: dict[str, Value] = {}
+    told: list[Value] = []  # holds on to the values whose ids are in `seen`
+    seen: set[int] = set()
     found: set[tuple[int, int]] = set()
     at = 0
     while pair := _PAIR.search(text, at):
@@ -83,19 +154,17 @@ def named_spans(text: str) -> list[tuple[int, int, int]]:
         while more := _MORE.match(text, at):
             terms.append(more.span(1))
             at = more.end()
-        whole, spans = "", frozenset()
+        parts = []
         for start, end in terms:
             raw = text[start:end]
-            if _NAME.match(raw) and raw in values:
-                literal, places = values[raw]
-            else:
-                literal, first, last = literal_of(text, start, end)
-                places = frozenset([(first, last)])
-            whole, spans = whole + literal, spans | places
-        if len(whole) <= 4096:
-            values[pair["name"]] = (whole, spans)
-        if sensitivity(pair["name"]) * looks(whole) >= THRESHOLD:
-            found |= {place for place in spans if place[1] > place[0]}
+            known = values.get(raw) if _NAME.match(raw) else None
+            parts.append(known or Value(literal_of(text, start, end)))
+        value = parts[0] if len(parts) == 1 else Value(terms=tuple(parts))
+        values[pair["name"]] = value
+        weight = sensitivity(pair["name"])
+        if weight >= THRESHOLD and weight * looks(profile(value, text)) >= THRESHOLD:
+            told.append(value)
+            found |= {place for place in places(value, seen) if place[1] > place[0]}
         at = max(at, pair.start() + 1)
     return sorted((start, 3, end) for start, end in found)
 

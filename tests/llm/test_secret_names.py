@@ -1,6 +1,8 @@
 """Secret scan: names, constants and assignments of many forms."""
 
+import functools
 import itertools
+import random
 
 import pytest
 
@@ -26,3 +28,37 @@ def test_texts_with_any_sensitive_name_are_read(stem):
 def test_joined_names_alone_in_a_text(name):
     assert secret_scan.sensitivity(name) >= 0.8
     assert found(f'{name}="{LITERAL}"') == {LITERAL}
+
+
+def long_literal(size):
+    random.seed(size)
+    return "".join(random.choices("abcdefghkmABCDEFGHKM23456789+/", k=size))
+
+
+@pytest.mark.parametrize("size", [100, 4096, 4097, 200_000])
+def test_long_constants_reach_sensitive_names(size):
+    blob = long_literal(size)
+    assert found(f'blob = "{blob}"\nbase = blob\nprivate_key_password = base\n') == {blob}
+    assert found(f'blob = "{blob}"\nsecret = blob + "tail9"\n') == {blob, "tail9"}
+
+
+def test_a_name_stands_for_its_last_value():
+    blob = long_literal(5000)
+    assert found(f'base = "{LITERAL}"\nbase = "{blob}"\npassword = base\n') == {blob}
+    assert found(f'base = "{LITERAL}"\nbase = "{"many words " * 500}"\npassword = base\n') == set()
+
+
+def test_scores_of_joined_values_are_those_of_the_text():
+    random.seed(3)
+    for _ in range(300):
+        parts = ["".join(random.choices(["a", "Z", "9", "-", "chan", "geme", "xx", "xxxx", "İ", " ", "place", "holder"], k=random.randint(0, 4))) for _ in range(4)]
+        whole = secret_scan.profile_of("".join(parts))
+        joined = functools.reduce(secret_scan.joined_profile, map(secret_scan.profile_of, parts))
+        assert joined == whole
+
+
+def test_values_that_grow_with_every_line():
+    doubled = f'base = "{LITERAL}"\n' + "base = base + base\n" * 3000 + "password = base\n"
+    chain = 'base = "zK8#"\n' + 'base = base + "qW2!mN5x"\n' * 3000 + "password = base\n"
+    assert found(doubled) == {LITERAL}
+    assert len(secret_scan.named_spans(chain)) == 3001
