@@ -1,6 +1,7 @@
 """Secrets in texts: fixed patterns, and literals that reach a sensitive name through assignments.
 
-A lexer reads name-literal pairs of source code and configuration (`name = "x"`, `name: x`, `"name": "x"`, `name => x`).
+A lexer reads name-literal pairs of source code and configuration (`name = "x"`, `name: x`, `"name": "x"`, `name => x`,
+`name: type = "x"`, `name = other = "x"`).
 A literal joined with + or standing behind another name (`key = base`) is followed to where it was written. A literal is
 reported when the names it reaches and its own looks score high enough, whatever its length. A name stands for what was
 last assigned to it.
@@ -28,8 +29,20 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 
-_LITERAL = r""""(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|[^\s"',;(){}\[\]]+"""
-_PAIR = re.compile(rf"""(?P<quote>["']?)\b(?P<name>[A-Za-z_][\w.-]*)(?P=quote)[ \t]*(?:=>|:=|(?<![=!<>])=(?!=)|:(?!//))[ \t]*(?P<value>{_LITERAL})""", re.ASCII)
+_QUOTED = r""""(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'"""
+_BARE = r"""[^\s"',;(){}\[\]]+"""
+_LITERAL = rf"{_QUOTED}|{_BARE}"
+_PAIR = re.compile(rf"""(?P<quote>["']?)\b(?P<name>[A-Za-z_][\w.-]*)(?P=quote)[ \t]*(?P<sign>=>|:=|(?<![=!<>])=(?!=)|:(?!//))[ \t]*(?={_QUOTED}|(?P<bare>[^\s"',;(){{}}\[\]]))""", re.ASCII)
+_VALUE = re.compile(_QUOTED, re.ASCII)
+_RUN = re.compile(_BARE, re.ASCII)
+#: A type between a name and its value, up to its brackets: str, "Secret", typing.Final, readonly string, &'static str.
+_TERM = re.compile(rf"""(?:(?:readonly|const|final|static|unsigned)[ \t]+)*+[&*?]*+(?:'[A-Za-z_]\w*[ \t]+)?(?:mut[ \t]+)?(?:[A-Za-z_]\w*+(?:(?:\.|::)[A-Za-z_]\w*+)*+|{_QUOTED}|(?=[<\[]))""", re.ASCII)
+TYPES = ("str", "string", "bytes", "bytearray", "char", "any", "object", "none", "null")
+_BRACKET = re.compile(r"[-=]>|[<>\[\]\n]")
+_BETWEEN = re.compile(r"[?!]?[ \t]*[|&][ \t]*", re.ASCII)
+_SET = re.compile(rf"""(?P<loose>[?!]?[ \t]+|[?!])?=(?![=>~])[ \t]*(?={_QUOTED}|(?P<bare>[^\s"',;(){{}}\[\]]))""", re.ASCII)
+_SIGN = re.compile("[=:]")
+_INNER = re.compile(r"[A-Za-z_][\w.-]*+", re.ASCII)
 _MORE = re.compile(rf"[ \t]*\+[ \t]*({_LITERAL})", re.ASCII)
 _NAME = re.compile(r"[A-Za-z_][\w.]*\Z", re.ASCII)
 #: How telling a name is; the parts of a name are told apart by case, digits and signs.
@@ -137,35 +150,116 @@ def places(value: Value, seen: set[int]) -> Iterator[tuple[int, int]]:
 def literal_of(text: str, start: int, end: int) -> tuple[int, int]:
     if text[start] in "\"'" and end - start >= 2:
         return start + 1, end - 1
-    return start, start + len(text[start:end].rstrip("."))
+    while end > start and text[end - 1] == ".":
+        end -= 1
+    return start, end
+
+
+def closing(text: str, at: int, ends: dict[int, int]) -> int:
+    """Where the bracket at `at` is closed on its line, -1 if nowhere; `ends` keeps what is known."""
+    if at not in ends:
+        opened: list[int] = []
+        for sign in _BRACKET.finditer(text, at):
+            if sign[0] == "\n":
+                break
+            if sign[0] in "<[":
+                opened.append(sign.start())
+                ends[sign.start()] = -1
+            elif sign[0] in ">]" and opened:
+                ends[opened.pop()] = sign.end()
+                if not opened:
+                    break
+    return ends[at]
+
+
+def type_end(text: str, at: int, ends: dict[int, int]) -> int:
+    """Where a type annotation that starts at `at` ends, -1 if there is none. It stands on one line."""
+    while term := _TERM.match(text, at):
+        at = term.end()
+        while text[at : at + 1] in ("<", "["):
+            if (at := closing(text, at, ends)) < 0:
+                return -1
+        if not (more := _BETWEEN.match(text, at)):
+            return at
+        at = more.end()
+    return -1
+
+
+def assigned(text: str, at: int, sign: str, ends: dict[int, int], known: dict[tuple[int, str], int]) -> int:
+    """Where the value starts that a name gets: behind its type (`name: type = value`) and further names (`a = b = value`)."""
+    passed = []
+    while (at, sign) not in known:
+        inner = _INNER.match(text, at)
+        end = type_end(text, at, ends) if sign == ":" else inner.end() if inner and sign == "=" else -1
+        more = _SET.match(text, end) if end >= 0 else None
+        # A bare word with = in it is a value (`token=aGVsbG8=x`).
+        if not more or (more["bare"] and not more["loose"] and text[end - 1] not in "]>\"'"):
+            known[at, sign] = at
+            break
+        passed.append((at, sign))
+        at, sign = more.end(), "="
+    for place in passed:
+        known[place] = known[at, sign]
+    return known[at, sign]
 
 
 def named_spans(text: str) -> list[tuple[int, int, int]]:
-    """Spans of literals that reach a sensitive name."""
+    """Spans of literals that reach a sensitive name.
+
+    In `a: b = "x"` b may be a type or a name, so both a and b get the literal; what b got is not read into `c: b`, where
+    it would be a type again. Built-in types and types of several words hold no value.
+    """
     if not _HINT.search(text):
         return []
     values: dict[str, Value] = {}
     told: list[Value] = []  # holds on to the values whose ids are in `seen`
     seen: set[int] = set()
     found: set[tuple[int, int]] = set()
-    at = 0
+    ends: dict[int, int] = {}
+    known: dict[tuple[int, str], int] = {}
+    typed = (0, 0)  # from where to where the last type stands
+    doubtful: set[str] = set()
+    at = run = 0
+
+    def value_end(start: int) -> int:
+        nonlocal run
+        if quoted := _VALUE.match(text, start):
+            return quoted.end()
+        if start >= run:
+            run = _RUN.match(text, start).end()
+        return run
+
     while pair := _PAIR.search(text, at):
-        terms, at = [pair.span("value")], pair.end()
+        sign, first = pair["sign"], pair.end()
+        start = assigned(text, first, sign, ends, known)
+        end = at = value_end(start)
+        terms = [(start, end)]
         while more := _MORE.match(text, at):
             terms.append(more.span(1))
             at = more.end()
+        if start > first:
+            # What stands between is read by itself, be it a type or a name.
+            at = first
+        elif pair["bare"] and (_SET.match(text, end) or _SIGN.search(text, start, end)):
+            at = start
         parts = []
-        for start, end in terms:
-            raw = text[start:end]
-            known = values.get(raw) if _NAME.match(raw) else None
-            parts.append(known or Value(literal_of(text, start, end)))
+        for begin, end in terms:
+            name = _NAME.match(text, begin, end)
+            held = values.get(name[0]) if name and not (sign == ":" and name[0] in doubtful) else None
+            parts.append(held or Value(literal_of(text, begin, end)))
         value = parts[0] if len(parts) == 1 else Value(terms=tuple(parts))
-        values[pair["name"]] = value
+        if not typed[0] <= pair.start("name") < typed[1]:
+            values[pair["name"]] = value
+            doubtful.discard(pair["name"])
+        elif pair.span("name") == typed and pair["name"].lower() not in TYPES:
+            values[pair["name"]] = value
+            doubtful.add(pair["name"])
+        if start > first and sign == ":":
+            typed = (first, type_end(text, first, ends))
         weight = sensitivity(pair["name"])
         if weight >= THRESHOLD and weight * looks(profile(value, text)) >= THRESHOLD:
             told.append(value)
             found |= {place for place in places(value, seen) if place[1] > place[0]}
-        at = max(at, pair.start() + 1)
     return sorted((start, 3, end) for start, end in found)
 
 

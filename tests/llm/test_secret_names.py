@@ -62,3 +62,34 @@ def test_values_that_grow_with_every_line():
     chain = 'base = "zK8#"\n' + 'base = base + "qW2!mN5x"\n' * 3000 + "password = base\n"
     assert found(doubled) == {LITERAL}
     assert len(secret_scan.named_spans(chain)) == 3001
+
+
+@pytest.mark.parametrize("line", [
+    "signing_secret: str = {}", "const apiToken: string = {};", "apiToken : string={}", "password: Optional[str] = {}", "password: Dict[str, List[str]] = {}",
+    "password: str | None = {}", "password: 'Secret' = {}", "let apiToken: Array<string | null>={}", "const TOKEN: &'static str = {};", "val token: String? = {}",
+    "def f(name: str = 'x', token: Annotated[str, Field(min_length=3)] = {}):", "private readonly token: readonly string[] = {}", "password: typing.Final = {}",
+    "a: password = {}", "a: password={}", "INFO: password: {}", "password = backup = {}", "a = b = password = {}", "x: y = password = {}", "level: info, note: a[1], token: b[2] = {}",
+])
+def test_annotated_and_nested_assignments(line):
+    assert LITERAL in found(line.format(f'"{LITERAL}"'))
+
+
+def test_types_are_no_values():
+    assert found(f'title: str = "{LITERAL}"\npassword: str\n') == set()
+    assert found(f'base: str = "{LITERAL}"\npassword: str = base\n') == {LITERAL}
+    assert found(f'title: str | None = "{LITERAL}"\npassword = None\n') == found(f'title: str = "{LITERAL}"\nf(password=str)\n') == set()
+    assert found(f'title: Title = "{LITERAL}"\npassword: Title\n') == set()
+    assert found(f'note: base = "{LITERAL}"\npassword = base\n') == {LITERAL}
+    assert found('signing_secret: str = "hello"\nn: int = 5\n') == set()
+
+
+def test_bare_values_with_signs_stay_whole():
+    assert found("token=aGVsbG8gd29=ybGQ9x7") >= {"aGVsbG8gd29=ybGQ9x7"}
+    assert found("secret: aGVsbG8gd29ybGQ9x7==") == {"aGVsbG8gd29ybGQ9x7=="}
+    assert "zK8-qW2-mN5x" in found("url: https://host/path?token=zK8-qW2-mN5x")
+
+
+def test_long_runs_of_assignments_end():
+    for text in ("a=b&" * 100_000, "a: [" * 100_000, "a = " * 100_000, "a:b<" * 100_000, "a = b + " * 50_000):
+        assert found(f"{text} 'salt'") == set()
+    assert found(f"""{"a = " * 50_000}"{LITERAL}"\npassword = a""") == {LITERAL}
