@@ -8,13 +8,13 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catchment.llm.common import table
+from catchment.llm.common import table, whole_text
 from catchment.llm.line_dedup import line_dedup
 from catchment.llm.mixing import mix
 from catchment.llm.ngram_join import ngram_join
 from catchment.llm.packing import pack
 from catchment.llm.toxicity import fit, toxicity
-from catchment.session import ensure_checkpoint_dir
+from catchment.session import ensure_checkpoint_dir, pin
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -38,10 +38,27 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5: of documents that links join, the one with the smallest id stays."""
-    joined = ngram_join(docs).select(F.col("doc_id").alias("_id"), "component_id").distinct()
-    gone = joined.filter("_id <> component_id").select("_id")
-    return docs.join(gone, docs["doc_id"] == gone["_id"], "left_anti")
+    """Operator 5: of documents that links join, one row stays, of the smallest id; texts without words all stay.
+
+    A fingerprint beside the id tells rows apart that repeat an id. A NULL id is larger than any other.
+    """
+    text, words = whole_text(), whole_text().rlike(r"[^\x20\x09-\x0D]")
+    marked = docs.withColumn("_print", F.xxhash64(text))
+    ids = (
+        marked.filter(words)
+        .groupBy(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("_id"), F.col("_print").alias("_same"))
+        .agg(F.count(F.lit(1)).alias("_copies"))
+    )
+    firsts = ids.groupBy("_same").agg(F.min(F.struct("none", "_id", "_same", "_copies")).alias("first"))
+    # With the fingerprint as id, a component's name is its own.
+    linked = ngram_join(marked.select(F.col("_print").alias("doc_id"), "text")).filter("n_shingles > 0")
+    linked = linked.select(F.col("doc_id").alias("_same"), "component_id").distinct()
+    stays = pin(linked.join(firsts, "_same").groupBy("component_id").agg(F.min("first").alias("first")).select("first._id", "first._same", "first._copies"))
+    same = marked["doc_id"].eqNullSafe(F.col("_id")) & (marked["_print"] == F.col("_same"))
+    once = marked.filter(words).join(stays.filter("_copies = 1"), same, "left_semi")
+    # Rows that repeat both id and text are few; only they are moved.
+    repeated = marked.filter(words).join(stays.filter("_copies > 1"), same, "left_semi").dropDuplicates(["doc_id", "_print"])
+    return marked.filter(~words).unionByName(once).unionByName(repeated).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
