@@ -109,8 +109,8 @@ def mix(
 
     Tokens (words) are summed by cell of source, language and topic. The cells are bounded by the names in `targets`,
     so the raking itself works on a settings-sized table. The weights are scaled so that the largest is 1: each is then
-    the probability with which a row stays, and the rows kept meet the targets in expectation with as many tokens as
-    the targets allow. The draw is a hash of the id (of the text where the id is NULL) and `targets.seed`.
+    the probability with which a row stays, and the rows kept meet the targets in expectation. The cell that is scarcest
+    against its target sets how much of all others stays, which may be less than half. The draw is a hash of the id (of the text where the id is NULL) and `targets.seed`.
 
     NULL sources and languages are `other`, NULL text has no tokens; a cell without tokens stays whole. Rows that
     repeat an id share their draw. Other columns stay as they are, and an empty table gives no rows.
