@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from catchment.llm import exact_dedup, line_dedup, mixing, ngram_join, packing, secret_scan, suffix_dedup, token_counts, topk, toxicity
+from catchment.llm import exact_dedup, importance, line_dedup, mixing, ngram_join, packing, secret_scan, spelling, suffix_dedup, token_counts, topk, toxicity, warc
 from catchment.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -51,7 +51,22 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_scan(table(spark, sf_dir, "documents"))
 
 
-for _query in (op1_suffix_dedup, op2_token_counts, op3_exact_topk, op4_best_fit_packing, op5_ngram_join, op6_toxicity, op7_mixing, op8_line_dedup, op9_exact_dedup, op10_secret_scan):
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_words")
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_report(spark, table(spark, sf_dir, "pages"))
+
+
+for _query in (
+    op1_suffix_dedup, op2_token_counts, op3_exact_topk, op4_best_fit_packing, op5_ngram_join, op6_toxicity, op7_mixing, op8_line_dedup, op9_exact_dedup, op10_secret_scan,
+    op11_spelling_variants, op12_importance_resampling, op13_warc,
+):
     QUERIES[_query.__name__] = _query
 
-SQL |= {"op3_exact_topk": topk.ORACLE, "op7_mixing": mixing.oracle(), "op8_line_dedup": line_dedup.ORACLE, "op9_exact_dedup": exact_dedup.ORACLE}
+SQL |= {"op3_exact_topk": topk.ORACLE, "op7_mixing": mixing.oracle(), "op8_line_dedup": line_dedup.ORACLE, "op9_exact_dedup": exact_dedup.ORACLE, "op13_warc": warc.ORACLE}
