@@ -24,11 +24,6 @@ def blank_to_null(value: Column) -> Column:
     return F.nullif(value, F.lit(""))
 
 
-def truthy(value: Column) -> Column:
-    """Present and not false, for nullable booleans."""
-    return F.coalesce(value, F.lit(False))
-
-
 def join_present(items: Column, separator: str = ", ") -> Column:
     """Join the non-blank members in order; NULL when none is left."""
     kept = F.filter(items, lambda item: item.isNotNull() & (item != ""))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catchment.functions.ids import key_of, uuid5
+from catchment.functions.loose import json_flag, json_truth, number, whole
 from catchment.functions.rows import open_array
 from catchment.functions.text import (
     blank_to_null,
@@ -15,13 +16,32 @@ from catchment.functions.text import (
     join_distinct_sorted,
     join_present,
     menu_page_url,
-    truthy,
 )
 
 PROVENANCE = ("snapshot_id", "job_id", "provider", "postcode", "planned_window", "scheduled_at", "captured_at")
 DEFAULT_BASE_URL = "https://listings.example"
 
 
+def _of_outlets(*names: str) -> tuple[str, ...]:
+    return tuple(f"response.restaurants.{name}" for name in names)
+
+
+#: The envelope fields that each job reads, so that a document is parsed no further.
+KEY_READS = _of_outlets("id", "restaurantId", "uniqueName", "seoName")
+LISTING_READS = (
+    *PROVENANCE,
+    "response.filters",
+    *_of_outlets("id", "name", "uniqueName", "cuisines", "rating", "deliveryEtaMinutes", "deliveryCost", "minimumDeliveryValue", "deals", "tags"),
+)
+OPEN_READS = (*LISTING_READS, *_of_outlets("isDelivery", "isOpenNowForDelivery", "isTemporarilyOffline"))
+COVERAGE_READS = (
+    "postcode",
+    *KEY_READS,
+    *_of_outlets("isDelivery", "deliveryCost", "minimumDeliveryValue", "deliveryEtaMinutes", "driveDistanceMeters"),
+)
+PROFILE_READS = ("captured_at", *KEY_READS, *_of_outlets("name", "address", "cuisines", "rating", "logoUrl"))
+
+
 def restaurants_of(raw: DataFrame, keep: list[str]) -> DataFrame:
     """One row per listed restaurant: the kept columns, `position` and `restaurant`."""
     return open_array(raw, keep, "response.restaurants", "restaurant", "position")
@@ -30,9 +50,9 @@ def restaurants_of(raw: DataFrame, keep: list[str]) -> DataFrame:
 def is_open_now(restaurant: Column) -> Column:
     """Delivers and is open for delivery; a missing offline flag counts as online."""
     return (
-        truthy(restaurant["isDelivery"])
-        & truthy(restaurant["isOpenNowForDelivery"])
-        & ~truthy(restaurant["isTemporarilyOffline"])
+        json_truth(restaurant["isDelivery"])
+        & json_truth(restaurant["isOpenNowForDelivery"])
+        & ~json_truth(restaurant["isTemporarilyOffline"])
     )
 
 
@@ -50,8 +70,8 @@ def listing_fields(
     eta = restaurant["deliveryEtaMinutes"]
     return [
         restaurant["name"].alias("Name"),
-        restaurant["rating"]["starRating"].alias("Rating"),
-        restaurant["rating"]["count"].alias("ReviewCount"),
+        number(restaurant["rating"]["starRating"]).alias("Rating"),
+        whole(restaurant["rating"]["count"]).alias("ReviewCount"),
         join_present(restaurant["cuisines"]["name"]).alias("Categories"),
         format_eta(eta["rangeLower"], eta["rangeUpper"], eta["approximate"]).alias("DeliveryTime"),
         format_money(restaurant["deliveryCost"]).alias("DeliveryFee"),
@@ -95,7 +115,10 @@ def restaurant_key(restaurant: Column) -> Column:
 
 
 def coverage_rows(raw: DataFrame, snapshot_label: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Static coverage: every listed restaurant that has an identifier, open or not."""
+    """Static coverage: every listed restaurant that has an identifier, open or not.
+
+    Minutes and metres keep the decimals they came with; the stored table has whole ones.
+    """
     staged = restaurants_of(raw, [*keep, "postcode"]).withColumn("restaurant_id", restaurant_key(F.col("restaurant")))
     restaurant = F.col("restaurant")
     return staged.filter(F.col("restaurant_id").isNotNull()).select(
@@ -103,19 +126,19 @@ def coverage_rows(raw: DataFrame, snapshot_label: str, keep: tuple[str, ...] = (
         F.lit(snapshot_label).alias("snapshot_label"),
         "postcode",
         "restaurant_id",
-        restaurant["isDelivery"].alias("is_delivery"),
-        restaurant["deliveryCost"].try_cast("double").alias("delivery_fee"),
-        restaurant["minimumDeliveryValue"].try_cast("double").alias("minimum_delivery_value"),
-        restaurant["deliveryEtaMinutes"]["rangeLower"].alias("delivery_eta_lower_minutes"),
-        restaurant["deliveryEtaMinutes"]["rangeUpper"].alias("delivery_eta_upper_minutes"),
-        restaurant["driveDistanceMeters"].alias("drive_distance_meters"),
+        json_flag(restaurant["isDelivery"]).alias("is_delivery"),
+        number(restaurant["deliveryCost"]).alias("delivery_fee"),
+        number(restaurant["minimumDeliveryValue"]).alias("minimum_delivery_value"),
+        number(restaurant["deliveryEtaMinutes"]["rangeLower"]).alias("delivery_eta_lower_minutes"),
+        number(restaurant["deliveryEtaMinutes"]["rangeUpper"]).alias("delivery_eta_upper_minutes"),
+        number(restaurant["driveDistanceMeters"]).alias("drive_distance_meters"),
     )
 
 
 def profile_fields(restaurant: Column, base_url: str = DEFAULT_BASE_URL) -> list[Column]:
     address = restaurant["address"]
     place = address["location"]["coordinates"]
-    whole = F.size(F.coalesce(place, F.array().cast("array<double>"))) >= 2
+    complete = F.size(F.coalesce(place, F.array().cast("array<string>"))) >= 2
     return [
         restaurant["name"].alias("restaurant_name"),
         restaurant["uniqueName"].alias("restaurant_unique_name"),
@@ -123,12 +146,12 @@ def profile_fields(restaurant: Column, base_url: str = DEFAULT_BASE_URL) -> list
         address["firstLine"].alias("address_first_line"),
         address["city"].alias("city"),
         address["postalCode"].alias("postal_code"),
-        F.when(whole, F.get(place, 1)).alias("latitude"),
-        F.when(whole, F.get(place, 0)).alias("longitude"),
+        F.when(complete, number(F.get(place, 1))).alias("latitude"),
+        F.when(complete, number(F.get(place, 0))).alias("longitude"),
         join_present(restaurant["cuisines"]["name"]).alias("cuisine_names"),
         join_present(restaurant["cuisines"]["uniqueName"]).alias("cuisine_unique_names"),
-        restaurant["rating"]["count"].alias("rating_count"),
-        restaurant["rating"]["starRating"].alias("rating_star"),
+        whole(restaurant["rating"]["count"]).alias("rating_count"),
+        number(restaurant["rating"]["starRating"]).alias("rating_star"),
         restaurant["logoUrl"].alias("logo_url"),
     ]
 

@@ -188,6 +188,29 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select(F.concat(head, outlets, F.lit("}}")).alias("value"), e(f"'raw/' || {_LINE_KEY}").alias("raw_uri"))
 
 
+#: What `odd_envelopes` does to a document, by the order's number modulo eight; each is a (pattern, text in its place).
+_ODD = {
+    2: [('"isOpenNowForDelivery":true', '"isOpenNowForDelivery":1'), ('"isDelivery":true', '"isDelivery":"yes"'), ('"isTemporarilyOffline":false', '"isTemporarilyOffline":0')],
+    3: [(r'"driveDistanceMeters":(\d+)', '"driveDistanceMeters":$1.5'), (r'"count":(\d+)', '"count":"$1"')],
+    4: [(r'"driveDistanceMeters":\d+', '"driveDistanceMeters":"far"')],
+    5: [(r'"rating":\{[^}]*\}', '"rating":"good"')],
+    7: [('"isDelivery":true', '"isDelivery":"false"'), ('"isTemporarilyOffline":false', '"isTemporarilyOffline":[]')],
+}
+
+
+def odd_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw documents as a careless provider sends them: cut off, in a list, blank, or with values of other types."""
+    raw = envelopes(spark, sf_dir).withColumn("kind", F.regexp_extract("raw_uri", r"raw/(\d+)-", 1).cast("long") % 8)
+    value = F.col("value")
+    odd = F.when(F.col("kind") == 0, F.left("value", F.length("value") - 2)).when(F.col("kind") == 1, F.concat(F.lit("["), "value", F.lit("]"))).when(F.col("kind") == 6, "")
+    for kind, changes in _ODD.items():
+        text = value
+        for pattern, other in changes:
+            text = F.regexp_replace(text, pattern, other)
+        odd = odd.when(F.col("kind") == kind, text)
+    return raw.select(odd.alias("value"), "raw_uri")
+
+
 def menu_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Saved menu pages, one per part, and their item and detail documents."""
     e = F.expr

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catchment.functions.loose import number
 from catchment.functions.text import format_money, parse_place_count, parse_rating, parse_verticals, partition_label
 from catchment.functions.text import clean_postcode, clean_text
 from catchment.operators import grocery, listing
-from catchment.plans.adapters import LINE_KEY, TAGS, WINDOW_OF_LINE, cte, domain, driver_table, envelopes
+from catchment.plans.adapters import LINE_KEY, TAGS, WINDOW_OF_LINE, cte, domain, driver_table, envelopes, odd_envelopes
 from catchment.plans.registry import query, scratch_dir, sql_time, time_text
 from catchment.sources import readers, writers
-from catchment.sources.schemas import COVERAGE, ENVELOPE_KEYS, PROFILE, SNAPSHOTS, conform_to_schema
+from catchment.sources.schemas import COVERAGE, PROFILE, SNAPSHOTS, conform_to_schema
 
 TAG_LIST = ", ".join(f"'{tag}'" for tag in TAGS)
 
@@ -200,13 +201,13 @@ _SECOND_KEY = "CASE WHEN l_quantity < 30 THEN 's' || sid WHEN l_linenumber % 2 =
 KEYED_SQL = f"k AS (SELECT a.*, pid AS restaurant_id, 0 AS position FROM a UNION ALL SELECT a.*, {_SECOND_KEY}, 1 FROM a)"
 
 
-def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readers.parse_envelopes(envelopes(spark, sf_dir), keep=("raw_uri",))
+def _raw(spark: SparkSession, sf_dir: str, reads: tuple[str, ...]) -> DataFrame:
+    return readers.parse_envelopes(envelopes(spark, sf_dir), keep=("raw_uri",), reads=reads)
 
 
 @query("listing_normalise", f"WITH {LISTING_SQL} {_FIRST_ROW} UNION ALL {_SECOND_ROW}")
 def listing_normalise(spark, sf_dir):
-    return listing.listing_rows(_raw(spark, sf_dir))
+    return listing.listing_rows(_raw(spark, sf_dir, listing.LISTING_READS))
 
 
 @query(
@@ -214,7 +215,7 @@ def listing_normalise(spark, sf_dir):
     f"WITH {LISTING_SQL} {_FIRST_ROW} WHERE l_returnflag = 'A' AND l_linestatus = 'O' AND l_quantity <= 40 UNION ALL {_SECOND_ROW}",
 )
 def open_now(spark, sf_dir):
-    return listing.open_now(_raw(spark, sf_dir))
+    return listing.open_now(_raw(spark, sf_dir, listing.OPEN_READS))
 
 
 @query(
@@ -229,7 +230,7 @@ def open_now(spark, sf_dir):
     FROM k WHERE restaurant_id IS NOT NULL""".replace("k AS (SELECT a.*, pid AS restaurant_id", "k AS (SELECT a.*, CASE WHEN l_partkey = 0 THEN CASE WHEN l_linenumber <> 1 THEN 'outlet-0' END ELSE pid END AS restaurant_id"),
 )
 def coverage_build(spark, sf_dir):
-    return conform_to_schema(listing.coverage_rows(_raw(spark, sf_dir), "full_2026"), COVERAGE)
+    return conform_to_schema(listing.coverage_rows(_raw(spark, sf_dir, listing.COVERAGE_READS), "full_2026"), COVERAGE)
 
 
 _KEYED = KEYED_SQL.replace("pid AS restaurant_id", "CASE WHEN l_partkey = 0 THEN CASE WHEN l_linenumber <> 1 THEN 'outlet-0' END ELSE pid END AS restaurant_id")
@@ -253,9 +254,9 @@ PROFILE_SQL = f"""p AS (SELECT restaurant_id, unnest(max_by({{
 
 def _ordered_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw documents with a total arrival order: capture, address, then what tells equal addresses apart."""
-    raw = _raw(spark, sf_dir)
+    raw = _raw(spark, sf_dir, (*listing.PROFILE_READS, "response.restaurants.deliveryCost"))
     first = F.get("response.restaurants", 0)
-    return raw.withColumns({"quantity": first["rating"]["starRating"], "price": first["deliveryCost"].try_cast("double")})
+    return raw.withColumns({"quantity": number(first["rating"]["starRating"]), "price": number(first["deliveryCost"])})
 
 
 @query(
@@ -275,7 +276,7 @@ def profile_build(spark, sf_dir):
 )
 def profile_new_rows(spark, sf_dir):
     known = driver_table(spark, sf_dir, "part").filter("p_size > 25").selectExpr("CAST(p_partkey AS STRING) AS restaurant_id")
-    return listing.new_profiles(listing.profile_rows(_raw(spark, sf_dir)), known).select("restaurant_id")
+    return listing.new_profiles(listing.profile_rows(_raw(spark, sf_dir, listing.PROFILE_READS)), known).select("restaurant_id")
 
 
 @query(
@@ -289,7 +290,7 @@ def profile_new_rows(spark, sf_dir):
 )
 def backfill_stats(spark, sf_dir):
     known = driver_table(spark, sf_dir, "part").filter("p_size > 25").selectExpr("CAST(p_partkey AS STRING) AS restaurant_id")
-    return listing.backfill_stats(readers.parse_envelopes(envelopes(spark, sf_dir), schema=ENVELOPE_KEYS), known)
+    return listing.backfill_stats(_raw(spark, sf_dir, listing.KEY_READS), known)
 
 
 @query(
@@ -300,8 +301,9 @@ def backfill_stats(spark, sf_dir):
 def raw_roundtrip(spark, sf_dir):
     """Land the documents as gzip JSON lines under folders, then read them back."""
     folder = scratch_dir(spark, "raw")
-    writers.write_raw_landing(_raw(spark, sf_dir), folder)
-    back = readers.read_raw_listings(spark, folder)
+    landing = ("provider", "planned_window", "captured_at")
+    writers.write_raw_landing(readers.parse_envelopes(envelopes(spark, sf_dir), keep=("value",), reads=landing), folder, text="value")
+    back = readers.read_raw_listings(spark, folder, (*listing.PROVENANCE, "response.restaurants.name"))
     return back.select(
         "provider", "planned_window", "postcode", "snapshot_id", "job_id", "scheduled_at", "captured_at",
         F.size("response.restaurants").cast("long").alias("restaurants"), F.get("response.restaurants", 0)["name"].alias("first_name"),
@@ -316,7 +318,7 @@ def raw_roundtrip(spark, sf_dir):
 )
 def reparse_audit(spark, sf_dir):
     """The stored side comes from the order lines, with other names where the tax is high."""
-    parsed = listing.listing_rows(_raw(spark, sf_dir), ("snapshot_id",)).filter("Name LIKE 'Outlet%'").select("snapshot_id", "ListingId", "Name")
+    parsed = listing.listing_rows(_raw(spark, sf_dir, listing.LISTING_READS), ("snapshot_id",)).filter("Name LIKE 'Outlet%'").select("snapshot_id", "ListingId", "Name")
     stored = driver_table(spark, sf_dir, "lineitem").selectExpr(
         f"'s-' || {_K} AS snapshot_id", "CAST(l_partkey AS STRING) AS ListingId",
         "CASE WHEN l_tax > 0.05 THEN 'Changed ' || l_partkey ELSE 'Outlet ' || l_partkey END AS Name",
@@ -324,6 +326,41 @@ def reparse_audit(spark, sf_dir):
     return listing.reparse_audit(parsed, stored)
 
 
+# ---- documents of a careless provider (`odd_envelopes`), by the order's number modulo eight
+
+@query(
+    "raw_rejects",
+    f"""SELECT 'raw/' || {_K} AS raw_uri, CASE WHEN l_orderkey % 8 IN (0, 1, 6) THEN 'unreadable' ELSE 'odd field' END AS flaw
+    FROM lineitem WHERE l_orderkey % 8 IN (0, 1, 4, 5, 6)""",
+)
+def raw_rejects(spark, sf_dir):
+    return readers.envelope_rejects(odd_envelopes(spark, sf_dir), keep=("raw_uri",)).select("raw_uri", "flaw")
+
+
+@query(
+    "odd_open_now",
+    f"""WITH {LISTING_SQL}, o AS ({_FIRST_ROW} WHERE l_returnflag = 'A' AND l_linestatus = 'O' AND l_quantity <= 40 UNION ALL {_SECOND_ROW})
+    SELECT o.* REPLACE (CASE WHEN CAST(split_part(snapshot_id, '-', 2) AS BIGINT) % 8 <> 5 THEN Rating END AS Rating,
+        CASE WHEN CAST(split_part(snapshot_id, '-', 2) AS BIGINT) % 8 <> 5 THEN ReviewCount END AS ReviewCount)
+    FROM o WHERE CAST(split_part(snapshot_id, '-', 2) AS BIGINT) % 8 NOT IN (0, 1, 6)""",
+)
+def odd_open_now(spark, sf_dir):
+    """Flags that are numbers, texts or lists count by their truth; numbers may come as text."""
+    return listing.open_now(readers.parse_envelopes(odd_envelopes(spark, sf_dir), reads=listing.OPEN_READS))
+
+
+@query(
+    "odd_coverage",
+    f"""WITH {LISTING_SQL}, {KEYED_SQL} SELECT postcode, restaurant_id,
+    CASE WHEN position = 1 THEN TRUE WHEN l_returnflag = 'A' THEN TRUE WHEN l_returnflag = 'R' THEN FALSE END AS is_delivery,
+    CASE WHEN position = 0 AND l_orderkey % 8 = 3 THEN l_suppkey * 10 + 0.5::DOUBLE WHEN position = 0 AND l_orderkey % 8 <> 4 THEN CAST(l_suppkey * 10 AS DOUBLE) END AS drive_distance_meters
+    FROM k WHERE restaurant_id IS NOT NULL AND l_orderkey % 8 NOT IN (0, 1, 6)""".replace("k AS (SELECT a.*, pid AS restaurant_id", "k AS (SELECT a.*, CASE WHEN l_partkey = 0 THEN CASE WHEN l_linenumber <> 1 THEN 'outlet-0' END ELSE pid END AS restaurant_id"),
+)
+def odd_coverage(spark, sf_dir):
+    rows = listing.coverage_rows(readers.parse_envelopes(odd_envelopes(spark, sf_dir), reads=listing.COVERAGE_READS), "odd")
+    return rows.select("postcode", "restaurant_id", "is_delivery", "drive_distance_meters")
+
+
 @query(
     "schema_conform",
     f"""{cte('snapshots')} SELECT CAST(NULL AS STRING) AS snapshot_id, job_id, CAST(NULL AS STRING) AS provider, postcode, planned_window, CAST(NULL AS STRING) AS scheduled_at,

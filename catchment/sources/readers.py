@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catchment.functions.clock import wall_text, wall_time
+from catchment.functions.loose import is_odd_number
 from catchment.functions.text import clean_postcode
 from catchment.operators.ordered import global_ordinal
-from catchment.sources.schemas import ENVELOPE
+from catchment.sources.schemas import ENVELOPE, narrowed
 
 INPUT_ORDER = ("source_file", "source_offset", "source_row")
 
@@ -127,29 +131,51 @@ def read_window_config(spark: SparkSession, path_or_json: str | dict, tags: Iter
     return window_config_rows(payload, tags)
 
 
-def _opened_envelopes(raw: DataFrame, text: str, keep: tuple[str, ...], schema: str) -> DataFrame:
-    """The envelope of each text and `_flaw`: NULL, "odd field" (it is NULL, the rest stays) or "unreadable"."""
+def _opened_envelopes(raw: DataFrame, text: str, keep: tuple[str, ...], schema: str) -> tuple[DataFrame, Column]:
+    """The kept columns, the text and its envelope, and whether a row's envelope was read.
+
+    The text is parsed once: a generator hands the envelope on, and no filter on it can be moved below a generator. A
+    text that is no JSON object has no envelope, or one with nothing but the text that couldn't be read.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-    parsed = raw.select(*keep, F.col(text).alias("_text"), F.from_json(F.col(text), f"{schema}, _corrupt string", options).alias("envelope"))
-    readable = F.try_parse_json("_text").isNotNull() & F.ltrim("_text").rlike(r"^\s*\{")
-    flaw = F.when(~F.coalesce(readable, F.lit(False)), "unreadable").when(F.col("envelope._corrupt").isNotNull(), "odd field")
-    return parsed.withColumn("_flaw", flaw)
+    object_text = F.when(F.ltrim(F.col(text)).startswith("{"), F.col(text))
+    parsed = F.from_json(object_text, f"{schema}, _corrupt string", options)
+    names = T.StructType.fromDDL(schema).fieldNames()
+    opened = raw.select(*keep, F.col(text).alias("_text"), F.explode_outer(F.array(parsed)).alias("envelope"))
+    something = reduce(or_, [F.col(f"envelope.{name}").isNotNull() for name in names])
+    return opened, F.col("envelope").isNotNull() & (F.col("envelope._corrupt").isNull() | something)
 
 
-def parse_envelopes(raw: DataFrame, text: str = "value", keep: tuple[str, ...] = (), schema: str = ENVELOPE) -> DataFrame:
-    """Typed envelope columns out of JSON text. A narrower schema parses faster.
+def parse_envelopes(raw: DataFrame, text: str = "value", keep: tuple[str, ...] = (), schema: str = ENVELOPE, reads: Iterable[str] | None = None) -> DataFrame:
+    """Envelope columns out of JSON text; `reads` names the fields of the schema that are wanted, by dotted path.
 
-    A field of another type than expected is NULL and the rest of the document stays; a text that is no JSON object is
-    left out. `envelope_rejects` gives both kinds.
+    Numbers stay text and flags stay Variant, as `functions/loose.py` types them. A field of another shape than expected
+    is NULL and the rest of the document stays; a text that is no JSON object is left out. `envelope_rejects` gives both.
     """
-    opened = _opened_envelopes(raw, text, keep, schema).filter("_flaw IS NULL OR _flaw <> 'unreadable'")
-    return opened.select(*keep, "envelope.*").drop("_corrupt")
+    schema = schema if reads is None else narrowed(schema, reads)
+    opened, readable = _opened_envelopes(raw, text, keep, schema)
+    return opened.filter(readable).select(*keep, "envelope.*").drop("_corrupt")
+
 
+def odd_numbers(restaurant: Column) -> Column:
+    """Whether a number of an outlet can't be read as one."""
+    eta, place = restaurant["deliveryEtaMinutes"], restaurant["address"]["location"]["coordinates"]
+    single = [restaurant["rating"]["starRating"], restaurant["rating"]["count"], eta["rangeLower"], eta["rangeUpper"], restaurant["driveDistanceMeters"]]
+    found = F.coalesce(F.exists(place, is_odd_number), F.lit(False))
+    for text in single:
+        found = found | is_odd_number(text)
+    return found
 
-def envelope_rejects(raw: DataFrame, text: str = "value", keep: tuple[str, ...] = (), schema: str = ENVELOPE) -> DataFrame:
-    """Texts that couldn't be read, or not in full: the kept columns, `flaw` and the text."""
-    opened = _opened_envelopes(raw, text, keep, schema).filter("_flaw IS NOT NULL")
-    return opened.select(*keep, F.col("_flaw").alias("flaw"), F.col("_text").alias(text))
+
+def envelope_rejects(raw: DataFrame, text: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Texts that couldn't be read, or not in full: the kept columns, `flaw` and the text.
+
+    "unreadable" is no JSON object; "odd field" holds a field of another shape than expected, or a number that is none.
+    """
+    opened, readable = _opened_envelopes(raw, text, keep, ENVELOPE)
+    odd = F.col("envelope._corrupt").isNotNull() | F.coalesce(F.exists("envelope.response.restaurants", odd_numbers), F.lit(False))
+    flawed = opened.withColumn("flaw", F.when(~readable, "unreadable").when(odd, "odd field"))
+    return flawed.filter(F.col("flaw").isNotNull()).select(*keep, "flaw", F.col("_text").alias(text))
 
 
 def raw_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -157,9 +183,9 @@ def raw_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("raw_uri"))
 
 
-def read_raw_listings(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_raw_listings(spark: SparkSession, path: str | list[str], reads: Iterable[str] | None = None) -> DataFrame:
     """Raw gzip envelopes; `captured_at` and `scheduled_at` stay ISO text."""
-    return parse_envelopes(raw_lines(spark, path), keep=("raw_uri",))
+    return parse_envelopes(raw_lines(spark, path), keep=("raw_uri",), reads=reads)
 
 
 def read_raw_rejects(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -243,25 +245,22 @@ DAY_FIELD = {
     "restaurant_opening_times": "fetched_at",
 }
 
-# Raw JSON shapes, read by key; fields that may be text or number are declared as text.
+# Raw JSON shapes, read by key. Numbers are declared as text, since providers also send them as text, and flags as
+# Variant, since they are tested for truth; `functions/loose.py` types both.
 LISTING = (
     "struct<filters:struct<groceries:struct<restaurantIds:array<string>>>,"
     "restaurants:array<struct<id:string,restaurantId:string,name:string,uniqueName:string,seoName:string,"
-    "isDelivery:boolean,isOpenNowForDelivery:boolean,isTemporarilyOffline:boolean,"
-    "cuisines:array<struct<name:string,uniqueName:string>>,rating:struct<starRating:double,count:bigint>,"
-    "deliveryEtaMinutes:struct<rangeLower:bigint,rangeUpper:bigint,approximate:bigint>,"
+    "isDelivery:variant,isOpenNowForDelivery:variant,isTemporarilyOffline:variant,"
+    "cuisines:array<struct<name:string,uniqueName:string>>,rating:struct<starRating:string,count:string>,"
+    "deliveryEtaMinutes:struct<rangeLower:string,rangeUpper:string,approximate:string>,"
     "deliveryCost:string,minimumDeliveryValue:string,deals:array<struct<description:string>>,tags:array<string>,"
-    "address:struct<firstLine:string,city:string,postalCode:string,location:struct<coordinates:array<double>>>,"
-    "logoUrl:string,driveDistanceMeters:bigint>>>"
+    "address:struct<firstLine:string,city:string,postalCode:string,location:struct<coordinates:array<string>>>,"
+    "logoUrl:string,driveDistanceMeters:string>>>"
 )
 ENVELOPE = (
     "snapshot_id string, job_id string, provider string, postcode string, planned_window string, scheduled_at string,"
     f" captured_at string, source_url string, response {LISTING}"
 )
-# The identifying fields only, for counting jobs.
-ENVELOPE_KEYS = (
-    "response struct<restaurants:array<struct<id:string,restaurantId:string,uniqueName:string,seoName:string>>>"
-)
 OPENING_SERVICES = (
     "array<struct<ServiceType:string,TimesPerDay:array<struct<DayOfWeek:string,"
     "Times:array<struct<FromLocalTime:string,ToLocalTime:string>>>>>>"
@@ -272,6 +271,25 @@ MENU_MANIFEST = (
 )
 
 
+def _cut(kind: T.DataType, paths: Iterable[str]) -> T.DataType:
+    if "" in paths:
+        return kind
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_cut(kind.elementType, paths))
+    wanted: dict[str, list[str]] = {}
+    for path in paths:
+        name, _, rest = path.partition(".")
+        wanted.setdefault(name, []).append(rest)
+    if missing := wanted.keys() - set(kind.fieldNames()):
+        raise ValueError(f"no such fields: {sorted(missing)}")
+    return T.StructType([T.StructField(field.name, _cut(field.dataType, wanted[field.name])) for field in kind if field.name in wanted])
+
+
+def narrowed(schema: str, paths: Iterable[str]) -> str:
+    """A JSON shape cut down to the fields at the dotted paths; a path names a field with all that is in it."""
+    return ",".join(f"{field.name} {field.dataType.simpleString()}" for field in _cut(T.StructType.fromDDL(schema), list(paths)))
+
+
 def conform_to_schema(df: DataFrame, schema: T.StructType, check_required: bool = True) -> DataFrame:
     """Add missing columns as NULL, cast the known ones, keep extra ones at the end.
 

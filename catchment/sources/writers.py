@@ -31,9 +31,9 @@ ENVELOPE_FIELDS = [
 ]
 
 
-def raw_landing_rows(raw: DataFrame) -> DataFrame:
-    """Envelope columns with the folder columns provider, date and window; the document itself stays complete."""
-    document = F.to_json(F.struct(*[F.col(name) for name in ENVELOPE_FIELDS]))
+def raw_landing_rows(raw: DataFrame, text: str | None = None) -> DataFrame:
+    """Documents with the folder columns provider, date and window: the text as it came, or else the envelope's columns."""
+    document = F.col(text) if text else F.to_json(F.struct(*[F.col(name) for name in ENVELOPE_FIELDS]))
     return raw.select(
         F.col("provider"),
         F.to_date(F.left("captured_at", F.lit(10))).cast("string").alias("date"),
@@ -42,9 +42,12 @@ def raw_landing_rows(raw: DataFrame) -> DataFrame:
     )
 
 
-def write_raw_landing(raw: DataFrame, path: str, mode: str = "append") -> None:
-    """Complete envelopes as gzip JSON lines under provider=/date=/window=; large folders get several files."""
-    rows = raw_landing_rows(raw).hint("rebalance", F.col("provider"), F.col("date"), F.col("window"))
+def write_raw_landing(raw: DataFrame, path: str, mode: str = "append", text: str | None = None) -> None:
+    """Envelopes as gzip JSON lines under provider=/date=/window=; large folders get several files.
+
+    With `text`, the column of the documents as they came, they land complete and aren't put together again.
+    """
+    rows = raw_landing_rows(raw, text).hint("rebalance", F.col("provider"), F.col("date"), F.col("window"))
     rows.write.mode(mode).partitionBy("provider", "date", "window").option("compression", "gzip").text(path)
 
 

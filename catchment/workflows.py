@@ -119,7 +119,8 @@ def backfill(
     # The last seen wins: by the time of the event that named the file, or by the document's own.
     arrival = "captured_at" if events is None else "event_time"
     keep = ("raw_uri",) if events is None else ("raw_uri", "event_time")
-    raw = pin(readers.parse_envelopes(lines, keep=keep).select("raw_uri", "postcode", arrival, "response"))
+    reads = {*listing.COVERAGE_READS, *listing.PROFILE_READS}
+    raw = pin(readers.parse_envelopes(lines, keep=keep, reads=reads).select("raw_uri", "postcode", arrival, "response"))
     known = existing_profiles if existing_profiles is not None else spark.createDataFrame([], "restaurant_id string")
     coverage = conform_to_schema(listing.coverage_rows(raw, snapshot_label), COVERAGE)
     profiles = conform_to_schema(listing.new_profiles(listing.profile_rows(raw, (arrival, "raw_uri")), known), PROFILE)
@@ -146,7 +147,7 @@ def _event_folders(events: DataFrame) -> list[str]:
 
 def collect_snapshots(spark: SparkSession, raw_paths: str | list[str], out: str) -> None:
     """Raw documents to observed availability, appended."""
-    rows = listing.open_now(readers.read_raw_listings(spark, raw_paths))
+    rows = listing.open_now(readers.read_raw_listings(spark, raw_paths, listing.OPEN_READS))
     timed = rows.withColumns({name: F.to_timestamp(name) for name in ("scheduled_at", "captured_at")})
     writers.append_rows(timed, out, "restaurant_snapshots")
 
