@@ -11,7 +11,8 @@ from catchment.plans.listing_queries import OBSERVED_SQL, observed_intervals
 from catchment.plans.planning_queries import utc
 from catchment.plans.registry import query, sql_time, time_text
 from catchment.sources import readers
-from catchment.streaming.streams import late_flag, outcome_windows, stream_attempts
+from catchment.streaming import streams
+from catchment.streaming.streams import late_flag, outcome_windows
 
 _MANIFEST_ORDER = "created_at, run_id, provider, postcode, planned_window, scheduled_at, max_attempts"
 LATEST_SQL = f"""lm AS (SELECT job_id, run_id, provider, postcode, planned_window, scheduled_at, CAST(coalesce(max_attempts, 3) AS BIGINT) AS max_attempts
@@ -49,11 +50,23 @@ def job_status(spark, sf_dir):
 
 @query(
     "running_attempts",
-    f"""{cte('events')} SELECT job_id, count(*) FILTER (event_type = 'started') AS attempts,
-    CAST(max(CASE WHEN event_type = 'succeeded' THEN 1 ELSE 0 END) AS INTEGER) AS has_succeeded FROM d_events GROUP BY job_id""",
+    f"""{cte('events')}, j AS (SELECT job_id, least(count(DISTINCT event_id) FILTER (event_type = 'started'), 3) AS attempts,
+    bool_or(event_type = 'succeeded') AS has_succeeded FROM d_events GROUP BY job_id)
+    SELECT job_id, CAST(attempts AS INTEGER) AS attempts, has_succeeded,
+    CASE WHEN has_succeeded THEN 'succeeded' WHEN attempts >= 3 THEN 'exhausted' ELSE 'open' END AS state FROM j""",
 )
 def running_attempts(spark, sf_dir):
-    return stream_attempts(domain(spark, sf_dir, "events"))
+    return streams.running_attempts(domain(spark, sf_dir, "events"))
+
+
+@query(
+    "one_result",
+    f"""{cte('events')} SELECT job_id, arg_min(event_id, (event_time, event_id)) AS event_id, {sql_time('min(event_time)')} AS event_time
+    FROM d_events WHERE event_type = 'succeeded' GROUP BY job_id""",
+)
+def one_result(spark, sf_dir):
+    results = domain(spark, sf_dir, "events").filter("event_type = 'succeeded'")
+    return streams.one_result(results, "event_time", "event_id").select("job_id", "event_id", time_text(F.col("event_time")).alias("event_time"))
 
 
 _NOW = "2024-01-20 12:00:00"

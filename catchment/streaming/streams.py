@@ -2,26 +2,39 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from catchment.operators.audit import BAN_SECONDS, ban_audit, status_class
-from catchment.operators.listing import open_now
-from catchment.session import pin
-from catchment.sources.readers import parse_envelopes
+from catchment.operators.audit import BAN_SECONDS, status_class
+from catchment.operators.listing import OPEN_READS, open_now
+from catchment.sources.readers import envelope_rejects, parse_envelopes
+from catchment.streaming.state import NONE, AttemptsOfJob, CircuitOfKey
+
+# Fixed value: attempts a job may have.
+MAX_ATTEMPTS = 3
+
+
+def _landed(spark: SparkSession, raw_dir: str) -> DataFrame:
+    return spark.readStream.text(raw_dir).select("value", F.col("_metadata.file_path").alias("raw_uri"))
 
 
-def stream_raw(spark: SparkSession, raw_dir: str) -> DataFrame:
+def stream_raw(spark: SparkSession, raw_dir: str, reads: Iterable[str] | None = None) -> DataFrame:
     """New raw envelopes as they land."""
-    lines = spark.readStream.text(raw_dir).select("value", F.col("_metadata.file_path").alias("raw_uri"))
-    return parse_envelopes(lines, keep=("raw_uri",))
+    return parse_envelopes(_landed(spark, raw_dir), keep=("raw_uri",), reads=reads)
+
+
+def stream_rejects(spark: SparkSession, raw_dir: str, out: str, checkpoint: str, now: bool = True) -> StreamingQuery:
+    """Landed texts that couldn't be read, or not in full, as (raw_uri, flaw, value): what `stream_raw` leaves out."""
+    return _to_parquet(envelope_rejects(_landed(spark, raw_dir), keep=("raw_uri",)), out, checkpoint, now)
 
 
 def stream_snapshots(spark: SparkSession, raw_dir: str, out: str, checkpoint: str, now: bool = True) -> StreamingQuery:
     """Raw landing files to open-now snapshots; the file sink and its checkpoint make each file count once."""
-    rows = open_now(stream_raw(spark, raw_dir))
+    rows = open_now(stream_raw(spark, raw_dir, OPEN_READS))
     return _to_parquet(rows, out, checkpoint, now)
 
 
@@ -30,9 +43,20 @@ def _to_parquet(rows: DataFrame, out: str, checkpoint: str, now: bool) -> Stream
     return (writer.trigger(availableNow=True) if now else writer).start()
 
 
-def stream_dedupe(results: DataFrame, delay: str = "1 day", time: str = "captured_at") -> DataFrame:
-    """One result per job within the delay."""
-    return results.withWatermark(time, delay).dropDuplicatesWithinWatermark(["job_id"])
+def one_result(results: DataFrame, time: str = "captured_at", tie: str = "snapshot_id") -> DataFrame:
+    """The first result of each job, by time."""
+    first = results.groupBy("job_id").agg(F.min_by(F.struct(*results.columns), F.struct(time, tie)).alias("_first"))
+    return first.select("_first.*")
+
+
+def stream_dedupe(results: DataFrame, delay: str = "1 day", time: str = "captured_at", salts: int = 16) -> DataFrame:
+    """One result per job within the delay, the first that comes.
+
+    Repeats go in two steps: within each of `salts` groups of a job's rows, and then among the few that are left, so
+    that a job that is repeated over and over isn't the work of one task.
+    """
+    salted = results.withWatermark(time, delay).withColumn("_salt", F.pmod(F.xxhash64(*results.columns), F.lit(salts)))
+    return salted.dropDuplicatesWithinWatermark(["job_id", "_salt"]).drop("_salt").dropDuplicatesWithinWatermark(["job_id"])
 
 
 def late_flag(tasks: DataFrame, arrival: str = "received_at") -> DataFrame:
@@ -54,12 +78,34 @@ def stream_late_split(tasks: DataFrame, on_time_path: str, expired_path: str, ch
     return (writer.trigger(availableNow=True) if now else writer).start()
 
 
-def stream_attempts(events: DataFrame) -> DataFrame:
-    """Running attempts and success per job, for update mode."""
-    return events.groupBy("job_id").agg(
-        F.count_if(F.col("event_type") == "started").alias("attempts"),
-        F.max(F.when(F.col("event_type") == "succeeded", 1).otherwise(0)).alias("has_succeeded"),
+def running_attempts(events: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
+    """Attempts per job up to the cap, whether it succeeded, and its state; an event that comes again counts once."""
+    started = F.when(F.col("event_type") == "started", F.col("event_id"))
+    counted = events.groupBy("job_id").agg(
+        F.least(F.count_distinct(started), F.lit(max_attempts)).cast("int").alias("attempts"),
+        F.bool_or(F.col("event_type") == "succeeded").alias("has_succeeded"),
+    )
+    spent = F.when(F.col("attempts") >= max_attempts, "exhausted").otherwise("open")
+    return counted.withColumn("state", F.when(F.col("has_succeeded"), "succeeded").otherwise(spent))
+
+
+def stream_attempts(
+    events: DataFrame, max_attempts: int = MAX_ATTEMPTS, time: str = "event_time", delay: str = "1 day", remember: timedelta = timedelta(days=14)
+) -> DataFrame:
+    """`running_attempts` in update mode: a row whenever a job's attempts or state change, in any order of events.
+
+    As many event ids are held per job as the cap allows, and a job is forgotten when the watermark, `delay` behind the
+    latest event, is `remember` beyond its newest one.
+    """
+    rows = events.filter(F.col("job_id").isNotNull()).withWatermark(time, delay).select(
+        F.col("job_id").cast("string").alias("job_id"),
+        F.col("event_id").cast("string").alias("event_id"),
+        "event_type",
+        F.coalesce(F.unix_millis(time), F.lit(NONE)).alias("at_ms"),
     )
+    keeper = AttemptsOfJob(max_attempts, int(remember.total_seconds() * 1000))
+    shape = "job_id string, attempts int, has_succeeded boolean, state string"
+    return rows.groupBy("job_id").transformWithStateInPandas(keeper, shape, "Update", "EventTime")
 
 
 def outcome_windows(diagnostics: DataFrame, width: str = "1 minute", time: str = "event_time") -> DataFrame:
@@ -79,32 +125,39 @@ def stream_outcomes(diagnostics: DataFrame, width: str = "1 minute", delay: str
 def stream_circuit(
     diagnostics: DataFrame,
     out: str,
-    state: str,
     checkpoint: str,
     key: str = "limiter_key",
+    start: str = "start_ms",
+    finish: str = "finish_ms",
+    tie: str = "diagnostic_id",
     ban_seconds: int = BAN_SECONDS,
+    delay: str = "1 hour",
+    salts: int = 8,
     now: bool = True,
 ) -> StreamingQuery:
-    """Flag requests that start while their key's ban is open, across micro-batches.
+    """Flag requests that start while their key's ban is open, across micro-batches, as `ban_audit` does.
 
-    The state holds the 429 finishes of the last two ban lengths per key, written per batch; a repeated batch reads
-    the same earlier state and overwrites its own folders. Rows may come late by up to one ban length.
+    A request is decided when the watermark, `delay` behind the latest start, has passed it; rows may come in any order
+    until then. Requests that come later go to `out/is_late=true` without a decision, the others to `out/is_late=false`;
+    a late 429 still counts for what is undecided. A key's requests are dealt over `salts` states, and its 429s, of
+    which there are few, go to each, so that one key isn't one task.
     """
-    spark = diagnostics.sparkSession
-    shape = T.StructType([T.StructField(key, T.StringType()), T.StructField("finish_ms", T.LongType())])
-
-    def audit(batch: DataFrame, batch_id: int) -> None:
-        rows = pin(batch.withColumn(key, F.col(key).cast("string")))
-        prior = spark.createDataFrame([], shape)
-        if batch_id > 0:
-            prior = spark.read.schema(shape).parquet(f"{state}/batch_id={batch_id - 1}")
-        flagged = ban_audit(rows, key=key, ban_seconds=ban_seconds, prior=prior)
-        flagged.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-        seen = rows.filter(F.col("http_status") == 429).select(key, F.col("finish_ms").cast("long").alias("finish_ms"))
-        known = prior.unionByName(seen).distinct()
-        newest = known.groupBy(key).agg(F.max("finish_ms").alias("newest_ms"))
-        recent = known.join(newest, key).filter(F.col("finish_ms") > F.col("newest_ms") - F.lit(2000 * ban_seconds))
-        recent.select(key, "finish_ms").write.mode("overwrite").parquet(f"{state}/batch_id={batch_id}")
-
-    writer = diagnostics.writeStream.foreachBatch(audit).option("checkpointLocation", checkpoint)
+    status, own = F.col("http_status").cast("long"), F.pmod(F.xxhash64(tie), F.lit(salts)).cast("int")
+    banned = (status == 429) & F.col(finish).isNotNull()
+    timed = diagnostics.withColumn("_start", F.timestamp_millis(start)).withWatermark("_start", delay)
+    dealt = timed.select(
+        F.col(key).cast("string").alias(key),
+        F.explode(F.when(banned, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(own))).alias("salt"),
+        own.alias("own"),
+        # The engine drops rows behind the watermark where it sees the time; as a number they come through, to be told.
+        F.coalesce(F.unix_millis("_start"), F.lit(NONE)).alias("start_ms"),
+        F.col(tie).cast("string").alias("tie"),
+        F.coalesce(status, F.lit(NONE)).alias("http_status"),
+        F.coalesce(F.when(banned, F.col(finish).cast("long")), F.lit(NONE)).alias("ban_ms"),
+    )
+    rows = dealt.withColumn("is_request", (F.col("salt") == F.col("own")) & (F.col("start_ms") != NONE)).drop("own")
+    shape = f"`{key}` string, tie string, start_ms long, http_status long, is_late boolean, circuit_open boolean, ban_until_ms long"
+    told = rows.groupBy(key, "salt").transformWithStateInPandas(CircuitOfKey(key, 1000 * ban_seconds), shape, "Append", "EventTime")
+    named = told.withColumnsRenamed({"tie": tie, "start_ms": start})
+    writer = named.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).partitionBy("is_late").outputMode("append")
     return (writer.trigger(availableNow=True) if now else writer).start()
