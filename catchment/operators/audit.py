@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from catchment.operators.ordered import RUN, exact_percentiles, running, split_runs
+from catchment.operators.ordered import BUCKET, earlier, exact_percentiles, in_bucket, running, stretch, with_carries
 
 # Request spacing, start guard and ban length.
 SPACING_MS = 1300
 GUARD_MS = 1000
 BAN_SECONDS = 3600
+#: Milliseconds of a key's time that are put in order together.
+BUCKET_MS = 600_000
 
 PERCENTILES = {"p50": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99}
 
@@ -55,9 +57,8 @@ def latency_percentiles(diagnostics: DataFrame, keys: list[str], value: str = "a
 def start_gaps(diagnostics: DataFrame, key: str = "limiter_key", start: str = "start_ms", tie: str = "diagnostic_id") -> DataFrame:
     """Milliseconds since the previous request start of the key; NULL for the first."""
     starts = diagnostics.filter(F.col(start).isNotNull()).select(key, start, tie)
-    runs = split_runs(starts, [key], [start, tie])
     # In start order the previous start is the largest one before the row.
-    placed = running(runs, [key], [start, tie], {"previous_ms": ("max", F.col(start))}, inclusive=False)
+    placed = running(starts, [key], stretch(F.col(start), BUCKET_MS), [start, tie], {"previous_ms": ("max", F.col(start))}, inclusive=False)
     return placed.select(key, tie, start, (F.col(start) - F.col("previous_ms")).alias("gap_ms"))
 
 
@@ -69,14 +70,23 @@ def request_gaps(diagnostics: DataFrame, key: str = "limiter_key", start: str =
 def spacing_replay(arrivals: DataFrame, key: str = "limiter_key", arrival: str = "arrival_ms", tie: str = "diagnostic_id", spacing_ms: int = SPACING_MS, guard_ms: int = GUARD_MS) -> DataFrame:
     """The start each request would be given: the later of arrival plus guard and previous start plus spacing.
 
-    With n the position in the key, that is the running maximum of (arrival + guard - n * spacing), plus n * spacing.
+    With n the position in the key, that is the running maximum of (arrival + guard - n * spacing), plus n * spacing. A
+    bucket's share of both goes on as one pair: how many requests it has, and its maximum as if it were the first; moved
+    by the requests before, that is its part in the maximum of all.
     """
-    order = [arrival, tie]
-    runs = split_runs(arrivals.filter(F.col(arrival).isNotNull()), [key], order)
-    counted = running(runs, [key], order, {"position": ("count", F.lit(1))}, inclusive=False).withColumn(RUN, F.col(RUN))
-    base = F.col(arrival) + F.lit(guard_ms) - F.col("position") * F.lit(spacing_ms)
-    placed = running(counted, [key], order, {"floor_ms": ("max", base)})
-    reserved = F.col("floor_ms") + F.col("position") * F.lit(spacing_ms)
+    order, spacing = [arrival, tie], F.lit(spacing_ms).cast("long")
+    rows = arrivals.filter(F.col(arrival).isNotNull()).withColumn(BUCKET, stretch(F.col(arrival), BUCKET_MS))
+    inside = Window.partitionBy(key, BUCKET).orderBy(*order)
+    floor = (F.col(arrival) + F.lit(guard_ms)).cast("long")
+    own = rows.select(key, BUCKET, (floor - (F.row_number().over(inside) - 1) * spacing).alias("_floor"))
+    pairs = own.groupBy(key, BUCKET).agg(F.count(F.lit(1)).alias("_n"), F.max("_floor").alias("_floor"))
+    moved = pairs.withColumn("_n", F.coalesce(F.sum("_n").over(earlier([key])), F.lit(0))).withColumn("_floor", F.col("_floor") - F.col("_n") * spacing)
+    carries = moved.select(key, BUCKET, "_n", F.max("_floor").over(earlier([key])).alias("_floor"))
+    both = with_carries(rows.withColumn("_n", F.lit(1).cast("long")).withColumn("_floor", floor), carries)
+    counted = both.withColumn("position", F.coalesce(F.sum("_n").over(in_bucket([key], order, inclusive=False)), F.lit(0).cast("long")))
+    base = F.when(F.col("_row") == 0, F.col("_floor")).otherwise(F.col("_floor") - F.col("position") * spacing)
+    placed = counted.withColumn("floor_ms", F.max(base).over(in_bucket([key], order))).filter("_row = 1")
+    reserved = F.col("floor_ms") + F.col("position") * spacing
     return placed.select(
         *arrivals.columns,
         "position",
@@ -85,24 +95,22 @@ def spacing_replay(arrivals: DataFrame, key: str = "limiter_key", arrival: str =
     )
 
 
-def ban_audit(diagnostics: DataFrame, key: str = "limiter_key", start: str = "start_ms", finish: str = "finish_ms", tie: str = "diagnostic_id", ban_seconds: int = BAN_SECONDS, prior: DataFrame | None = None) -> DataFrame:
+def ban_audit(diagnostics: DataFrame, key: str = "limiter_key", start: str = "start_ms", finish: str = "finish_ms", tie: str = "diagnostic_id", ban_seconds: int = BAN_SECONDS) -> DataFrame:
     """Whether each request started while a ban was open, and until when.
 
     A 429 opens the ban when its response is back, so finish and start instants share one timeline and the latest
-    finish is a running maximum. At equal instants the start comes first. `prior` holds (key, finish) of older bans.
+    finish is a running maximum. At equal instants the start comes first.
     """
     request = diagnostics.filter(F.col(start).isNotNull()).select(
         key, F.col(start).alias("at_ms"), F.lit(0).alias("kind"), F.col(tie).cast("string").alias("tie"), F.lit(None).cast("long").alias("ban_ms"), F.col("http_status")
     )
     bans = diagnostics.filter((F.col("http_status") == 429) & F.col(finish).isNotNull()).select(key, F.col(finish).alias("at_ms"))
-    if prior is not None:
-        bans = bans.unionByName(prior.select(key, F.col(finish).alias("at_ms")))
     opened = bans.distinct().select(
         key, "at_ms", F.lit(1).alias("kind"), F.lit("").alias("tie"), F.col("at_ms").alias("ban_ms"), F.lit(429).cast("long").alias("http_status")
     )
     order = ["at_ms", "kind", "tie"]
     timeline = request.withColumn("http_status", F.col("http_status").cast("long")).unionByName(opened)
-    placed = running(split_runs(timeline, [key], order), [key], order, {"last_ban_ms": ("max", F.col("ban_ms"))})
+    placed = running(timeline, [key], stretch(F.col("at_ms"), BUCKET_MS), order, {"last_ban_ms": ("max", F.col("ban_ms"))})
     until = F.col("last_ban_ms") + F.lit(ban_seconds * 1000)
     is_open = F.coalesce(F.col("at_ms") < until, F.lit(False))
     return placed.filter("kind = 0").select(
@@ -122,8 +130,8 @@ def in_flight(diagnostics: DataFrame, key: str = "limiter_key", start: str = "st
         key, F.inline(F.array(F.struct(F.col(start).alias("at_ms"), F.lit(1).alias("step")), F.struct(F.col(finish).alias("at_ms"), F.lit(-1).alias("step"))))
     )
     changes = steps.groupBy(key, "at_ms").agg(F.sum("step").alias("step"))
-    runs = split_runs(changes, [key], ["at_ms"])
-    return running(runs, [key], ["at_ms"], {"open_requests": ("sum", F.col("step"))}).select(key, "at_ms", "open_requests")
+    at = stretch(F.col("at_ms"), BUCKET_MS)
+    return running(changes, [key], at, ["at_ms"], {"open_requests": ("sum", F.col("step"))}).select(key, "at_ms", "open_requests")
 
 
 def peak_in_flight(diagnostics: DataFrame, key: str = "limiter_key", start: str = "start_ms", finish: str = "finish_ms") -> DataFrame:

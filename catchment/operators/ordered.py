@@ -1,8 +1,9 @@
 """Running values over a total order, however the rows are spread over the keys.
 
-A window partitioned by a key puts a hot key into one task. Here the rows are range-partitioned by key and order
-instead, so that a hot key fills many partitions ("runs"). Running values are worked out inside each run, the small
-per-run totals are carried forward, and the two are combined.
+A window partitioned by a key puts a hot key into one task. Here a key's rows are dealt over buckets that follow the
+order, such as stretches of time: what comes before a bucket is added up over the buckets' totals, of which a key has
+few, and travels as one row in front of the bucket's own. Buckets depend on the rows' values alone, so a row finds the
+same bucket again when a lost task is repeated, and nothing has to be pinned.
 """
 
 from __future__ import annotations
@@ -10,111 +11,133 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from catchment.session import pin
-
-RUN = "_run"
+BUCKET = "_bucket"
+#: Numbers in a row that make up one bucket of ordinals.
+STRETCH = 100_000
+#: Finer parts of the chosen value ranges of a percentile.
+PARTS = 4096
 
 _FOLD = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
 
 
-def split_runs(df: DataFrame, keys: list[str], order: list) -> DataFrame:
-    """Range-partition by (keys, order) and pin, with the partition number as `_run`.
+def stretch(value: Column, width: int) -> Column:
+    """Buckets of a whole number."""
+    return F.floor(value / F.lit(width))
 
-    Pinning keeps a row in its run when a lost partition is recomputed.
-    """
+
+def with_carries(df: DataFrame, carries: DataFrame) -> DataFrame:
+    """Rows and, marked by `_row` = 0, the carry of each bucket, which holds the bucket's columns and its running inputs."""
+    return df.withColumn("_row", F.lit(1)).unionByName(carries.withColumn("_row", F.lit(0)), allowMissingColumns=True)
+
+
+def in_bucket(keys: list[str], order: list, inclusive: bool = True) -> Window:
+    """The rows of a bucket from its carry on."""
     sort = [F.col(item) if isinstance(item, str) else item for item in order]
-    return pin(df.repartitionByRange(*[F.col(key) for key in keys], *sort).withColumn(RUN, F.spark_partition_id()))
+    return Window.partitionBy(*keys, BUCKET).orderBy("_row", *sort).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+
 
+def earlier(keys: list[str]) -> Window:
+    """The buckets of a key before this one."""
+    return Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
 
-def running(
-    runs: DataFrame,
-    keys: list[str],
-    order: list,
-    values: dict[str, tuple[str, Column]],
-    inclusive: bool = True,
-    overall: dict[str, tuple[str, Column]] | None = None,
-) -> DataFrame:
-    """Add running values to pinned runs: name -> (sum|count|max|min, column).
 
-    Inclusive values cover the row itself, exclusive ones only the rows before it. `overall` values cover the whole
-    key; they come with the carried totals, so a hot key is not joined by its key alone.
+def running(df: DataFrame, keys: list[str], bucket: Column, order: list, values: dict[str, tuple[str, Column]], inclusive: bool = True) -> DataFrame:
+    """Add running values: name -> (sum|count|max|min, column).
+
+    `bucket` must not fall while the order goes on. Inclusive values cover the row itself, exclusive ones only the rows
+    before it.
     """
-    overall = overall or {}
-    sort = [F.col(item) if isinstance(item, str) else item for item in order]
-    inputs = {f"_in_{name}": (F.when(value.isNotNull(), 1).otherwise(0) if kind == "count" else value) for name, (kind, value) in values.items()}
-    staged = runs.withColumns(inputs)
-    end = 0 if inclusive else -1
-    within = Window.partitionBy(RUN, *keys).orderBy(*sort).rowsBetween(Window.unboundedPreceding, end)
-    local = staged.withColumns({f"_at_{name}": _FOLD[kind](f"_in_{name}").over(within) for name, (kind, _) in values.items()})
-    totals = staged.groupBy(RUN, *keys).agg(
-        *[_FOLD[kind](f"_in_{name}").alias(f"_tot_{name}") for name, (kind, _) in values.items()],
-        *[_FOLD[kind](value).alias(f"_all_{name}") for name, (kind, value) in overall.items()],
-    )
-    whole = Window.partitionBy(*keys)
-    before = Window.partitionBy(*keys).orderBy(RUN).rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(
-        F.col(RUN).alias("_c_run"),
-        *[F.col(key).alias(f"_c_{key}") for key in keys],
-        *[_FOLD[kind](f"_tot_{name}").over(before).alias(f"_carry_{name}") for name, (kind, _) in values.items()],
-        *[_FOLD[kind](f"_all_{name}").over(whole).alias(name) for name, (kind, _) in overall.items()],
-    )
-    match = F.col(RUN) == F.col("_c_run")
-    for key in keys:
-        match = match & F.col(key).eqNullSafe(F.col(f"_c_{key}"))
-    joined = local.join(carried, match, "left")
+    inputs = {f"_in_{name}": F.when(value.isNotNull(), 1).otherwise(0) if kind == "count" else value for name, (kind, value) in values.items()}
+    staged = df.withColumn(BUCKET, bucket).withColumns(inputs)
+    totals = staged.groupBy(*keys, BUCKET).agg(*[_FOLD[kind](f"_in_{name}").alias(f"_in_{name}") for name, (kind, _) in values.items()])
+    carries = totals.select(*keys, BUCKET, *[_FOLD[kind](f"_in_{name}").over(earlier(keys)).alias(f"_in_{name}") for name, (kind, _) in values.items()])
+    within = in_bucket(keys, order, inclusive)
     results = {}
     for name, (kind, _) in values.items():
-        at, carry = F.col(f"_at_{name}"), F.col(f"_carry_{name}")
-        if kind in ("sum", "count"):
-            both = F.coalesce(at, F.lit(0)) + F.coalesce(carry, F.lit(0))
-            results[name] = both if kind == "count" else F.when(at.isNotNull() | carry.isNotNull(), both)
-        elif kind == "max":
-            results[name] = F.greatest(at, carry)
-        else:
-            results[name] = F.least(at, carry)
-    kept = [name for name in runs.columns if name not in results]
-    return joined.select(*kept, *[value.alias(name) for name, value in results.items()], *overall)
-
-
-def global_ordinal(df: DataFrame, order: list, name: str = "ordinal") -> DataFrame:
+        result = _FOLD[kind](f"_in_{name}").over(within)
+        results[name] = F.coalesce(result, F.lit(0)) if kind == "count" else result
+    kept = [name for name in df.columns if name not in results]
+    placed = with_carries(staged, carries).select(*kept, "_row", *[value.alias(name) for name, value in results.items()])
+    return placed.filter("_row = 1").drop("_row")
+
+
+def global_ordinal(df: DataFrame, bucket: Column, order: list, name: str = "ordinal") -> DataFrame:
     """0-based position of each row in the order, which must be total for a repeatable result."""
-    runs = split_runs(df, [], order)
-    return running(runs, [], order, {name: ("count", F.lit(1))}, inclusive=False).drop(RUN)
+    return running(df, [], bucket, order, {name: ("count", F.lit(1))}, inclusive=False)
 
 
-def keyed_ordinal(df: DataFrame, keys: list[str], order: list, name: str = "ordinal") -> DataFrame:
+def keyed_ordinal(df: DataFrame, keys: list[str], bucket: Column, order: list, name: str = "ordinal") -> DataFrame:
     """0-based position of each row within its key."""
-    runs = split_runs(df, keys, order)
-    return running(runs, keys, order, {name: ("count", F.lit(1))}, inclusive=False).drop(RUN)
+    return running(df, keys, bucket, order, {name: ("count", F.lit(1))}, inclusive=False)
+
+
+def _coarse(value: Column) -> Column:
+    """Eighths of the powers of two: a bucket that grows with the value, whatever its size."""
+    size = F.floor(F.log2(F.abs(value)) * 8) + 10_000
+    return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0).cast("long"))
+
+
+def _same(left: DataFrame, right: DataFrame, names: list[str]) -> tuple[DataFrame, Column]:
+    """`right` with other names for these columns, and that they equal those of `left`, NULL included."""
+    renamed = right.withColumnsRenamed({name: f"_r_{name}" for name in names})
+    match = F.lit(True)
+    for name in names:
+        match = match & left[name].eqNullSafe(renamed[f"_r_{name}"])
+    return renamed, match
 
 
 def exact_percentiles(df: DataFrame, keys: list[str], value: str, points: dict[str, float]) -> DataFrame:
-    """Linear-interpolation percentiles per key over the non-NULL values.
+    """Linear-interpolation percentiles per key over the values that are neither NULL nor NaN.
 
-    Equal values are counted first, so the sorted data is as wide as the distinct values, and one key may hold any
-    share of the rows.
+    Nothing is sorted as a whole: equal values are counted, the counts of coarse value ranges tell which of them hold
+    the wanted ranks, those ranges are split finely and counted again, and only the values of the parts that hold a
+    wanted rank are put in order. So one key may hold any share of the rows.
     """
     if not keys:
         return exact_percentiles(df.withColumn("_all", F.lit(0)), ["_all"], value, points).drop("_all")
+    number = F.col(value).cast("double")
     counted = (
-        df.filter(F.col(value).isNotNull())
+        df.filter(F.col(value).isNotNull() & ~F.isnan(number))
         .groupBy(*keys, F.col(value).alias("_value"))
         .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_range", _coarse(F.col("_value").cast("double")))
     )
-    runs = split_runs(counted, keys, ["_value"])
-    overall = {"n": ("sum", F.col("_n")), "min": ("min", F.col("_value")), "max": ("max", F.col("_value"))}
-    ranked = running(runs, keys, ["_value"], {"_to": ("sum", F.col("_n"))}, overall=overall)
-    first, last = F.col("_to") - F.col("_n"), F.col("_to") - 1
-
-    def value_at(position: Column) -> Column:
-        return F.max(F.when((first <= position) & (position <= last), F.col("_value").cast("double")))
-
-    columns = []
-    for label, q in points.items():
-        place = (F.col("n") - 1) * F.lit(float(q))
-        low, high = value_at(F.floor(place)), value_at(F.ceil(place))
-        share = F.max(place - F.floor(place))
-        columns.append((low + (high - low) * share).alias(label))
-    return ranked.groupBy(*keys).agg(
-        F.max("n").alias("n"), F.max("min").alias("min"), F.max("max").alias("max"), *columns
+    whole = Window.partitionBy(*keys)
+    ranges = counted.groupBy(*keys, "_range").agg(F.sum("_n").alias("_m"), F.min("_value").alias("_low"), F.max("_value").alias("_high"))
+    placed = ranges.select(
+        *keys, "_range", "_m", "_low", "_high",
+        F.coalesce(F.sum("_m").over(whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        F.sum("_m").over(whole).alias("n"), F.min("_low").over(whole).alias("min"), F.max("_high").over(whole).alias("max"),
+    )
+    places = [(F.col("n") - 1) * F.lit(float(q)) for q in points.values()]
+    ranks = F.array_distinct(F.array(*[side(place).cast("long") for place in places for side in (F.floor, F.ceil)]))
+
+    def held(names: Column, first: Column, size: Column) -> Column:
+        return F.filter(names, lambda rank: (rank >= first) & (rank < first + size))
+
+    chosen = placed.withColumn("_ranks", held(ranks, F.col("_before"), F.col("_m"))).filter(F.size("_ranks") > 0).drop("_m")
+    renamed, match = _same(counted, chosen, [*keys, "_range"])
+    low, high = (F.col(name).cast("double") for name in ("_low", "_high"))
+    part = F.when(high > low, F.floor((F.col("_value").cast("double") - low) / (high - low) * PARTS)).otherwise(F.lit(0).cast("long"))
+    narrow = counted.join(renamed, match).select(*keys, "_range", "_value", "_n", part.alias("_part"), "_before", "_ranks", "n", "min", "max")
+    once = [F.first(name).alias(name) for name in ("_before", "_ranks", "n", "min", "max")]
+    parts = narrow.groupBy(*keys, "_range", "_part").agg(F.sum("_n").alias("_m"), *once)
+    so_far = Window.partitionBy(*keys, "_range").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    begun = parts.withColumn("_from", F.col("_before") + F.coalesce(F.sum("_m").over(so_far), F.lit(0)))
+    fine = begun.withColumn("_ranks", held(F.col("_ranks"), F.col("_from"), F.col("_m"))).filter(F.size("_ranks") > 0)
+    base = narrow.select(*keys, "_range", "_part", "_value", "_n")
+    renamed, match = _same(base, fine.select(*keys, "_range", "_part", "_from", "_ranks", "n", "min", "max"), [*keys, "_range", "_part"])
+    rows = base.join(renamed, match)
+    upto = Window.partitionBy(*keys, "_range", "_part").orderBy("_value").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("_from") + F.coalesce(F.sum("_n").over(upto), F.lit(0))
+    ranked = rows.withColumn("_first", first).withColumn("_ranks", held(F.col("_ranks"), F.col("_first"), F.col("_n"))).filter(F.size("_ranks") > 0)
+    # At most two values for each point.
+    found = ranked.select(*keys, "n", "min", "max", F.explode("_ranks").alias("_rank"), F.col("_value").cast("double").alias("_value"))
+    told = found.groupBy(*keys).agg(
+        *[F.first(name).alias(name) for name in ("n", "min", "max")], F.map_from_entries(F.collect_list(F.struct("_rank", "_value"))).alias("_at")
     )
+    columns = []
+    for label, place in zip(points, places, strict=True):
+        below, above = (F.element_at("_at", side(place).cast("long")) for side in (F.floor, F.ceil))
+        columns.append((below + (above - below) * (place - F.floor(place))).alias(label))
+    return told.select(*keys, "n", "min", "max", *columns)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from catchment.functions.clock import CALENDAR_RULES, epoch_seconds, iso_text, to_utc, wall_time
 from catchment.functions.ids import job_id, key_of, menu_task_id, task_name, uuid5
-from catchment.operators.ordered import global_ordinal, keyed_ordinal
+from catchment.operators.ordered import STRETCH, global_ordinal, keyed_ordinal, stretch
 from catchment.session import pin
 
 # Fixed value: seconds kept free before the end of each interval.
@@ -267,7 +267,7 @@ def missing_jobs(postcodes: DataFrame, windows: list[str], manifest: DataFrame,
     )
     open_pairs = per_window(postcodes, windows).join(known.distinct(), ["planned_window", "postcode"], "left_anti")
     renamed = open_pairs.withColumnRenamed("ordinal", "input_ordinal")
-    return keyed_ordinal(renamed, ["planned_window"], ["input_ordinal"])
+    return keyed_ordinal(renamed, ["planned_window"], stretch(F.col("input_ordinal"), STRETCH), ["input_ordinal"])
 
 
 def plan_resume(postcodes: DataFrame, windows: list[str], intervals: DataFrame | None, run: Run, manifest: DataFrame, guard_seconds: int = END_GUARD_SECONDS) -> DataFrame:
@@ -328,7 +328,7 @@ def seeded_sample(df: DataFrame, seed: str, n: int | None, id_column: str = "res
 
 def menu_tasks(restaurants: DataFrame, run_id: str, now: str) -> DataFrame:
     """Menu tasks, one a second from `now`, in the order of `rank_key`."""
-    ordered = global_ordinal(restaurants, ["rank_key", "restaurant_id"])
+    ordered = global_ordinal(restaurants, F.left("rank_key", F.lit(3)), ["rank_key", "restaurant_id"])
     timed = immediate_schedule(ordered, now)
     identifier = menu_task_id(F.lit(run_id), F.col("restaurant_id"), F.col("restaurant_unique_name"))
     return timed.select(

@@ -108,7 +108,7 @@ def local_to_utc(spark, sf_dir):
 )
 def plan_schedule(spark, sf_dir):
     """Ordinals are worked out again from the input order, as for a file."""
-    ordered = planning.global_ordinal(_postcodes(spark, sf_dir).withColumnRenamed("ordinal", "input_order"), ["input_order"])
+    ordered = planning.global_ordinal(_postcodes(spark, sf_dir).withColumnRenamed("ordinal", "input_order"), planning.stretch(F.col("input_order"), planning.STRETCH), ["input_order"])
     jobs = planning.per_window(ordered.select("ordinal", "postcode"), CALENDAR_TAGS)
     return _shown(planning.schedule(jobs, calendar(spark, sf_dir)))
 

@@ -41,7 +41,7 @@ def postcode_rows(df: DataFrame) -> DataFrame:
 def read_postcodes(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
     """Postcodes of a CSV in file order, as (ordinal, postcode); duplicates stay."""
     raw = spark.read.csv(path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-    rows = global_ordinal(postcode_rows(with_input_order(raw)), list(INPUT_ORDER))
+    rows = global_ordinal(postcode_rows(with_input_order(raw)), F.struct("source_file", "source_offset"), list(INPUT_ORDER))
     if limit:
         rows = rows.filter(F.col("ordinal") < limit)
     return rows.select("ordinal", "postcode")
