@@ -6,6 +6,8 @@ columns `items` and `details`.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -100,9 +102,25 @@ def joined_ids(variations: Column, field: str) -> Column:
     return text_or_blank(F.array_join(F.array_sort(F.array_distinct(ids)), "|"))
 
 
-def menu_positions(state: DataFrame) -> DataFrame:
+def _present(values: Column) -> Column:
+    return F.filter(values, lambda value: value.isNotNull())
+
+
+def indexed(df: DataFrame, entries: Column, key_of: Callable[[Column], Column]) -> DataFrame:
+    """Add `_entries`, the last entry first, and their `_keys`: worked out once for each page, before anything is opened."""
+    last_first = df.withColumn("_entries", F.reverse(_present(entries)))
+    return last_first.withColumn("_keys", F.transform("_entries", key_of))
+
+
+def looked_up(key: Column) -> Column:
+    """The last entry of a key, within the page's row; NULL for an unknown or missing key."""
+    at = F.array_position(F.col("_keys"), key)
+    return F.when(at > 0, F.element_at("_entries", at.cast("int")))
+
+
+def menu_positions(state: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per (menu, category, item position), positions from zero."""
-    menus = open_array(state, ["page_id", "restaurant_id", "restaurant_name"], "menus", "menu", "menu_index")
+    menus = open_array(state, ["page_id", "restaurant_id", "restaurant_name", *keep], "menus", "menu", "menu_index")
     categories = open_array(menus, ["*"], "menu.categories", "category", "category_index")
     positions = open_array(categories, ["*"], "category.itemIds", "item_key", "position_in_category", keep_null=True)
     return positions.select(
@@ -117,62 +135,53 @@ def menu_positions(state: DataFrame) -> DataFrame:
         text_or_blank(F.col("category.name")).alias("category_name"),
         F.col("position_in_category").cast("long").alias("position_in_category"),
         "item_key",
+        *keep,
     )
 
 
-def item_rows(state: DataFrame) -> DataFrame:
-    """Item columns per (page, item id); of repeated ids the last one counts."""
-    items = open_array(state, ["page_id"], item_list(state), "item", "at")
-    item = F.col("item")
+def item_columns(item: Column) -> list[Column]:
     variations = item["Variations"]
     prices = F.filter(F.transform(variations["BasePrice"], lambda price: price.try_cast("double")), lambda price: price.isNotNull())
-    shaped = items.select(
-        "page_id",
-        item["Id"].alias("item_key"),
-        "at",
-        F.struct(
-            text_or_blank(item["Id"]).alias("item_id"),
-            text_or_blank(item["Name"]).alias("item_name"),
-            text_or_blank(item["Description"]).alias("item_description"),
-            text_or_blank(item["Type"]).alias("item_type"),
-            text_or_blank(F.array_join(item["Labels"], "|")).alias("labels"),
-            F.array_min(prices).alias("min_price"),
-            F.array_max(prices).alias("max_price"),
-            text_or_blank(F.array_join(F.transform(variations["Id"], text_or_blank), "|")).alias("variation_ids"),
-            F.greatest(F.coalesce(F.size(variations), F.lit(0)), F.lit(0)).cast("long").alias("variation_count"),
-            joined_ids(variations, "ModifierGroupsIds").alias("modifier_group_ids"),
-            joined_ids(variations, "DealGroupsIds").alias("deal_group_ids"),
-            text_or_blank(item["EnergyContent"]["EnergyDisplay"]).alias("energy_display"),
-            text_or_blank(item["EnergyUnits"]).alias("energy_units"),
-            text_or_blank(F.get(item["ImageSources"], 0)["Path"]).alias("image_0"),
-            json_cell(item["Restrictions"]).alias("restrictions_json"),
-        ).alias("columns"),
-    )
-    return shaped.groupBy("page_id", "item_key").agg(F.max_by("columns", "at").alias("columns"))
+    return [
+        text_or_blank(item["Id"]).alias("item_id"),
+        text_or_blank(item["Name"]).alias("item_name"),
+        text_or_blank(item["Description"]).alias("item_description"),
+        text_or_blank(item["Type"]).alias("item_type"),
+        text_or_blank(F.array_join(item["Labels"], "|")).alias("labels"),
+        F.array_min(prices).alias("min_price"),
+        F.array_max(prices).alias("max_price"),
+        text_or_blank(F.array_join(F.transform(variations["Id"], text_or_blank), "|")).alias("variation_ids"),
+        F.greatest(F.coalesce(F.size(variations), F.lit(0)), F.lit(0)).cast("long").alias("variation_count"),
+        joined_ids(variations, "ModifierGroupsIds").alias("modifier_group_ids"),
+        joined_ids(variations, "DealGroupsIds").alias("deal_group_ids"),
+        text_or_blank(item["EnergyContent"]["EnergyDisplay"]).alias("energy_display"),
+        text_or_blank(item["EnergyUnits"]).alias("energy_units"),
+        text_or_blank(F.get(item["ImageSources"], 0)["Path"]).alias("image_0"),
+        json_cell(item["Restrictions"]).alias("restrictions_json"),
+    ]
+
+
+def _item_id(item: Column) -> Column:
+    return item["Id"]
 
 
 def menu_items(state: DataFrame) -> DataFrame:
-    """One row per menu position whose item is known."""
-    joined = menu_positions(state).join(item_rows(state), ["page_id", "item_key"])
-    return joined.select(*[name for name in joined.columns if name not in ("item_key", "columns")], "columns.*")
-
-
-def missing_items(state: DataFrame) -> DataFrame:
-    """Menu positions per page whose item is unknown."""
-    lost = menu_positions(state).join(item_rows(state).select("page_id", "item_key"), ["page_id", "item_key"], "left_anti")
-    return lost.groupBy("page_id").agg(F.count(F.lit(1)).alias("missing_item_details"))
+    """One row per menu position whose item is known; of repeated ids the last one counts."""
+    positions = menu_positions(indexed(state, item_list(state), _item_id), ("_entries", "_keys"))
+    # A list of one or none, so that the item is looked up once and unknown ones leave.
+    found = open_array(positions, [name for name in positions.columns if not name.startswith("_")], F.array(looked_up(F.col("item_key"))), "item")
+    return found.select(*[name for name in found.columns if name not in ("item_key", "item")], *item_columns(F.col("item")))
 
 
 def menu_modifiers(state: DataFrame) -> DataFrame:
     """One row per modifier of each group; an unknown modifier keeps its row with blank columns."""
-    groups = open_array(state, ["page_id", "restaurant_id", "restaurant_name"], "details.ModifierGroups", "group")
+    known = indexed(state, F.col("details.ModifierSets"), lambda held: F.coalesce(held["Id"], F.lit("None")))
+    groups = open_array(known, ["page_id", "restaurant_id", "restaurant_name", "_entries", "_keys"], "details.ModifierGroups", "group")
     entries = open_array(groups, ["*"], "group.Modifiers", "modifier_set_id", "position_in_group", keep_null=True)
-    sets = open_array(state, ["page_id"], "details.ModifierSets", "set", "at").groupBy(
-        "page_id", F.coalesce("set.Id", F.lit("None")).alias("modifier_set_id")
-    ).agg(F.max_by("set.Modifier", "at").alias("modifier"))
-    joined = entries.join(sets, ["page_id", "modifier_set_id"], "left")
+    # The outer form keeps the row of an unknown modifier.
+    found = entries.select("*", F.explode_outer(F.array(looked_up(F.col("modifier_set_id"))["Modifier"])).alias("modifier"))
     modifier = F.col("modifier")
-    return joined.select(
+    return found.select(
         "page_id",
         "restaurant_id",
         "restaurant_name",
@@ -195,18 +204,20 @@ def menu_modifiers(state: DataFrame) -> DataFrame:
 
 def menu_deals(state: DataFrame) -> DataFrame:
     """One row per deal variation; modifier ids stay in document order."""
-    groups = open_array(state, ["page_id", "restaurant_id", "restaurant_name"], "details.DealGroups", "group")
+
+    def of_item(item: Column) -> Column:
+        some = F.coalesce(_present(item["Variations"]), F.array())
+        return F.transform(some, lambda variation: F.struct(item["Id"].alias("Id"), item["Name"].alias("Name"), variation.alias("variation")))
+
+    variations = F.flatten(F.transform(_present(item_list(state)), of_item))
+    index = indexed(state, variations, lambda held: F.coalesce(held["variation"]["Id"], F.lit("None")))
+    groups = open_array(index, ["page_id", "restaurant_id", "restaurant_name", "_entries", "_keys"], "details.DealGroups", "group")
     entries = open_array(groups, ["*"], "group.DealItemVariations", "entry", "position_in_group").withColumn(
         "deal_item_variation_id", text_or_blank(F.col("entry.DealItemVariationId"))
     )
-    items = open_array(state, ["page_id"], item_list(state), "item", "item_at")
-    variations = open_array(items, ["page_id", "item_at", "item.Id", "item.Name"], "item.Variations", "variation", "at")
-    index = variations.groupBy("page_id", F.coalesce("variation.Id", F.lit("None")).alias("deal_item_variation_id")).agg(
-        F.max_by(F.struct("Id", "Name", "variation"), F.struct("item_at", "at")).alias("known")
-    )
-    joined = entries.join(index, ["page_id", "deal_item_variation_id"], "left")
+    found = entries.select("*", F.explode_outer(F.array(looked_up(F.col("deal_item_variation_id")))).alias("known"))
     known = F.col("known")
-    return joined.select(
+    return found.select(
         "page_id",
         "restaurant_id",
         "restaurant_name",
@@ -228,7 +239,7 @@ def menu_deals(state: DataFrame) -> DataFrame:
 
 
 def menu_summary(state: DataFrame) -> DataFrame:
-    """Sizes per saved page; option counts come out of the documents in place, only missing items need a join."""
+    """Sizes per saved page, counted in the page's row."""
 
     def length(value: Column) -> Column:
         return F.greatest(F.coalesce(F.size(value), F.lit(0)), F.lit(0)).cast("long")
@@ -237,9 +248,16 @@ def menu_summary(state: DataFrame) -> DataFrame:
         sizes = F.transform(groups[field], length)
         return F.coalesce(F.aggregate(sizes, F.lit(0).cast("long"), lambda total, one: total + one), F.lit(0).cast("long"))
 
-    joined = state.join(missing_items(state), "page_id", "left")
+    def list_or_none(value: Column) -> Column:
+        return F.coalesce(value, F.array())
+
+    # Positions whose item is unknown, over all menus and categories.
+    positions = F.flatten(F.transform("menus", lambda menu: list_or_none(F.flatten(F.transform(menu["categories"], lambda category: list_or_none(category["itemIds"]))))))
+    staged = indexed(state, item_list(state), _item_id).withColumn("_positions", positions)
+    missing = F.filter("_positions", lambda key: ~F.coalesce(F.array_contains("_keys", key), F.lit(False)))
+    missing = F.when(F.col("_keys").isNull(), F.size("_positions")).otherwise(F.size(missing))
     listed = F.col("items.Items")
-    return joined.select(
+    return staged.select(
         "page_id",
         "restaurant_id",
         "restaurant_name",
@@ -250,7 +268,7 @@ def menu_summary(state: DataFrame) -> DataFrame:
         length(F.col("menus")).alias("menus"),
         # Without an item document the page's own items are the items document.
         F.when(F.col("items_url") == "", length(F.col("inline_items"))).otherwise(length(listed)).alias("items"),
-        F.coalesce("missing_item_details", F.lit(0).cast("long")).alias("missing_item_details"),
+        F.greatest(F.coalesce(missing, F.lit(0)), F.lit(0)).cast("long").alias("missing_item_details"),
         length(F.col("details.ModifierGroups")).alias("modifier_groups"),
         entries(F.col("details.ModifierGroups"), "Modifiers").alias("modifier_options"),
         length(F.col("details.DealGroups")).alias("deal_groups"),

@@ -1,5 +1,8 @@
 import json
 
+import pytest
+from pyspark.sql import functions as F
+
 from catchment.operators import menu
 
 STATE = {
@@ -86,3 +89,29 @@ def test_summary(spark, rows):
     row = found[1]
     assert (row["menus"], row["items"], row["missing_item_details"], row["modifier_groups"], row["modifier_options"], row["deal_groups"], row["deal_options"]) == (1, 3, 1, 2, 2, 1, 2)
     assert found[2]["menus"] == 0
+
+
+@pytest.mark.parametrize("job", ["menu_items", "menu_modifiers", "menu_deals", "menu_summary"])
+def test_pages_are_read_once_and_nothing_moves_but_to_attach(spark, job):
+    state, documents = inputs(spark)
+    plan = getattr(menu, job)(menu.attach_documents(state, documents))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") <= 2 and "Aggregate" not in plan
+    assert plan.count("Scan ") + plan.count("LocalTableScan") <= 4 and plan.count("Join") == 1
+
+
+def test_odd_ids_within_a_page(spark, rows):
+    """NULL ids, repeated ids and NULL members: the last entry counts, unknown ones are told."""
+    items = {"Items": [{"Id": "1", "Name": "Old"}, None, {"Id": None, "Name": "Nameless"}, {"Id": "1", "Name": "New", "Variations": [None, {"Id": "v"}, {"Id": "v", "Name": "Later"}, {"Name": "None"}]}]}
+    details = {"ModifierSets": [None, {"Modifier": {"Id": "m0"}}, {"Id": "5"}], "ModifierGroups": [None, {"Id": "g", "Modifiers": [None, "5", "None"]}],
+               "DealGroups": [{"Id": "d", "DealItemVariations": [None, {"DealItemVariationId": "v"}, {"DealItemVariationId": None}, {"DealItemVariationId": "None"}]}]}
+    state, documents = inputs(spark, items, details)
+    whole = menu.attach_documents(state, documents)
+    assert [(row["position_in_category"], row["item_name"]) for row in rows(menu.menu_items(whole), "position_in_category")] == [(0, "New"), (3, "New")]
+    modifiers = rows(menu.menu_modifiers(whole), "position_in_group")
+    assert [(row["modifier_set_id"], row["modifier_id"]) for row in modifiers] == [(None, ""), ("5", ""), ("None", "m0")]
+    deals = rows(menu.menu_deals(whole), "position_in_group")
+    assert [(row["position_in_group"], row["variation_name"]) for row in deals] == [(1, "Later"), (2, ""), (3, "None")]
+    summary = {row["page_id"]: row["missing_item_details"] for row in rows(menu.menu_summary(whole))}
+    assert summary == {1: 2, 2: 0, 3: 0}
+    empty = menu.attach_documents(state, documents).withColumn("inline_items", F.lit(None).cast(menu.ITEM)).withColumn("items", F.lit(None).cast(f"struct<Items:{menu.ITEM}>"))
+    assert {row["page_id"]: row["missing_item_details"] for row in rows(menu.menu_summary(empty))}[1] == 4
