@@ -95,8 +95,10 @@ def admission(tasks: DataFrame, manifest: DataFrame, events: DataFrame, bans: Da
     """Decide per task row whether its job may run; the first rule that applies wins.
 
     `tasks` may carry `now` and `limiter_key` columns; `bans` holds (limiter_key, ban_until). Adds `decision`,
-    `status_code` and `message`.
+    `status_code` and `message`. Only the history of the tasks' own jobs is folded.
     """
+    asked = tasks.select("job_id").distinct()
+    manifest, events = (history.join(asked, "job_id", "left_semi") for history in (manifest, events))
     fields = ["run_id", "provider", "postcode", "planned_window"]
     checked = missing_required(tasks, TASK_FIELDS)
     known = latest_manifest(manifest).select(

@@ -408,19 +408,64 @@ def release_sample(spark, sf_dir):
     return rows.select("postcode", "ListingId", time_text(F.col("captured_at")).alias("captured_at"), "partition_label")
 
 
-def _released(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = scratch_dir(spark, "release")
+def _released(spark: SparkSession, sf_dir: str, out: str | None = None) -> DataFrame:
     tables = {
         "restaurant_snapshots": domain(spark, sf_dir, "snapshots"),
         "postcode_restaurant_delivery_map": domain(spark, sf_dir, "coverage"),
         "restaurant_profile": domain(spark, sf_dir, "profile"),
     }
-    return writers.export_release(tables, folder + "/out", ["profile", "static_coverage", "observed_availability"], rows_per_file=200_000, sample_rows=100)
+    return writers.export_release(tables, out or scratch_dir(spark, "release") + "/out", ["profile", "static_coverage", "observed_availability"], rows_per_file=200_000, sample_rows=100)
 
 
-@query("file_manifest")
+@query(
+    "file_manifest",
+    f"""{cte('snapshots', 'coverage', 'profile')} SELECT 'observed_availability' AS dataset, planned_window AS partition, count(*) AS rows, TRUE AS same_bytes, TRUE AS same_hashes
+    FROM d_snapshots WHERE planned_window IN ({TAG_LIST}) GROUP BY ALL
+    UNION ALL SELECT 'static_coverage', '', count(*), TRUE, TRUE FROM d_coverage UNION ALL SELECT 'restaurant_profile', '', count(*), TRUE, TRUE FROM d_profile""",
+)
 def file_manifest(spark, sf_dir):
-    return _released(spark, sf_dir)
+    """Rows per partition by the footers, and whether all files have the bytes and hashes that Spark itself reads."""
+    folder = scratch_dir(spark, "release") + "/out"
+    files = _released(spark, sf_dir, folder)
+    read = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(folder)
+    own = read.select(
+        F.substring_index("path", "/out/", -1).alias("relative_path"), F.length("content").cast("long").alias("own_bytes"), F.sha2("content", 256).alias("own_sha256")
+    )
+    both = files.join(own, "relative_path", "left")
+    return both.groupBy("dataset", "partition").agg(
+        F.sum("rows").alias("rows"),
+        F.bool_and(F.col("bytes").eqNullSafe(F.col("own_bytes"))).alias("same_bytes"),
+        F.bool_and(F.col("sha256").eqNullSafe(F.col("own_sha256"))).alias("same_hashes"),
+    )
+
+
+@query(
+    "release_limited",
+    f"""{cte('coverage', 'profile')} SELECT 'static_coverage' AS dataset, least(count(*), 500) AS rows FROM d_coverage
+    UNION ALL SELECT 'restaurant_profile', least(count(*), 500) FROM d_profile""",
+)
+def release_limited(spark, sf_dir):
+    """An export of so many rows of each table: its limit is the feature."""
+    tables = {"postcode_restaurant_delivery_map": domain(spark, sf_dir, "coverage"), "restaurant_profile": domain(spark, sf_dir, "profile")}
+    files = writers.export_release(tables, scratch_dir(spark, "limited") + "/out", ["profile", "static_coverage"], max_rows=500)
+    return files.groupBy("dataset").agg(F.sum("rows").alias("rows"))
+
+
+@query(
+    "append_roundtrip",
+    f"""{cte('manifest')}, m AS (SELECT * REPLACE (date_trunc('month', scheduled_at) AS scheduled_at) FROM d_manifest),
+    two AS (SELECT * FROM m WHERE scheduled_at < TIMESTAMP '1997-01-01' UNION ALL SELECT * FROM m)
+    SELECT job_id, run_id, provider, postcode, planned_window, {sql_time('scheduled_at')} AS scheduled_at FROM two
+    WHERE run_id = 'run-F' AND CAST(scheduled_at AS DATE) BETWEEN DATE '1996-03-01' AND DATE '1998-06-30'""",
+)
+def append_roundtrip(spark, sf_dir):
+    """Rows appended in two steps, some of them twice, and read back by run and day; all are due on the first of a month."""
+    folder = scratch_dir(spark, "manifest")
+    rows = domain(spark, sf_dir, "manifest").withColumn("scheduled_at", F.date_trunc("month", "scheduled_at"))
+    for some in (rows.filter("scheduled_at < TIMESTAMP '1997-01-01'"), rows):
+        writers.append_rows(some, folder, "job_manifest")
+    back = writers.read_table(spark, folder, "job_manifest", ["run-F"], ("1996-03-01", "1998-06-30"))
+    return back.select("job_id", "run_id", "provider", "postcode", "planned_window", time_text(F.col("scheduled_at")).alias("scheduled_at"))
 
 
 @query(

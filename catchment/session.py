@@ -16,6 +16,8 @@ def build_session(app: str = "catchment", master: str | None = None, **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # First rows of a group are limited in each task for samples of any usual size, not only up to 1,000 rows.
+        "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
         # The streams' keyed state needs it.
         "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         **conf,

@@ -71,7 +71,7 @@ def plan_collection(
     """Task rows and new manifest rows of a run; appends the manifest rows. `postcodes` holds (ordinal, postcode)."""
     intervals = choose_windows(spark, names, choice or WindowChoice())
     timed = None if schedule_now else intervals
-    manifest = writers.read_table(spark, manifest_path, "job_manifest") if manifest_path else None
+    manifest = writers.read_table(spark, manifest_path, "job_manifest", runs=[run.run_id]) if manifest_path else None
     if skip_existing and manifest is not None:
         tasks = planning.plan_resume(postcodes, names, timed, run, manifest)
     else:

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from catchment.operators import listing
+from catchment.operators import listing, planning
 from catchment.sources import readers, writers
 from catchment.sources.schemas import COVERAGE, SNAPSHOTS, conform_to_schema, missing_required, narrowed
 
@@ -192,6 +192,24 @@ def test_append_rows_by_day(spark, tmp_path, rows):
     assert back.columns == ["event_id", "job_id", "provider", "postcode", "planned_window", "event_type", "event_time", "message", "raw_uri", "processed_rows"]
 
 
+def test_stored_tables_are_pruned_by_run_and_day(spark, tmp_path):
+    path = str(tmp_path / "manifest")
+    rows = spark.sql("SELECT 'j' || id AS job_id, CASE id % 3 WHEN 0 THEN '20260617' WHEN 1 THEN 'b/c' END AS run_id, 'p' AS provider, 'x' || id AS postcode, 'w' AS planned_window, TIMESTAMP '2026-06-17 10:00:00' + make_interval(0,0,0,CAST(id AS INT)) AS scheduled_at, TIMESTAMP '2026-06-01' AS created_at FROM range(9)")
+    writers.append_rows(rows, path, "job_manifest")
+    whole = writers.read_table(spark, path, "job_manifest")
+    assert sorted((row.job_id, row.run_id) for row in whole.collect()) == sorted((row.job_id, row.run_id) for row in rows.collect())
+    some = writers.read_table(spark, path, "job_manifest", runs=["b/c"], days=("2026-06-18", "2026-06-21"))
+    assert sorted(row.job_id for row in some.collect()) == ["j1", "j4"]
+    window, run = "w", planning.Run("b/c", "p", "2026-06-17T00:00:00+00:00")
+    codes = spark.createDataFrame([(0, "x1"), (1, "zz")], "ordinal long, postcode string")
+    jobs = planning.missing_jobs(codes, [window], whole, run)
+    assert [row.postcode for row in jobs.collect()] == ["zz"]
+    for frame in (some, jobs, planning.skipped_counts(codes, [window], whole, run), planning.new_manifest_rows(rows, whole, "b/c")):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        scans = [line for line in plan.split("\n") if "FileScan parquet" in line]
+        assert scans and all("PartitionFilters: [" in line and "run_id" in line.split("PartitionFilters: [")[1].split("]")[0] for line in scans)
+
+
 def test_postcodes_from_csv(spark, tmp_path):
     path = tmp_path / "p.csv"
     path.write_bytes("﻿name,postcode\nx,AA1 1AA\ny,\nz, bb2 2BB \nw,AA1 1AA\n".encode())

@@ -31,8 +31,11 @@ def test_release(spark, tables, tmp_path, rows):
         assert pq.ParquetFile(path).metadata.row_group(0).column(0).compression == "SNAPPY"
     summary = next((tmp_path / "release" / "release_summary").glob("*.csv")).read_text(encoding="utf-8")
     assert summary.startswith("﻿") and "observed_availability,restaurant_snapshots" in summary and ",600,400,200," in summary
-    sample = "".join(path.read_text(encoding="utf-8") for path in (tmp_path / "release" / "csv_samples" / "observed_availability").glob("*.csv"))
-    assert sample.count("\n") == 11
+    samples = {path.parent.name: path.read_text(encoding="utf-8") for path in (tmp_path / "release" / "csv_samples" / "observed_availability").rglob("*.csv")}
+    # One file with a header and five rows for each partition.
+    assert set(samples) == {"partition_label=saturday_peak", "partition_label=weekday_evening"}
+    assert all(text.startswith("\ufeff") and text.count("\n") == 6 for text in samples.values())
+    assert ",smoke," not in "".join(samples.values()) and "saturday peak" in samples["partition_label=saturday_peak"]
     with pytest.raises(RuntimeError, match="not empty"):
         writers.export_release(tables, out, ["profile"])
 
@@ -60,3 +63,37 @@ def test_summary_counts(tables, rows):
 def test_sample_limits_ranks_before_the_shuffle(tables):
     plan = writers.release_sample(tables["restaurant_snapshots"], writers.RELEASE["observed_availability"], 5)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+@pytest.mark.parametrize("n", [1000, 1001])
+def test_the_plan_doesnt_change_with_the_sample(tables, n):
+    many = tables["restaurant_snapshots"].withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(100))))
+    plan = writers.release_sample(many, writers.RELEASE["observed_availability"], n)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+
+
+def test_each_source_is_read_in_full_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        for batch in rows:
+            seen.add(batch.num_rows)
+            yield batch
+
+    shape = "planned_window string, postcode string, ListingId string, captured_at timestamp"
+    source = spark.sql("SELECT 'saturday_peak' AS planned_window, 'p' || id AS postcode, 'x' AS ListingId, timestamp_seconds(id) AS captured_at FROM range(300)").mapInArrow(count, shape)
+    profile = spark.range(70).select(F.col("id").cast("string").alias("restaurant_id")).mapInArrow(count, "restaurant_id string")
+    writers.export_release({"restaurant_profile": profile}, str(tmp_path / "one"), ["profile"])
+    assert seen.value == 70
+    writers.export_release({"restaurant_snapshots": source}, str(tmp_path / "two"), ["observed_availability"])
+    assert seen.value == 70 + 2 * 300  # once for the files, once for the rows that an allow-list leaves out
+
+
+def test_hashes_of_pieces(spark, tmp_path, rows, monkeypatch):
+    monkeypatch.setattr(writers, "PIECE", 100)
+    spark.range(5000).repartition(3).write.parquet(str(tmp_path / "files"))
+    found = rows(writers.with_content_facts(writers.released_files(spark, str(tmp_path / "files"))))
+    assert sum(row["rows"] for row in found) == 5000 and len(found) == 3
+    for row in found:
+        data = open(row["path"].removeprefix("file:"), "rb").read()
+        assert (row["bytes"], row["sha256"]) == (len(data), hashlib.sha256(data).hexdigest())
