@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catchment import workflows
 from catchment.functions.loose import number
 from catchment.functions.text import format_money, parse_place_count, parse_rating, parse_verticals, partition_label
 from catchment.functions.text import clean_postcode, clean_text
 from catchment.operators import grocery, listing
+from catchment.operators.ordered import global_ordinal
 from catchment.plans.adapters import LINE_KEY, TAGS, WINDOW_OF_LINE, cte, domain, driver_table, envelopes, odd_envelopes
-from catchment.plans.registry import query, scratch_dir, sql_time, time_text
+from catchment.plans.registry import SQL, query, scratch_dir, sql_time, time_text
 from catchment.sources import readers, writers
 from catchment.sources.schemas import COVERAGE, PROFILE, SNAPSHOTS, conform_to_schema
 
@@ -105,6 +107,18 @@ def grocery_grid(spark, sf_dir):
     return grocery.grocery_grid(_geography(spark, sf_dir), grocery.source_keys(observed_intervals(spark, sf_dir)), aggregates)
 
 
+@query("grocery_csv", f"SELECT *, row_number() OVER (ORDER BY source_dataset, source_tag, postcode, geo_code) - 1 AS ordinal FROM ({SQL['grocery_grid']})")
+def grocery_csv(spark, sf_dir):
+    """The exported report, read back from its CSV files in the order in which it stands there."""
+    folder = scratch_dir(spark, "grocery")
+    coverage, snapshots, profile = _grocery_inputs(spark, sf_dir)
+    grid = workflows.export_grocery(coverage, snapshots, profile, _geography(spark, sf_dir), observed_intervals(spark, sf_dir), folder)
+    back = spark.read.csv(folder, header=True)
+    named = readers.with_input_order(back).withColumnRenamed(back.columns[0], grid.columns[0])
+    placed = global_ordinal(named, F.struct("source_file", "source_offset"), list(readers.INPUT_ORDER))
+    return placed.select(*[F.col(name).cast(kind).alias(name) for name, kind in grid.dtypes], "ordinal")
+
+
 @query(
     "static_deliverable",
     f"{cte('profile', 'coverage')}, {CLASSIFIED}, {STATIC_SQL} SELECT * FROM st",
@@ -161,12 +175,26 @@ def window_consistency(spark, sf_dir):
 )
 def postcode_input(spark, sf_dir):
     """Written as CSV in customer order, then read back in file order."""
+    return readers.read_postcodes(spark, _written_postcodes(spark, sf_dir))
+
+
+def _written_postcodes(spark: SparkSession, sf_dir: str) -> str:
     folder = scratch_dir(spark, "postcodes")
     raw = domain(spark, sf_dir, "postcodes").select("ordinal", F.col("raw").alias("postcode"))
     raw.repartitionByRange("ordinal").sortWithinPartitions("ordinal").select("postcode").write.mode("overwrite").option(
         "ignoreLeadingWhiteSpace", False
     ).option("ignoreTrailingWhiteSpace", False).csv(folder, header=True)
-    return readers.read_postcodes(spark, folder)
+    return folder
+
+
+@query(
+    "first_postcodes",
+    f"""{cte('postcodes')} SELECT row_number() OVER (ORDER BY ordinal) - 1 AS ordinal, lower(regexp_replace(raw, '\\s+', '', 'g')) AS postcode
+    FROM d_postcodes ORDER BY ordinal LIMIT 100""",
+)
+def first_postcodes(spark, sf_dir):
+    """The first postcodes of a list in file order: its limit is the feature."""
+    return readers.read_postcodes(spark, _written_postcodes(spark, sf_dir), limit=100)
 
 
 @query(

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catchment.functions.clock import LOCAL_ZONE, to_utc, wall_time, wall_text
-from catchment.operators import planning
+from catchment.functions.ids import menu_task_id
+from catchment.operators import listing, planning
 from catchment.operators.planning import Run
 from catchment.plans.adapters import cte, domain, driver_table
 from catchment.plans.listing_queries import OBSERVED_SQL, observed_intervals
@@ -113,6 +114,36 @@ def plan_schedule(spark, sf_dir):
     return _shown(planning.schedule(jobs, calendar(spark, sf_dir)))
 
 
+_RUSH = ("2024-03-04T14:00:00", "2024-03-04T18:30:00")
+
+
+@query(
+    "custom_plan",
+    f"""{cte('postcodes')}, w AS (SELECT unnest(['rush', 'late']) AS tag), cal AS (SELECT tag, '{_RUSH[0]}' AS local_start, '{_RUSH[1]}' AS local_end FROM w),
+    pairs AS (SELECT tag AS planned_window, postcode, row_number() OVER (PARTITION BY tag ORDER BY ordinal) - 1 AS ordinal, count(*) OVER (PARTITION BY tag) AS n FROM d_postcodes, w),
+    {slot_sql('pairs')} SELECT planned_window, postcode, ordinal, {sql_time('scheduled_at')} AS scheduled_at, {sql_time('window_end_at')} AS window_end_at FROM placed""",
+)
+def custom_plan(spark, sf_dir):
+    """All postcodes over one custom window under two names."""
+    names = ["rush", "late"]
+    jobs = planning.per_window(_postcodes(spark, sf_dir), names)
+    return _shown(planning.schedule(jobs, planning.custom_windows(spark, names, *_RUSH)))
+
+
+@query(
+    "stable_ids",
+    f"""{cte('events')} SELECT event_id, {sql_uuid5("'snapshot|' || job_id || '|' || " + sql_time('event_time'))} AS snapshot_id,
+    {sql_uuid5("'run-P|' || job_id || '|' || coalesce(raw_uri, 'None')")} AS task_id FROM d_events""",
+)
+def stable_ids(spark, sf_dir):
+    events = domain(spark, sf_dir, "events")
+    return events.select(
+        "event_id",
+        listing.snapshot_id(F.col("job_id"), time_text(F.col("event_time"))).alias("snapshot_id"),
+        menu_task_id(F.lit("run-P"), F.col("job_id"), F.col("raw_uri")).alias("task_id"),
+    )
+
+
 @query("plan_jobs", f"{cte('postcodes')}, {CALENDAR_SQL}, {_PAIRS}, {slot_sql('pairs')} {_TASK_SQL}")
 def plan_jobs(spark, sf_dir):
     return _shown(planning.plan_jobs(_postcodes(spark, sf_dir), CALENDAR_TAGS, calendar(spark, sf_dir), RUN))

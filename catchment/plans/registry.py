@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catchment.session import ensure_checkpoint_dir
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -43,11 +45,5 @@ def sql_uuid5(key: str) -> str:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder for a query that writes: under the shared checkpoint folder, or a temporary one when local."""
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix=f"catchment-{name}-")
-    from uuid import uuid4
-
-    from catchment.session import ensure_checkpoint_dir
-
+    """A fresh folder, under the shared checkpoint folder, for a query that writes."""
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid4()}"
