@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,3 +28,11 @@ def whole_text(text: str = "text") -> Column:
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case and nothing else; the plain function does for texts without other letters."""
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+
+
+def give_back() -> None:
+    """Return freed memory to the system: workers live on after a task and share the executor's limit with its heap."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

@@ -14,14 +14,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from catchment.llm.common import whole_text
+from catchment.llm.common import give_back, whole_text
 from catchment.llm.components import components
 from catchment.llm.presence import passes, presence
-from catchment.llm.prints import mixed
+from catchment.llm.prints import CHUNK, mixed
 from catchment.llm.shingles import set_key, sets_in
 from catchment.session import pin
 
@@ -86,7 +87,7 @@ def describe(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 sizes.append(len(found))
                 keys.append(set_key(found) if len(found) else None)
                 if len(found) and keys[-1] not in seen:
-                    if len(seen) > 1 << 20:
+                    if len(seen) > 1 << 18:
                         seen.clear()
                     seen.add(keys[-1])
                     fresh.append((found % np.uint64(SKETCH)).astype(np.int32))
@@ -95,6 +96,7 @@ def describe(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             none = pa.nulls(len(sizes))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), text_keys(batch.column(1)), none.cast(pa.int32()), none.cast(pa.binary())], names=names)
         parts = list(sketch_rows(counts))
+        give_back()
         none = pa.nulls(len(parts)).cast(pa.int64())
         yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array([p[0] for p in parts], pa.int32()), pa.array([p[1] for p in parts], pa.binary())], names=names)
 
@@ -137,10 +139,11 @@ def prefixes(docs: DataFrame, text_col: str, levels: np.ndarray, buckets: int, p
                 entries["shingle"], entries["key"], entries["n"] = rare, key, len(found)
                 parts.append(entries)
                 held += first
-                if held >= 2 * BUCKET:
+                if held >= BUCKET // 2:
                     yield from out(parts)
                     parts, held, seen = [], 0, set()
         yield from out(parts)
+        give_back()
 
     return docs.select(F.col(text_col).alias("_text")).mapInArrow(packed, "bucket long, entries binary")
 
@@ -224,23 +227,35 @@ def sets_of(docs: DataFrame, text_col: str, wanted: DataFrame, whole: bool) -> D
                 if keys[row] not in seen:
                     seen.add(keys[row])
                     at.append(row)
-            if len(seen) > 1 << 20:
+            if len(seen) > 1 << 18:
                 seen.clear()
-            for some in np.array_split(np.array(at, np.int64), len(at) // 256 + 1):
+            # So many texts at a time as hold a few megabytes, as their sets are larger than they are.
+            lengths = pc.binary_length(batch.column(0)).fill_null(0).to_numpy()[at]
+            for some in np.split(np.array(at, np.int64), np.flatnonzero(np.diff(np.cumsum(lengths) // (CHUNK << 2))) + 1):
                 rows = pa.array(some, pa.int64())
                 values = pa.array([hashes.tobytes() if whole else bitmap(hashes) for hashes in sets_in(batch.column(0).take(rows))], pa.binary())
                 yield pa.RecordBatch.from_arrays([found.take(rows), values], names=["text_key", "value"])
+        give_back()
 
     found = docs.select(F.col(text_col).alias("_text")).mapInArrow(taken, "text_key long, value binary")
     return found.dropDuplicates(["text_key"])
 
 
+def words_in(column: pa.Array) -> np.ndarray:
+    """The 64-bit words of a column of binary values without NULL, one value behind the other, without a copy."""
+    _, offsets, data = column.buffers()
+    if not len(column) or data is None:
+        return np.zeros(0, np.uint64)
+    ends = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].view(np.uint64)
+
+
 def with_room(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b, n_a, n_b) whose bitmaps leave room for a link."""
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            one, other = (np.frombuffer(b"".join(batch.column(at).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for at in (4, 5))
+            one, other = (words_in(batch.column(at)).reshape(batch.num_rows, -1) for at in (4, 5))
             both = batch.column(2).to_numpy().astype(np.int64) + batch.column(3).to_numpy()
             differ = np.bitwise_count(one ^ other).sum(axis=1, dtype=np.int64)
             keep = pa.array(room(differ, both, percent), pa.bool_())
@@ -306,7 +321,7 @@ class Side:
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.key, self.component = sets.field("key").to_numpy(), sets.field("component").to_numpy()
         self.n = sets.field("n").to_numpy().astype(np.int64)
-        self.maps = np.frombuffer(b"".join(sets.field("bitmap").to_pylist()), np.uint64).reshape(len(sets), -1)
+        self.maps = words_in(sets.field("bitmap")).reshape(len(sets), -1)
 
 
 def pairs_with_room(one: Side, other: Side, cells: np.ndarray, tiles: np.ndarray, first: int, most: int, percent: int) -> np.ndarray:
@@ -348,23 +363,33 @@ def tiled(sides: DataFrame, components: DataFrame, bitmaps: DataFrame, percent:
     near = (100 * F.col("high_1") >= percent * F.col("low_2")) & (100 * F.col("high_2") >= percent * F.col("low_1"))
     tiles = first.join(second, (F.col("shingle_1") == F.col("shingle_2")) & ordered & near).select("sets_1", "sets_2", "shingle_1")
 
+    def told(held: list[np.ndarray]) -> pa.RecordBatch:
+        pairs = np.concatenate([np.zeros((3, 0), np.int64), *held], axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(side) for side in pairs], names=["shingle", "a", "b"])
+
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
         for batch in batches:
             one, other = Side(batch.column(0)), Side(batch.column(1))
-            cells = one.sizes * other.sizes
-            found = [np.zeros((4, 0), np.int64)]
-            # About as many pairs at a time as fit a core's cache.
+            cells, shingles = one.sizes * other.sizes, batch.column(2).to_numpy()
+            # About as many pairs at a time as fit a core's cache; what is left of them goes on before more are compared,
+            # as in a group of near copies all pairs have room.
             for tiles_ in np.split(np.arange(len(cells)), np.flatnonzero(np.diff(np.cumsum(cells) // (1 << 15))) + 1):
-                for part in range(0, int(cells[tiles_].sum()), 1 << 18):
-                    found.append(pairs_with_room(one, other, cells, tiles_, part, 1 << 18, percent))
-            tile, i, j, share = np.concatenate(found, axis=1)
-            if spanning and len(tile):
-                kept = [some[forest(one.component[i[some]], other.component[j[some]], share[some])] for some in np.split(np.arange(len(tile)), np.flatnonzero(np.diff(tile)) + 1)]
-                tile, i, j = (side[np.concatenate(kept)] for side in (tile, i, j))
-            a, b = one.key[i], other.key[j]
-            shingle = batch.column(2).to_numpy()[tile]
-            pairs = np.unique(np.stack([shingle, np.minimum(a, b), np.maximum(a, b)]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(side) for side in pairs], names=["shingle", "a", "b"])
+                found = [pairs_with_room(one, other, cells, tiles_, part, 1 << 18, percent) for part in range(0, int(cells[tiles_].sum()), 1 << 18)]
+                tile, i, j, share = np.concatenate([np.zeros((4, 0), np.int64), *found], axis=1)
+                if not len(tile):
+                    continue
+                if spanning:
+                    kept = [some[forest(one.component[i[some]], other.component[j[some]], share[some])] for some in np.split(np.arange(len(tile)), np.flatnonzero(np.diff(tile)) + 1)]
+                    tile, i, j = (side[np.concatenate(kept)] for side in (tile, i, j))
+                a, b = one.key[i], other.key[j]
+                pairs = np.unique(np.stack([shingles[tile], np.minimum(a, b), np.maximum(a, b)]), axis=1)
+                held.append(pairs)
+                if sum(some.shape[1] for some in held) >= 1 << 17:
+                    yield told(held)
+                    held.clear()
+        yield told(held)
+        give_back()
 
     return tiles.mapInArrow(compared, "shingle long, a long, b long")
 
