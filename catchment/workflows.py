@@ -18,6 +18,9 @@ from catchment.session import pin
 from catchment.sources import readers, writers
 from catchment.sources.schemas import COVERAGE, PROFILE, conform_to_schema
 
+#: Folders that one backfill by events reads; their names are collected.
+MOST_FOLDERS = 10_000
+
 
 @dataclass(frozen=True)
 class WindowChoice:
@@ -111,10 +114,11 @@ def backfill(
     """
     if (raw_paths is None) == (events is None):
         raise ValueError("give either raw paths or events")
-    lines = readers.raw_lines(spark, raw_paths or _event_folders(events))
-    if events is not None:
+    named = None if events is None else readers.succeeded_uris(events, limit_raw_files)
+    lines = readers.raw_lines(spark, raw_paths or _folders(named))
+    if named is not None:
         # Unwanted files leave as plain text, before anything is parsed.
-        wanted = readers.succeeded_uris(events, limit_raw_files).groupBy(_address(F.col("raw_uri")).alias("address")).agg(F.max("event_time").alias("event_time"))
+        wanted = named.groupBy(_address(F.col("raw_uri")).alias("address")).agg(F.max("event_time").alias("event_time"))
         lines = lines.withColumn("address", _address(F.col("raw_uri"))).join(wanted, "address").drop("address")
     # The last seen wins: by the time of the event that named the file, or by the document's own.
     arrival = "captured_at" if events is None else "event_time"
@@ -137,12 +141,13 @@ def _address(uri: Column) -> Column:
     return F.regexp_replace(uri, "^file:/+", "file:/")
 
 
-def _event_folders(events: DataFrame) -> list[str]:
-    """The window folders of the events' files; a run has few of them, however many files they hold."""
-    folders = events.filter((F.col("event_type") == "succeeded") & F.col("raw_uri").isNotNull()).select(
-        F.regexp_extract("raw_uri", r"^(.*)/[^/]*$", 1).alias("folder")
-    )
-    return [row.folder for row in folders.distinct().collect()]
+def _folders(named: DataFrame, most: int = MOST_FOLDERS) -> list[str]:
+    """The window folders of the named files; a run has few of them, however many files they hold."""
+    folders = named.select(F.regexp_extract("raw_uri", r"^(.*)/[^/]*$", 1).alias("folder")).distinct()
+    found = [row.folder for row in folders.limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"the events name files in more than {most} folders; backfill them in parts")
+    return found
 
 
 def collect_snapshots(spark: SparkSession, raw_paths: str | list[str], out: str) -> None:
@@ -190,7 +195,7 @@ def export_menus(pages: DataFrame, documents: DataFrame, out: str) -> list[str]:
     state = pin(menu.attach_documents(menu.page_state(pages), documents))
     written = []
     for name, build in (("summary", menu.menu_summary), ("items", menu.menu_items), ("modifiers", menu.menu_modifiers), ("deals", menu.menu_deals)):
-        rows = build(state)
+        rows = pin(build(state))
         if not rows.isEmpty():
             writers.write_csv(rows, f"{out}/{name}")
             written.append(name)

@@ -59,6 +59,10 @@ def test_backfill(spark, tmp_path, rows):
     events = spark.createDataFrame([("succeeded", (folder / f"{at}.json.gz").as_uri(), at) for at in range(2)] + [("failed", None, 3)], "event_type string, raw_uri string, event_time int")
     coverage, profiles, stats = workflows.backfill(spark, "label", events=events, existing_profiles=known, dry_run=True)
     assert coverage.count() == 8 and profiles.count() == 0 and rows(stats)[0]["profiles_existing"] == 4
+    some, _, _ = workflows.backfill(spark, "label", events=events, limit_raw_files=1, dry_run=True)
+    assert some.count() == 4
+    with pytest.raises(ValueError, match="more than 0 folders"):
+        workflows._folders(events, 0)
     with pytest.raises(ValueError, match="either"):
         workflows.backfill(spark, "label")
     out = str(tmp_path / "snapshots")
