@@ -9,6 +9,7 @@ allows, whatever the number of documents; each piece then looks its place up by
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -18,18 +19,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from catchment.llm.common import whole_text
+from catchment.llm.common import give_back, whole_text
 from catchment.session import pin
 
 TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 2048
 #: Token id after each document.
 END = 0
-REMEMBER = 600_000
+#: Bytes of words and ids that a worker remembers, by estimate, and what an entry takes beside its content.
+REMEMBER = 192 << 20
+ENTRY_BYTES = 200
 #: Pieces of one length are ranked in so many groups by a hash of their id, so that a frequent length isn't one task.
 SALTS = 64
 
 
+_LETTERS = re.compile("[a-zß-öø-ÿ]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it prints, else the next one from 256 on."""
+    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [byte for byte in range(256) if byte not in prints]
+    return {byte: chr(byte) for byte in prints} | {byte: chr(256 + at) for at, byte in enumerate(hidden)}
+
+
+_BYTES = byte_letters()
+
+
 class Capacities:
     """Segment tree over remaining capacities: which of them some open bin has."""
 
@@ -105,8 +121,9 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
 class WordIds:
     """Token ids of texts as little-endian bytes.
 
-    The tokenizer never looks across blanks and folds A-Z, so words are remembered in lower case. A word that ends in
-    a letter or digit and then marks is the word and the marks, which the tokenizer tells apart too.
+    The tokenizer never looks across blanks and folds A-Z, so words are remembered in lower case; but it looks for
+    special strings before it folds, so a word with the start of one is kept as it is. A word that ends in a letter or
+    digit and then marks is the word and the marks, which the tokenizer tells apart too.
     """
 
     def __init__(self, path: str) -> None:
@@ -117,12 +134,24 @@ class WordIds:
         #: A special string takes one id and parts what stands beside it.
         self.border = "<|endoftext|>"
         self.border_id = self.tokenizer.token_to_id(self.border)
+        self.ids = [number.to_bytes(4, "little") for number in range(self.tokenizer.get_vocab_size())]
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[bytes, bytes] = {}
+        self.held = 0
 
     def learn(self, parts: list[bytes]) -> None:
-        """Encode parts together, a border between each two."""
-        texts = [part.decode() for part in parts]
+        """Encode parts: words of small Latin letters one by one, the others together, a border between each two."""
+        texts, tokenize = [], self.tokenizer.model.tokenize
+        rest = []
+        for part in parts:
+            text = part.decode()
+            if _LETTERS.fullmatch(text):
+                # Nothing is left to fold or to split: the library's merges are all that the word goes through.
+                self.parts[part] = b"".join([self.ids[token.id] for token in tokenize(part.decode("latin-1").translate(_BYTES))])
+            else:
+                rest.append(part)
+                texts.append(text)
+        parts = rest
         plain = [at for at, text in enumerate(texts) if "<|" not in text]
         for start in range(0, len(plain), 256):
             some = plain[start : start + 256]
@@ -134,22 +163,41 @@ class WordIds:
             self.parts[parts[at]] = np.array(self.tokenizer.encode(texts[at], add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [text.encode().lower().split() for text in texts]
-        if len(self.words) > REMEMBER:
+        split = [folded_words(text.encode()) for text in texts]
+        if self.held > REMEMBER:
             self.words.clear()
-        if len(self.parts) > REMEMBER:
             self.parts.clear()
+            self.held = 0
         unknown = set().union(*split).difference(self.words)
         halves = {word: halved(word) for word in unknown}
-        self.learn(list({part for both in halves.values() for part in both}.difference(self.parts)))
+        new = list({part for both in halves.values() for part in both}.difference(self.parts))
+        self.learn(new)
+        self.held += sum(ENTRY_BYTES + 3 * len(part) for part in new)
         for word, (first, second) in halves.items():
-            self.words[word] = self.parts[first] + self.parts[second] if second else self.parts[first]
+            self.words[word] = ids = self.parts[first] + self.parts[second] if second else self.parts[first]
+            self.held += ENTRY_BYTES + (len(word) + len(ids) if second else 0)
         return [b"".join(map(self.words.__getitem__, words)) for words in split]
 
 
+def folded_words(text: bytes) -> list[bytes]:
+    if b"<|" not in text:
+        return text.lower().split()
+    return [word if b"<|" in word else word.lower() for word in text.split()]
+
+
 def halved(word: bytes) -> tuple[bytes, bytes]:
+    """The word and the marks at its end, where both stay what they are by themselves.
+
+    That holds behind ASCII letters and digits and behind Latin letters of one code point in lower case; others may leave
+    a combining mark, which goes with the marks that follow.
+    """
     core = word.rstrip(b".,;:!?")
-    if core and len(core) < len(word) and core.decode()[-1].isalnum():
+    if not core or len(core) == len(word) or b"<|" in word:
+        return word, b""
+    if core[-1:].isalnum():
+        return core, word[len(core) :]
+    last = core[-2:].decode(errors="ignore")
+    if len(last) == 1 and "\u00c0" <= last <= "\u024f" and last.isalpha() and len(last.lower()) == 1:
         return core, word[len(core) :]
     return word, b""
 
@@ -190,6 +238,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, capacity
             arrays = [batch.column(0).take(pa.array(owners, pa.int32())), pa.array(numbers, pa.int32())]
             arrays += [pa.array(values, pa.int64()) for values in (starts, lengths, sums)]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        give_back()
 
     rows = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("_text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
