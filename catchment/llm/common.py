@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -36,3 +37,9 @@ def give_back() -> None:
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)
+
+
+def let_go(spark: SparkSession) -> None:
+    """Have shuffle files of what isn't needed any more deleted: Spark does so when the driver's collector meets it."""
+    gc.collect()
+    spark.sparkContext._jvm.java.lang.System.gc()

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from catchment.llm.common import give_back, whole_text
+from catchment.llm.common import give_back, let_go, whole_text
 from catchment.llm.components import components
 from catchment.llm.presence import passes, presence
 from catchment.llm.prints import CHUNK, mixed
@@ -403,6 +403,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     component unless all its rows have none. Other columns are ignored, and an empty table gives no rows. Sets are told
     apart by 64-bit values and shingles by 64-bit hashes; links are checked on whole sets.
     """
+    spark = docs.sparkSession
     described = pin(describe(docs, id_col, text_col))
     rows = described.filter("slice IS NULL").select("id", "n", "key", "text_key")
     levels = np.floor(np.log2(added(described.filter("slice IS NOT NULL").select("slice", "counts")).astype(float) + 1)).astype(np.uint8)
@@ -412,6 +413,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sides = pin(members(grouped(prefixes(docs, text_col, levels, buckets, percent), levels, percent)))
     wanted = one_text(rows, sides.select("key"))
     bitmaps = pin(sets_of(docs, text_col, wanted, whole=False).join(wanted, "text_key").select("key", F.col("value").alias("bitmap")))
+    let_go(spark)
     # One leader for each set, the smallest of those its groups have; parts of one shingle meet in their first sets.
     heads = Window.partitionBy("shingle").orderBy("n", "key")
     first = sides.groupBy("shingle", "part").agg(F.min(F.struct("n", "key")).alias("head")).select("shingle", "head.*")
@@ -422,7 +424,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         stars.join(sizes.withColumnRenamed("n", "n_a"), "key").withColumnRenamed("key", "a")
         .join(sizes.select(F.col("key").alias("leader"), F.col("n").alias("n_b")), "leader").withColumnRenamed("leader", "b")
     )
-    links = docs.sparkSession.createDataFrame([], "a long, b long")
+    links = spark.createDataFrame([], "a long, b long")
     pairs = pin(with_room(pairs, bitmaps, percent).distinct())
     # Later turns compare what the components so far leave apart: the likeliest pairs, then all pairs that have room.
     for turn in range(3):
@@ -431,10 +433,12 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             # Groups without any pair of room have none later, when components are larger.
             sides = sides.join(found.select("shingle").distinct(), "shingle", "left_semi")
             pairs = found.select("a", "b").distinct()
+            let_go(spark)
         ends = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))
         # Worked out for either end anew rather than stored: whole sets are larger than the texts.
         wanted = one_text(rows, ends)
         links = pin(links.unionByName(verified(pairs, wanted, sets_of(docs, text_col, wanted, whole=True), percent)))
+        let_go(spark)
     joined = components(links).withColumnRenamed("node", "key")
 
     placed = pin(rows.join(joined, "key", "left").withColumn("component", F.coalesce("component", "key")))
