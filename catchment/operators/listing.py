@@ -135,14 +135,14 @@ def coverage_rows(raw: DataFrame, snapshot_label: str, keep: tuple[str, ...] = (
     )
 
 
-def profile_fields(restaurant: Column, base_url: str = DEFAULT_BASE_URL) -> list[Column]:
+def profile_fields(restaurant: Column) -> list[Column]:
+    """What a profile takes from the document; its address on the site is made of these."""
     address = restaurant["address"]
     place = address["location"]["coordinates"]
     complete = F.size(F.coalesce(place, F.array().cast("array<string>"))) >= 2
     return [
         restaurant["name"].alias("restaurant_name"),
         restaurant["uniqueName"].alias("restaurant_unique_name"),
-        menu_page_url(restaurant["uniqueName"], base_url).alias("restaurant_url"),
         address["firstLine"].alias("address_first_line"),
         address["city"].alias("city"),
         address["postalCode"].alias("postal_code"),
@@ -164,11 +164,13 @@ def profile_rows(raw: DataFrame, arrival: tuple[str, ...] = ("captured_at", "raw
     staged = restaurants_of(raw, list(arrival)).withColumn("restaurant_id", restaurant_key(F.col("restaurant")))
     staged = staged.filter(F.col("restaurant_id").isNotNull()).select(
         "restaurant_id",
-        F.struct(*profile_fields(F.col("restaurant"), base_url)).alias("_profile"),
+        F.struct(*profile_fields(F.col("restaurant"))).alias("_profile"),
         F.struct(F.col(arrival[0]).try_cast("timestamp").alias("_instant"), *arrival, "position").alias("_seen"),
     )
     latest = staged.groupBy("restaurant_id").agg(F.max_by("_profile", "_seen").alias("_profile"))
-    return latest.select("restaurant_id", "_profile.*")
+    # Rows are sorted to be grouped, so they hold nothing that can be made of the last ones later.
+    name, slug, *others = (F.col(f"_profile.{field}") for field in latest.schema["_profile"].dataType.names)
+    return latest.select("restaurant_id", name, slug, menu_page_url(slug, base_url).alias("restaurant_url"), *others)
 
 
 def new_profiles(profiles: DataFrame, existing: DataFrame) -> DataFrame:

@@ -96,10 +96,21 @@ def cte(*names: str) -> str:
     return "WITH " + ",\n".join(parts)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows out over the cores where a small table comes as fewer splits than cores; large ones stay as read."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+#: Rows of a table that one task makes documents of, where what it does with them is held in memory or takes long.
+TASK_ROWS = 1 << 18
+
+
+def spread(df: DataFrame, key: str | None = None, most: int = TASK_ROWS) -> DataFrame:
+    """Deal the rows out over the cores where a small table comes as fewer splits than cores; large ones stay as read.
+
+    With a key, large tables are cut into its stretches too, of about `most` rows, so that a task's share doesn't grow with
+    the table. Neighbours stay together, as jobs that group do more before their shuffle where keys come again soon.
+    """
+    cores, splits = df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
+    wanted = -(-df.count() // most) if key else 0
+    if wanted > max(splits, cores):
+        return df.repartitionByRange(wanted, key)
+    return df.repartition(cores) if splits < cores else df
 
 
 def diagnostics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,8 +139,8 @@ WINDOW_OF_LINE = """CASE l_linenumber % 5 WHEN 0 THEN 'weekday_afternoon' WHEN 1
     WHEN 2 THEN 'weekday_early_hours' WHEN 3 THEN 'saturday_peak' ELSE 'smoke_temporal' END"""
 
 
-def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw JSON document per order line, as (value, raw_uri)."""
+def envelopes(spark: SparkSession, sf_dir: str, most: int | None = None) -> DataFrame:
+    """One raw JSON document per order line, as (value, raw_uri); with `most`, about so many in a task at most."""
     e = F.expr
     first = F.struct(
         e("l_partkey").alias("id"),
@@ -182,7 +193,8 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # The two outlets differ in shape, so they are spliced in as text.
     whole = F.to_json(document)
-    lines = spread(driver_table(spark, sf_dir, "lineitem"))
+    lines = driver_table(spark, sf_dir, "lineitem")
+    lines = spread(lines, "l_orderkey", most) if most else spread(lines)
     outlets = F.concat(F.lit('"restaurants":['), F.to_json(first), F.lit(","), F.to_json(second), F.lit("]"))
     head = F.substring_index(whole, '"restaurants":', 1)
     return lines.select(F.concat(head, outlets, F.lit("}}")).alias("value"), e(f"'raw/' || {_LINE_KEY}").alias("raw_uri"))

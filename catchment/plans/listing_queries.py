@@ -11,7 +11,7 @@ from catchment.functions.text import format_money, parse_place_count, parse_rati
 from catchment.functions.text import clean_postcode, clean_text
 from catchment.operators import grocery, listing
 from catchment.operators.ordered import global_ordinal
-from catchment.plans.adapters import LINE_KEY, TAGS, WINDOW_OF_LINE, cte, domain, driver_table, envelopes, odd_envelopes
+from catchment.plans.adapters import LINE_KEY, TAGS, TASK_ROWS, WINDOW_OF_LINE, cte, domain, driver_table, envelopes, odd_envelopes
 from catchment.plans.registry import SQL, query, scratch_dir, sql_time, time_text
 from catchment.sources import readers, writers
 from catchment.sources.schemas import COVERAGE, PROFILE, SNAPSHOTS, conform_to_schema
@@ -233,6 +233,11 @@ def _raw(spark: SparkSession, sf_dir: str, reads: tuple[str, ...]) -> DataFrame:
     return readers.parse_envelopes(envelopes(spark, sf_dir), keep=("raw_uri",), reads=reads)
 
 
+def _grouped_raw(spark: SparkSession, sf_dir: str, reads: tuple[str, ...]) -> DataFrame:
+    """The raw documents for a job that sorts a task's outlets before it groups them: so many that they stay in memory."""
+    return readers.parse_envelopes(envelopes(spark, sf_dir, 2 * TASK_ROWS), keep=("raw_uri",), reads=reads)
+
+
 @query("listing_normalise", f"WITH {LISTING_SQL} {_FIRST_ROW} UNION ALL {_SECOND_ROW}")
 def listing_normalise(spark, sf_dir):
     return listing.listing_rows(_raw(spark, sf_dir, listing.LISTING_READS))
@@ -282,7 +287,7 @@ PROFILE_SQL = f"""p AS (SELECT restaurant_id, unnest(max_by({{
 
 def _ordered_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw documents with a total arrival order: capture, address, then what tells equal addresses apart."""
-    raw = _raw(spark, sf_dir, (*listing.PROFILE_READS, "response.restaurants.deliveryCost"))
+    raw = _grouped_raw(spark, sf_dir, (*listing.PROFILE_READS, "response.restaurants.deliveryCost"))
     first = F.get("response.restaurants", 0)
     return raw.withColumns({"quantity": number(first["rating"]["starRating"]), "price": number(first["deliveryCost"])})
 
