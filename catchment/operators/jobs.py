@@ -162,27 +162,29 @@ def manifest_attempts(attempts: DataFrame) -> DataFrame:
     response keeps the last source. One grouping with a slot per source: nothing is gathered per task.
     """
     ok = (F.col("status") == 200) & F.col("body").isNotNull()
-    row = F.struct("source", "url", "status", "latency_ms", "finished_at", "body")
+    is_good = F.coalesce(ok, F.lit(False))
+    row = F.struct("source", "url", "status", "latency_ms", "finished_at")
+    # The bodies have slots of their own, which a job that doesn't ask for them never fills; failed ones are of no use.
     slots = [
-        F.max_by(
-            F.struct(F.coalesce(ok, F.lit(False)).alias("ok"), row.alias("row")),
-            F.when(F.col("source") == source, F.struct(F.coalesce(ok, F.lit(False)), "finished_at", "url")),
-        ).alias(source)
+        F.max_by(value, F.when(F.col("source") == source, F.struct(is_good, "finished_at", "url"))).alias(name)
         for source in MANIFEST_SOURCES
+        for name, value in ((source, F.struct(is_good.alias("ok"), row.alias("row"))), (f"{source}_body", F.when(is_good, F.col("body"))))
     ]
     folded = attempts.filter(F.col("source").isin(list(MANIFEST_SOURCES))).groupBy("task_id").agg(*slots)
-    won, good, trail = F.lit(False), F.lit(None), []
+    won, good, body, trail = F.lit(False), F.lit(None), F.lit(None), []
     for source in MANIFEST_SOURCES:
         slot = F.col(source)
         status = F.coalesce(slot["row"]["status"].cast("string"), F.lit("error"))
         trail.append(F.when(~won & ~slot["ok"], F.concat(F.lit(f"{source}:"), status)))
         good = F.when(~won & slot["ok"], slot["row"]).otherwise(good)
+        body = F.when(~won & slot["ok"], F.col(f"{source}_body")).otherwise(body)
         won = won | F.coalesce(slot["ok"], F.lit(False))
     last = F.coalesce(*[F.col(source)["row"] for source in reversed(MANIFEST_SOURCES)])
     shown = folded.select(
         "task_id",
         won.alias("won"),
         F.when(won, good).otherwise(last).alias("chosen"),
+        F.when(won, body).alias("body"),
         F.array_join(F.array_compact(F.array(*trail)), "; ").alias("attempt_errors"),
     )
     return shown.select(
@@ -195,7 +197,7 @@ def manifest_attempts(attempts: DataFrame) -> DataFrame:
         F.col("chosen.finished_at").alias("fetched_at"),
         F.when(F.col("won"), "succeeded").otherwise("failed").alias("outcome"),
         "attempt_errors",
-        F.when(F.col("won"), F.col("chosen.body")).alias("body"),
+        "body",
     )
 
 

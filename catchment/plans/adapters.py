@@ -266,7 +266,7 @@ def menu_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 def manifest_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Menu tasks, one per order, and a fetch log with up to two attempts each."""
     e = F.expr
-    orders = spread(driver_table(spark, sf_dir, "orders"))
+    orders = spread(driver_table(spark, sf_dir, "orders"), "o_orderkey")
     tasks = orders.select(
         e("CAST(o_orderkey AS STRING)").alias("task_id"),
         F.lit("run-1").alias("run_id"),

@@ -5,7 +5,7 @@ import io
 
 from pyspark.sql import functions as F
 
-from catchment.operators import listing
+from catchment.operators import jobs, listing
 from catchment.plans import adapters
 from catchment.sources import readers
 
@@ -32,3 +32,14 @@ def test_profiles_are_sorted_without_their_address(spark):
     assert profiles.first()["restaurant_url"] == "https://listings.example/restaurants-x/menu"
     last = plan(profiles).splitlines()
     assert all("/menu" not in line for line in last[next(at for at, line in enumerate(last) if "SortAggregate" in line) :])
+
+
+def test_outcomes_are_told_without_bodies(spark):
+    log = spark.createDataFrame(
+        [("t", "original", "u", 404, 1, 1, "no"), ("t", "v2_2", "v", 200, 1, 2, "yes"), ("t", "v2_2", "w", 200, 1, 3, None)],
+        "task_id string, source string, url string, status long, latency_ms long, finished_at long, body string",
+    )
+    chosen = jobs.manifest_attempts(log)
+    assert [(row["manifest_source"], row["outcome"], row["body"]) for row in chosen.collect()] == [("v2_2", "succeeded", "yes")]
+    short = plan(chosen.select("task_id", "outcome")).split("SortAggregate")[1]
+    assert "_body" not in short and "chosen.body" not in short and ", body" not in short
