@@ -317,7 +317,7 @@ def manifest_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Saved responses: one JSON body per event, repeated addresses, and the saved pages as HTML bodies."""
     e = F.expr
-    events = spread(driver_table(spark, sf_dir, "events")).select(
+    events = spread(driver_table(spark, sf_dir, "events"), "event_id").select(
         e("'e' || event_id").alias("response_id"),
         e("CASE WHEN event_type = 'purchase' THEN 'POST' ELSE 'GET' END").alias("method"),
         F.lit(200).cast("long").alias("status"),
