@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,15 +79,30 @@ def outlet_flags(profile: DataFrame, rules: BrandRules = DEFAULT_RULES) -> DataF
     return classified.filter(F.col("restaurant_id").isNotNull()).groupBy("restaurant_id").agg(*flags)
 
 
-def availability_columns(rules: BrandRules) -> list[Column]:
-    columns = [
-        F.count_if("any_brand").alias(COUNTS[0]),
-        F.count_if("general").alias(COUNTS[1]),
-        F.count_if("tagged").alias(COUNTS[2]),
-    ]
-    for brand, _ in rules.big_brands:
-        columns.append(F.when(F.bool_or(f"is_{brand}"), "yes").otherwise("no").alias(f"has_{brand}"))
-    return columns
+#: Brands whose flags one number holds.
+MASK = 60
+
+
+def packed_flags(flags: DataFrame, rules: BrandRules) -> DataFrame:
+    """The flags of `outlet_flags` as (restaurant_id, _counted, _brands_0, ...): bits of numbers, to be grouped in little room."""
+
+    def bits(names: list[str], name: str) -> Column:
+        parts = [F.shiftleft(F.coalesce(F.col(flag), F.lit(False)).cast("long"), at) for at, flag in enumerate(names)]
+        return reduce(Column.bitwiseOR, parts, F.lit(0).cast("long")).alias(name)
+
+    brands = [f"is_{brand}" for brand, _ in rules.big_brands]
+    masks = [bits(brands[at : at + MASK], f"_brands_{at // MASK}") for at in range(0, len(brands), MASK)]
+    return flags.select("restaurant_id", bits(["any_brand", "general", "tagged"], "_counted"), *masks)
+
+
+def availability_columns(rules: BrandRules) -> tuple[list[Column], list[Column]]:
+    """What is grouped of packed flags, and the report's columns made of that."""
+    found = [F.count_if(F.col("_counted").bitwiseAND(1 << at) != 0).alias(name) for at, name in enumerate(COUNTS)]
+    found += [F.bit_or(f"_brands_{at // MASK}").alias(f"_brands_{at // MASK}") for at in range(0, len(rules.big_brands), MASK)]
+    shown: list[Column] = [F.col(name) for name in COUNTS]
+    for at, name in enumerate(brand_flags(rules)):
+        shown.append(F.when(F.col(f"_brands_{at // MASK}").bitwiseAND(1 << at % MASK) != 0, "yes").otherwise("no").alias(name))
+    return found, shown
 
 
 def grocery_availability(
@@ -102,9 +118,19 @@ def grocery_availability(
     Distinct counts become two plain groupings: first to distinct (source, postcode, restaurant), whose shuffle key
     is spread however hot one postcode or restaurant is, then per postcode with partial sums.
     """
-    pairs = static_pairs(coverage).unionByName(temporal_pairs(snapshots, tags, id_column)).distinct()
-    flagged = pairs.join(outlet_flags(profile, rules), "restaurant_id")
-    return flagged.groupBy(*GROUP).agg(*availability_columns(rules))
+    sources = [STATIC, *((TEMPORAL, tag) for tag in dict.fromkeys(tags))]
+    static = static_pairs(coverage).withColumn("_source", F.lit(0))
+    temporal = temporal_pairs(snapshots, [tag for _, tag in sources[1:]], id_column)
+    tag_names = F.array(*[F.lit(tag) for _, tag in sources[1:]]).cast("array<string>")
+    temporal = temporal.withColumn("_source", F.array_position(tag_names, F.col("source_tag")).cast("int"))
+    # Sources travel as their numbers and flags as bits: a task holds as many rows as fit its share of the shuffle, which is
+    # packed, so what a row takes in memory decides how much that is.
+    pairs = static.unionByName(temporal).select("_source", "postcode", "restaurant_id").distinct()
+    found, shown = availability_columns(rules)
+    flagged = pairs.join(packed_flags(outlet_flags(profile, rules), rules), "restaurant_id")
+    grouped = flagged.groupBy("_source", "postcode").agg(*found)
+    names = [F.get(F.array(*[F.lit(source[at]) for source in sources]), F.col("_source")).alias(GROUP[at]) for at in (0, 1)]
+    return grouped.select(*names, "postcode", *shown)
 
 
 def static_label(coverage: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ import io
 
 from pyspark.sql import functions as F
 
-from catchment.operators import jobs, listing
+from catchment.operators import grocery, jobs, listing
 from catchment.plans import adapters
 from catchment.sources import readers
 
@@ -43,3 +43,23 @@ def test_outcomes_are_told_without_bodies(spark):
     assert [(row["manifest_source"], row["outcome"], row["body"]) for row in chosen.collect()] == [("v2_2", "succeeded", "yes")]
     short = plan(chosen.select("task_id", "outcome")).split("SortAggregate")[1]
     assert "_body" not in short and "chosen.body" not in short and ", body" not in short
+
+
+def test_grocery_pairs_move_numbers_of_sources(spark):
+    profile = spark.createDataFrame([("1", "Coop", "Groceries")], "restaurant_id string, restaurant_name string, cuisine_names string")
+    coverage = spark.createDataFrame([("a", "1", True)], "postcode string, restaurant_id string, is_delivery boolean")
+    snapshots = spark.createDataFrame([("t", "a", "1"), ("u", None, "1"), (None, "a", "1")], "planned_window string, postcode string, ListingId string")
+    found = grocery.grocery_availability(coverage, snapshots, profile, iter(["u", "t", "t"]))
+    rows = {(row["source_dataset"], row["source_tag"], row["postcode"], row["big_brand_grocery_count"], row["has_coop"], row["has_asda"]) for row in found.collect()}
+    assert rows == {("static_map", "full_coverage", "a", 1, "yes", "no"), ("temporal_snapshot", "t", "a", 1, "yes", "no"), ("temporal_snapshot", "u", None, 1, "yes", "no")}
+    assert "hashpartitioning(_source" in plan(found) and "hashpartitioning(source_dataset" not in plan(found)
+    assert grocery.grocery_availability(coverage, snapshots, profile, []).count() == 1
+
+
+def test_many_brands_have_masks_of_their_own(spark):
+    rules = grocery.BrandRules(big_brands=tuple((f"b{at}", f"brand{at}") for at in range(130)))
+    profile = spark.createDataFrame([("1", "brand3", None), ("2", "brand129 ", None)], "restaurant_id string, restaurant_name string, cuisine_names string")
+    coverage = spark.createDataFrame([("a", "1", True), ("a", "2", True)], "postcode string, restaurant_id string, is_delivery boolean")
+    snapshots = spark.createDataFrame([], "planned_window string, postcode string, ListingId string")
+    row = grocery.grocery_availability(coverage, snapshots, profile, ["t"], rules=rules).first().asDict()
+    assert [name for name, value in row.items() if value == "yes"] == ["has_b3", "has_b129"] and row["big_brand_grocery_count"] == 2
