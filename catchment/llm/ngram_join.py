@@ -1,10 +1,12 @@
 """Similarity join on word shingles: documents whose Jaccard similarity is 0.8 or more, and the classes they form.
 
 Texts with the same set of shingles are one set from the start. Sets that can link share one of their rarest shingles
-(prefix filter), so each set goes to the groups of those. In a group the sets stand by size. First each set is compared
+(prefix filter), so each set goes to the groups of those. In a group the sets stand by size, without those whose place in the
+prefix leaves no other to link to; of groups of the same sets one stays. First each set is compared
 with one leader of its groups, which settles groups of copies without their pairs. Groups that still hold more than one
-component are cut into size-banded tiles: bit counts of hashed parity bitmaps bound the overlap from above, and pairs of
-different components that pass are compared exactly, by intersection of their sorted arrays.
+component are cut into size-banded tiles: bit counts of hashed parity bitmaps bound the overlap from above, first of short
+ones, then of ones as wide as the set is large. Pairs of different components that pass are compared exactly, by
+intersection of their sorted arrays.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ PERCENT = 80
 #: Counters that order shingles by how frequent they are. The order is free, so their size can't change results.
 SKETCH = 1 << 19
 SLICES = 64
-#: Bits of a parity bitmap.
+#: Bits of a short parity bitmap; a wide one has about one for each shingle.
 BITS = 2048
 #: Entries of a bucket, members of a part of a group, and sets of a tile's side.
 BUCKET = 1 << 20
@@ -44,9 +46,24 @@ def prefix_size(number: int, percent: int) -> int:
     return number - -(-percent * number // 100) + 1
 
 
-def bitmap(hashes: np.ndarray) -> bytes:
+def first_places(number: int, percent: int) -> int:
+    """So many of a set's first places can be the first that it shares with a set it links to, of its size or larger."""
+    return number - -(-2 * percent * number // (100 + percent)) + 1
+
+
+def bitmap(hashes: np.ndarray, bits: int = BITS) -> bytes:
     """Parity of the number of shingles at each bit."""
-    return np.packbits((np.bincount((hashes & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1).astype(np.uint8)).tobytes()
+    return np.packbits((np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def width(number: int) -> int:
+    """Bits of a wide bitmap: a short one is full where sets have several thousand shingles, and tells none apart."""
+    return max(BITS, 1 << (number - 1).bit_length())
+
+
+def folded(wide: np.ndarray, words: int) -> np.ndarray:
+    """The narrower bitmap of so many 64-bit words that a wide one holds."""
+    return np.bitwise_xor.reduce(wide.reshape(-1, words), axis=0)
 
 
 def linked(first: np.ndarray, second: np.ndarray, percent: int) -> bool:
@@ -108,6 +125,7 @@ def text_keys(texts: pa.Array) -> pa.Array:
     return pa.array([xxhash.xxh3_64_intdigest(text.as_buffer()) - (1 << 63) if text.is_valid else None for text in texts], pa.int64())
 
 
+#: The size is negative where the place of the shingle lets the set link to smaller ones only.
 ENTRY = np.dtype([("shingle", "<u8"), ("key", "<i8"), ("n", "<i4")])
 
 
@@ -137,6 +155,7 @@ def prefixes(docs: DataFrame, text_col: str, levels: np.ndarray, buckets: int, p
                 rare = found[np.lexsort((found, levels[(found % np.uint64(SKETCH)).astype(np.int64)]))[:first]]
                 entries = np.empty(first, ENTRY)
                 entries["shingle"], entries["key"], entries["n"] = rare, key, len(found)
+                entries["n"][first_places(len(found), percent) :] *= -1
                 parts.append(entries)
                 held += first
                 if held >= BUCKET // 2:
@@ -153,8 +172,18 @@ def spread_bits(shingle: np.ndarray, levels: np.ndarray) -> np.ndarray:
     return np.maximum(levels[(shingle % np.uint64(SKETCH)).astype(np.int64)].astype(np.int64) - PART_BITS, 0)
 
 
+def with_partner(runs: np.ndarray, n: np.ndarray, early: np.ndarray, percent: int) -> np.ndarray:
+    """Whether a set's run, ordered by size, holds another it can link to: the smaller one of the two is early, or both of one size."""
+    base = runs << 32
+    place = base | n
+    before = np.r_[0, np.cumsum(early)]
+    low, high = np.searchsorted(place, base | -(-percent * n // 100)), np.searchsorted(place, base | (100 * n // max(percent, 1)), side="right")
+    same, over = np.searchsorted(place, place), np.searchsorted(place, place, side="right")
+    return (before[same] > before[low]) | (early & ((high > over) | (before[over] - before[same] > 1)))
+
+
 def grouped(packed: DataFrame, levels: np.ndarray, percent: int) -> DataFrame:
-    """Groups of two sets or more: (shingle, keys, sizes, leaders), by size.
+    """Groups of two sets or more: (shingle, parted, keys, sizes, leaders), by size.
 
     A group ends where the next larger set is too large to link. The leader of a set is the first it can link to. Parts of
     a frequent shingle are kept whole, as their sets may link to those of other parts.
@@ -162,12 +191,17 @@ def grouped(packed: DataFrame, levels: np.ndarray, percent: int) -> DataFrame:
 
     def groups(key: tuple, table: pa.Table) -> pa.Table:
         entries = np.frombuffer(b"".join(table["entries"].to_pylist()), ENTRY)
-        entries = entries[np.lexsort((entries["key"], entries["n"], entries["shingle"]))]
+        entries = entries[np.lexsort((entries["key"], np.abs(entries["n"]), entries["shingle"]))]
         other = entries["shingle"][1:] != entries["shingle"][:-1]
         entries = entries[np.r_[True, other | (entries["key"][1:] != entries["key"][:-1])][: len(entries)]]
         other = entries["shingle"][1:] != entries["shingle"][:-1]
-        n = entries["n"].astype(np.int64)
+        runs = np.cumsum(np.r_[False, other][: len(entries)])
         parted = spread_bits(entries["shingle"], levels) > 0
+        keep = parted | with_partner(runs, np.abs(entries["n"].astype(np.int64)), entries["n"] > 0, percent)
+        entries, parted = entries[keep], parted[keep]
+        other = entries["shingle"][1:] != entries["shingle"][:-1]
+        sizes_of = np.abs(entries["n"])
+        n = sizes_of.astype(np.int64)
         ends_here = other | ((100 * n[:-1] < percent * n[1:]) & ~parted[1:])
         starts = np.flatnonzero(np.r_[True, ends_here][: len(entries)])
         ends = np.r_[starts[1:], len(entries)] if len(starts) else starts
@@ -180,16 +214,16 @@ def grouped(packed: DataFrame, levels: np.ndarray, percent: int) -> DataFrame:
                 continue
             known.add(content)
             leaders = keys[np.searchsorted(sizes, -(-percent * sizes // 100))]
-            rows.append((int(entries["shingle"][start]) - (1 << 63), content, entries["n"][start:end].tobytes(), leaders.tobytes()))
-        columns = list(zip(*rows, strict=True)) or [[]] * 4
-        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-        return pa.table({name: pa.array(column, kind) for name, column, kind in zip(("shingle", "keys", "sizes", "leaders"), columns, kinds, strict=True)})
+            rows.append((int(entries["shingle"][start]) - (1 << 63), bool(parted[start]), content, sizes_of[start:end].tobytes(), leaders.tobytes()))
+        columns = list(zip(*rows, strict=True)) or [[]] * 5
+        kinds = [pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()]
+        return pa.table({name: pa.array(column, kind) for name, column, kind in zip(("shingle", "parted", "keys", "sizes", "leaders"), columns, kinds, strict=True)})
 
-    return packed.groupBy("bucket").applyInArrow(groups, "shingle long, keys binary, sizes binary, leaders binary")
+    return packed.groupBy("bucket").applyInArrow(groups, "shingle long, parted boolean, keys binary, sizes binary, leaders binary")
 
 
 def members(groups: DataFrame) -> DataFrame:
-    """One row (shingle, part, key, n, leader) for each set of a group."""
+    """One row (shingle, part, key, n, leader) for each set of a group; groups of the same sets are one, unless parts of a shingle."""
 
     def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,7 +234,8 @@ def members(groups: DataFrame) -> DataFrame:
                     names=["shingle", "part", "key", "n", "leader"],
                 )
 
-    columns = groups.select("shingle", F.xxhash64("keys").alias("part"), "keys", "sizes", "leaders")
+    columns = groups.withColumn("part", F.xxhash64("keys")).withColumn("_of", F.when(F.col("parted"), F.col("shingle")))
+    columns = columns.dropDuplicates(["part", "_of"]).select("shingle", "part", "keys", "sizes", "leaders")
     return columns.mapInArrow(opened, "shingle long, part long, key long, n int, leader long")
 
 
@@ -211,7 +246,7 @@ def one_text(described: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, text_col: str, wanted: DataFrame, whole: bool) -> DataFrame:
-    """(text_key, value) of the wanted texts: the whole set of each, or its bitmap.
+    """(text_key, n, value, short) of the wanted texts: the whole set of each, or its wide and its short bitmap.
 
     Other texts are read, but neither worked out nor moved; a few may slip through and meet nothing later.
     """
@@ -233,11 +268,16 @@ def sets_of(docs: DataFrame, text_col: str, wanted: DataFrame, whole: bool) -> D
             lengths = pc.binary_length(batch.column(0)).fill_null(0).to_numpy()[at]
             for some in np.split(np.array(at, np.int64), np.flatnonzero(np.diff(np.cumsum(lengths) // (CHUNK << 2))) + 1):
                 rows = pa.array(some, pa.int64())
-                values = pa.array([hashes.tobytes() if whole else bitmap(hashes) for hashes in sets_in(batch.column(0).take(rows))], pa.binary())
-                yield pa.RecordBatch.from_arrays([found.take(rows), values], names=["text_key", "value"])
+                sizes, values, short = [], [], []
+                for hashes in sets_in(batch.column(0).take(rows)):
+                    sizes.append(len(hashes))
+                    values.append(hashes.tobytes() if whole else bitmap(hashes, width(len(hashes))))
+                    short.append(None if whole else folded(np.frombuffer(values[-1], np.uint64), BITS // 64).tobytes())
+                columns = [found.take(rows), pa.array(sizes, pa.int32()), pa.array(values, pa.binary()), pa.array(short, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["text_key", "n", "value", "short"])
         give_back()
 
-    found = docs.select(F.col(text_col).alias("_text")).mapInArrow(taken, "text_key long, value binary")
+    found = docs.select(F.col(text_col).alias("_text")).mapInArrow(taken, "text_key long, n int, value binary, short binary")
     return found.dropDuplicates(["text_key"])
 
 
@@ -251,18 +291,22 @@ def words_in(column: pa.Array) -> np.ndarray:
 
 
 def with_room(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, n_a, n_b) whose bitmaps leave room for a link."""
+    """Pairs (a, b) whose wide bitmaps leave room for a link."""
+
+    def differing(one: pa.Scalar, other: pa.Scalar) -> int:
+        x, y = (np.frombuffer(side.as_buffer(), np.uint64) for side in (one, other))
+        words = min(len(x), len(y))
+        return int(np.bitwise_count(folded(x, words) ^ folded(y, words)).sum())
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            one, other = (words_in(batch.column(at)).reshape(batch.num_rows, -1) for at in (4, 5))
             both = batch.column(2).to_numpy().astype(np.int64) + batch.column(3).to_numpy()
-            differ = np.bitwise_count(one ^ other).sum(axis=1, dtype=np.int64)
+            differ = np.array([differing(*sides) for sides in zip(batch.column(4), batch.column(5), strict=True)], np.int64)
             keep = pa.array(room(differ, both, percent), pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(at).filter(keep) for at in (0, 1)], names=["a", "b"])
 
-    left = bitmaps.select(F.col("key").alias("a"), F.col("bitmap").alias("_one"))
-    right = bitmaps.select(F.col("key").alias("b"), F.col("bitmap").alias("_other"))
+    left = bitmaps.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("wide").alias("_one"))
+    right = bitmaps.select(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("wide").alias("_other"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "_one", "_other")
     return both.mapInArrow(compared, "a long, b long")
 
@@ -352,7 +396,7 @@ def tiled(sides: DataFrame, components: DataFrame, bitmaps: DataFrame, percent:
     rest = marked.join(split.select("shingle"), "shingle", "left_semi")
     place = Window.partitionBy("shingle", "part").orderBy("n", "key")
     numbered = rest.withColumn("block", F.floor((F.row_number().over(place) - 1) / TILE))
-    side = numbered.join(bitmaps, "key")
+    side = numbered.join(bitmaps.select("key", "bitmap"), "key")
     packed = side.groupBy("shingle", "part", "block").agg(
         F.min("n").alias("low"), F.max("n").alias("high"), F.collect_list(F.struct("key", "n", "component", "bitmap")).alias("sets")
     )
@@ -412,18 +456,14 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     sides = pin(members(grouped(prefixes(docs, text_col, levels, buckets, percent), levels, percent)))
     wanted = one_text(rows, sides.select("key"))
-    bitmaps = pin(sets_of(docs, text_col, wanted, whole=False).join(wanted, "text_key").select("key", F.col("value").alias("bitmap")))
+    bitmaps = pin(sets_of(docs, text_col, wanted, whole=False).join(wanted, "text_key").select("key", "n", F.col("value").alias("wide"), F.col("short").alias("bitmap")))
     let_go(spark)
     # One leader for each set, the smallest of those its groups have; parts of one shingle meet in their first sets.
     heads = Window.partitionBy("shingle").orderBy("n", "key")
     first = sides.groupBy("shingle", "part").agg(F.min(F.struct("n", "key")).alias("head")).select("shingle", "head.*")
     joints = first.select("key", F.lag("key").over(heads).alias("leader")).filter("leader IS NOT NULL AND key <> leader")
     stars = sides.filter("key <> leader").groupBy("key").agg(F.min("leader").alias("leader")).unionByName(joints).distinct()
-    sizes = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("n").alias("n"))
-    pairs = (
-        stars.join(sizes.withColumnRenamed("n", "n_a"), "key").withColumnRenamed("key", "a")
-        .join(sizes.select(F.col("key").alias("leader"), F.col("n").alias("n_b")), "leader").withColumnRenamed("leader", "b")
-    )
+    pairs = stars.select(F.col("key").alias("a"), F.col("leader").alias("b"))
     links = spark.createDataFrame([], "a long, b long")
     pairs = pin(with_room(pairs, bitmaps, percent).distinct())
     # Later turns compare what the components so far leave apart: the likeliest pairs, then all pairs that have room.
@@ -432,7 +472,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             found = pin(tiled(sides, components(links), bitmaps, percent, spanning=turn == 1))
             # Groups without any pair of room have none later, when components are larger.
             sides = sides.join(found.select("shingle").distinct(), "shingle", "left_semi")
-            pairs = found.select("a", "b").distinct()
+            pairs = pin(with_room(found.select("a", "b").distinct(), bitmaps, percent))
             let_go(spark)
         ends = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))
         # Worked out for either end anew rather than stored: whole sets are larger than the texts.
