@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catchment.llm.common import whole_text
+from catchment.llm.common import give_back, whole_text
 from catchment.session import pin
 
 #: Letters that look Latin, and digits and signs that stand for letters (fixed values).
@@ -165,6 +165,7 @@ def fit(
                 terms, before = zip(*found, strict=True) if (found := terms_of(text)) else ((), ())
                 arrays = [pa.array([label] * len(terms), pa.int32()), pa.array(terms, pa.string()), pa.array(before, pa.string())]
                 yield pa.RecordBatch.from_arrays(arrays, names=["toxic", "term", "before"])
+        give_back()
 
     classes = {row["toxic"]: row["count"] for row in sample.groupBy("toxic").count().collect()}
     bad, good = classes.get(1, 0), classes.get(0, 0)
@@ -189,6 +190,7 @@ def fit(
         for batch in batches:
             found = [list(evidence(text, plain)) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.float64())), batch.column(0)], names=["features", "toxic"])
+        give_back()
 
     # A few numbers for each row of the bounded sample, in a fixed order.
     features = sample.mapInArrow(measure, "features array<double>, toxic int").collect()
@@ -207,6 +209,7 @@ def toxicity(docs: DataFrame, lexicon: Lexicon, text_col: str = "text") -> DataF
         for batch in batches:
             values = pa.array([score(text.as_py() or "", lexicon) for text in batch.column(at)], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, values], names=[*batch.schema.names, "_score"])
+        give_back()
 
     at = docs.columns.index(text_col)
     return docs.mapInArrow(scored, StructType([*docs.schema.fields, StructField("_score", DoubleType())]))
