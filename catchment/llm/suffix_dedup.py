@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catchment.llm.common import whole_text
+from catchment.llm.common import give_back, whole_text
 from catchment.llm.presence import passes, presence
 from catchment.llm.prints import CHUNK, Prints, mixed
 from catchment.session import pin
@@ -37,6 +37,9 @@ LENGTH = 200
 #: Bytes of text a task packs at a time, and entries of a bucket.
 HELD = 4 << 20
 BUCKET = 1 << 21
+#: Shares of a bucket that are sorted one after the other (a power of two), and rows of a batch that are worked on at a time.
+SHARES = 4
+ROWS = 512
 
 
 class Cover(NamedTuple):
@@ -140,7 +143,7 @@ def narrow(values: np.ndarray, width: int) -> bytes:
     return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
 
 
-def wide(data: bytes, width: int) -> np.ndarray:
+def wide(data: bytes | pa.Buffer, width: int) -> np.ndarray:
     values = np.zeros((len(data) // width, 8), np.uint8)
     values[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
     return values.view("<u8").ravel()
@@ -169,21 +172,9 @@ def repeated(sent: DataFrame, buckets: int, width: int) -> DataFrame:
     sender.
     """
 
-    def sorted_names(key: tuple, table: pa.Table) -> pa.Table:
-        columns = ["bucket", "keys", "counts", "names", "flags"]
-        done = table.filter(table["answer"]).select(columns)
-        rows = table.filter(pa.compute.invert(table["answer"])).to_pylist()
-        if not rows:
-            return done
-        names = np.concatenate([wide(row["names"], width) for row in rows])
-        kinds = np.concatenate([np.frombuffer(row["kinds"], np.uint64) for row in rows])
+    def judged(names: np.ndarray, kinds: np.ndarray, keys: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Texts to be told, their names or kinds, and flags."""
         with_kinds = len(kinds) > 0
-        parts, twice = [], []
-        for row in rows:
-            owners, number = np.frombuffer(row["keys"], np.int64), len(row["names"]) // width
-            parts.append(np.repeat(owners, np.frombuffer(row["counts"], np.uint32)))
-            twice.append(np.unpackbits(np.frombuffer(row["flags"], np.uint8))[:number].astype(bool))
-        keys, many = np.concatenate(parts), np.concatenate(twice)
         order = np.lexsort((keys, kinds, names) if with_kinds else (keys, names))
         names, keys, many = names[order], keys[order], many[order]
         kinds = kinds[order] if with_kinds else names
@@ -192,16 +183,49 @@ def repeated(sent: DataFrame, buckets: int, width: int) -> DataFrame:
         firsts = np.flatnonzero(kind_starts)
         # Texts that hold the kind, as the copies of a text may come from several tasks.
         texts = np.add.reduceat(kind_starts | np.r_[True, keys[1:] != keys[:-1]], firsts, dtype=np.int32)
-        twice_ = (texts > 1) | np.logical_or.reduceat(many, firsts)
-        flags = np.repeat(np.where(twice_, REPEATED, 0).astype(np.uint8), np.diff(np.r_[firsts, len(keys)]))
+        twice = (texts > 1) | np.logical_or.reduceat(many, firsts)
+        flags = np.repeat(np.where(twice, REPEATED, 0).astype(np.uint8), np.diff(np.r_[firsts, len(keys)]))
         if with_kinds:
             heads = np.flatnonzero(name_starts)
             several = np.add.reduceat(kind_starts, heads, dtype=np.int32) > 1
             flags[kind_starts & np.repeat(several, np.diff(np.r_[heads, len(keys)]))] |= SENDER
         told = (flags & SENDER > 0) | ((flags > 0) & ~many)
-        found = [pa.Table.from_batches([batch]).select(columns) for batch in answers(keys[told], kinds[told], buckets, width, with_kinds, flags[told])]
+        return keys[told], kinds[told], flags[told]
+
+    def compared(table: pa.Table) -> pa.Table:
+        columns = ["bucket", "keys", "counts", "names", "flags"]
+        done = table.filter(table["answer"]).select(columns)
+        rows = table.filter(pa.compute.invert(table["answer"])).select(["keys", "counts", "names", "kinds", "flags"])
+        total = sum(len(item.as_buffer()) for item in rows["names"]) // width
+        if not total:
+            return done
+        with_kinds = any(len(item.as_buffer()) for item in rows["kinds"])
+        names, keys, many = np.empty(total, np.uint64), np.empty(total, np.int64), np.empty(total, bool)
+        kinds, at = np.empty(total if with_kinds else 0, np.uint64), 0
+        for row in zip(*rows.columns, strict=True):
+            owners, counts, some, some_kinds, twice = (item.as_buffer() for item in row)
+            end = at + len(some) // width
+            names[at:end] = wide(some, width)
+            keys[at:end] = np.repeat(np.frombuffer(owners, np.int64), np.frombuffer(counts, np.uint32))
+            many[at:end] = np.unpackbits(np.frombuffer(twice, np.uint8))[: end - at]
+            if with_kinds:
+                kinds[at:end] = np.frombuffer(some_kinds, np.uint64)
+            at = end
+        parts = []
+        for share in range(SHARES):
+            own = np.flatnonzero(names & np.uint64(SHARES - 1) == share)
+            if len(own):
+                parts.append(judged(names[own], kinds[own] if with_kinds else kinds, keys[own], many[own]))
+        del names, keys, many, kinds
+        texts, values, flags = map(np.concatenate, zip(*parts, strict=True))
+        found = [pa.Table.from_batches([batch]).select(columns) for batch in answers(texts, values, buckets, width, with_kinds, flags)]
         return pa.concat_tables([done, *found])
 
+    def sorted_names(key: tuple, table: pa.Table) -> pa.Table:
+        found = compared(table)
+        give_back()
+        return found
+
     def gathered(key: tuple, table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         keys = np.concatenate([np.repeat(np.frombuffer(row["keys"], np.int64), np.frombuffer(row["counts"], np.uint32)) for row in rows])
@@ -212,6 +236,7 @@ def repeated(sent: DataFrame, buckets: int, width: int) -> DataFrame:
         owners, counts = np.unique(keys, return_counts=True)
         parts = np.split(order, np.cumsum(counts)[:-1])
         columns = [pa.array([side[part].tobytes() for part in parts], pa.binary()) for side in (values, given)]
+        give_back()
         return pa.table([pa.array(owners), *columns], names=["key", "values", "flags"])
 
     answered = sent.groupBy("bucket").applyInArrow(sorted_names, "bucket long, keys binary, counts binary, names binary, flags binary")
@@ -254,6 +279,13 @@ def spread(firsts: np.ndarray, lasts: np.ndarray) -> np.ndarray:
     return np.repeat(firsts - np.r_[0, np.cumsum(sizes)[:-1]][: len(sizes)], sizes) + np.arange(sizes.sum())
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, fewer at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            yield batch.slice(start, ROWS)
+
+
 def text_key(data: bytes) -> int:
     return xxhash.xxh3_64_intdigest(data) - (1 << 63)
 
@@ -268,6 +300,7 @@ def described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             arrays = [pa.array([text_key(item) for item in data], pa.int64()), pa.array([len(item) for item in data], pa.int64())]
             hashes = pa.array([hashlib.sha256(item).hexdigest() for item in data], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays, hashes], names=["doc_id", "key", "n_bytes", "sha256"])
+        give_back()
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(keyed, f"doc_id {kind}, key long, n_bytes long, sha256 string")
@@ -291,6 +324,7 @@ def first_names(texts: DataFrame, length: int, cover: Cover, buckets: int, width
                     yield from packed(entries, buckets, width)
                     entries, held, seen = [], 0, set()
         yield from packed(entries, buckets, width)
+        give_back()
 
     return texts.mapInArrow(sent, REPLIES)
 
@@ -304,6 +338,7 @@ def chosen_texts(texts: DataFrame, keys: DataFrame) -> DataFrame:
             found = np.array([text_key(item.as_buffer()) for item in batch.column(0)], np.int64)
             keep = pa.array(passes(bits, found), pa.bool_())
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()).filter(keep), batch.column(0).filter(keep)], names=["key", "data"])
+        give_back()
 
     return texts.mapInArrow(taken, "key long, data binary").dropDuplicates(["key"])
 
@@ -335,6 +370,7 @@ def segments(texts: DataFrame, replies: DataFrame, length: int, cover: Cover, wi
                 arrays = [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)]
                 keys = pa.array([batch.column(0)[row].as_py()] * len(rows), pa.int64())
                 yield pa.RecordBatch.from_arrays([keys, *arrays], names=["key", "size", "offset", "floor", "data", "hits"])
+        give_back()
 
     return texts.join(replies, "key").select("key", "data", "values", "flags").mapInArrow(cut, SEGMENTS)
 
@@ -354,7 +390,7 @@ def second_names(parts: DataFrame, length: int, cover: Cover, buckets: int) -> D
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entries, held = [], 0
-        for batch in batches:
+        for batch in slices(batches):
             for key, size, offset, data, hits in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 names, kinds, _, _ = surroundings(data, size, offset, hits, length, cover)
                 entries.append(Entry(key, names, kinds))
@@ -363,6 +399,7 @@ def second_names(parts: DataFrame, length: int, cover: Cover, buckets: int) -> D
                     yield from packed(entries, buckets, 8)
                     entries, held = [], 0
         yield from packed(entries, buckets, 8)
+        give_back()
 
     return parts.select("key", "size", "offset", "data", "hits").mapInArrow(sent, REPLIES)
 
@@ -372,7 +409,7 @@ def settled(parts: DataFrame, replies: DataFrame, length: int, cover: Cover) ->
 
     def told_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["key", "starts", "ends", "firsts", "lasts", "prints"]
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for row in range(batch.num_rows):
                 key, size, offset, data, hits, floor = (batch.column(at)[row].as_py() for at in range(6))
@@ -391,6 +428,7 @@ def settled(parts: DataFrame, replies: DataFrame, length: int, cover: Cover) ->
             columns = list(zip(*rows, strict=True)) or [[]] * 6
             kinds_ = [pa.int64(), *[pa.binary()] * 5]
             yield pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(columns, kinds_, strict=True)], names=names)
+        give_back()
 
     both = parts.join(replies, "key").select("key", "size", "offset", "data", "hits", "floor", "values", "flags")
     return both.mapInArrow(told_apart, "key long, starts binary, ends binary, firsts binary, lasts binary, prints binary")
@@ -401,7 +439,7 @@ def third_names(places: DataFrame, buckets: int) -> DataFrame:
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entries, held = [], 0
-        for batch in batches:
+        for batch in slices(batches):
             for key, prints in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 entries.append(Entry(key, np.frombuffer(prints, np.uint64), np.zeros(0, np.uint64)))
                 held += len(prints)
@@ -409,6 +447,7 @@ def third_names(places: DataFrame, buckets: int) -> DataFrame:
                     yield from packed(entries, buckets, 8)
                     entries, held = [], 0
         yield from packed(entries, buckets, 8)
+        give_back()
 
     return places.select("key", "prints").filter(F.length("prints") > 0).mapInArrow(sent, REPLIES)
 
@@ -417,7 +456,7 @@ def runs(parts: DataFrame, replies: DataFrame, length: int) -> DataFrame:
     """(key, starts, ends) of all runs of bytes that repeat, a row for each text that has any."""
 
     def covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             keys, firsts, lasts = [], [], []
             for row in range(batch.num_rows):
                 parts_ = batch.column(1)[row].as_py()
@@ -435,6 +474,7 @@ def runs(parts: DataFrame, replies: DataFrame, length: int) -> DataFrame:
                     firsts.append(first.tobytes())
                     lasts.append(last.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(firsts, pa.binary()), pa.array(lasts, pa.binary())], names=["key", "starts", "ends"])
+        give_back()
 
     whole = parts.groupBy("key").agg(F.collect_list(F.struct("starts", "ends", "firsts", "lasts", "prints")).alias("parts"))
     return whole.join(replies, "key", "left").select("key", "parts", "values", "flags").mapInArrow(covered, "key long, starts binary, ends binary")
@@ -478,6 +518,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 kept.update(memoryview(data)[at:])
                 hashes.append(kept.hexdigest())
             yield pa.RecordBatch.from_arrays([*(batch.column(at) for at in (0, 2, 3)), pa.array(hashes, pa.string())], names=["key", "starts", "ends", "kept"])
+        give_back()
 
     with_runs = chosen_texts(texts, found.select("key")).join(found, "key").select("key", "data", "starts", "ends")
     cut = with_runs.mapInArrow(shortened, "key long, starts binary, ends binary, kept string")
