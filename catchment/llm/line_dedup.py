@@ -19,10 +19,10 @@ def line_hashes(text: Column, min_chars: int) -> Column:
     """Hash of each line's key by position; NULL for lines too short to count."""
 
     def key_hash(line: Column) -> Column:
-        key = lower_ascii(F.btrim(line, F.lit(BLANKS)))
-        return F.when(F.length(key) >= min_chars, F.md5(key.cast("binary")))
+        return F.when(F.length(line) >= min_chars, F.md5(lower_ascii(line).cast("binary")))
 
-    return F.transform(split_lines(text), key_hash)
+    # Lines are stripped in a step of their own: within one, each use of the stripped line would strip it again.
+    return F.transform(F.transform(split_lines(text), lambda line: F.btrim(line, F.lit(BLANKS))), key_hash)
 
 
 def kept_lines(lines: Column, drop: Column) -> Column:
@@ -55,15 +55,17 @@ def line_dedup(
     """
     text = whole_text(text_col)
     # A fingerprint beside the id tells rows apart that repeat an id.
-    rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_print"), line_hashes(text, min_chars).alias("_hashes"))
-    keys = rows.select("_id", F.explode(F.array_compact(F.array_distinct("_hashes"))).alias("_hash"))
+    rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_print"), text.alias("_text"))
+    hashes = line_hashes(F.col("_text"), min_chars)
+    keys = rows.select("_id", F.explode(F.array_compact(F.array_distinct(hashes))).alias("_hash"))
     shared = (
         keys.groupBy(F.unhex("_hash").alias("_key"))
         .agg(F.count(F.lit(1)).alias("_n"), F.max("_id").alias("_keep"))
         .filter(F.col("_n") >= min_documents)
         .select("_key", "_keep")
     )
-    lines = rows.select("_id", "_print", F.posexplode("_hashes").alias("_at", "_hash")).filter("_hash IS NOT NULL")
+    # Opened as an expression: a column of hashes would be made twice, as Spark filters by its size first.
+    lines = rows.select("_id", "_print", F.posexplode(hashes).alias("_at", "_hash")).filter("_hash IS NOT NULL")
     lost = (
         lines.select("_id", "_print", "_at", F.unhex("_hash").alias("_key"))
         .join(shared, "_key")
