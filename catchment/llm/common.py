@@ -31,8 +31,24 @@ def lower_ascii(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
-def give_back() -> None:
-    """Return freed memory to the system: workers live on after a task and share the executor's limit with its heap."""
+#: Caches that workers keep from task to task.
+_CACHES: list = []
+
+
+def worker_cache(cached):
+    """Mark an `lru_cache` as one that a worker keeps while it does tasks of its operator, and no longer."""
+    _CACHES.append(cached)
+    return cached
+
+
+def give_back(*own) -> None:
+    """Return freed memory to the system: workers live on after a task and share the executor's limit with its heap.
+
+    What other operators' tasks left in the worker's caches goes first; `own` are the caches that the task's operator uses.
+    """
+    for cached in _CACHES:
+        if cached not in own:
+            cached.cache_clear()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:

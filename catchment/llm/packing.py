@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from catchment.llm.common import give_back, whole_text
+from catchment.llm.common import give_back, whole_text, worker_cache
 from catchment.session import pin
 
 TOKENIZER = "word_bpe_49k.json"
@@ -202,6 +202,7 @@ def halved(word: bytes) -> tuple[bytes, bytes]:
     return word, b""
 
 
+@worker_cache
 @lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
     return WordIds(path)
@@ -238,7 +239,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, capacity
             arrays = [batch.column(0).take(pa.array(owners, pa.int32())), pa.array(numbers, pa.int32())]
             arrays += [pa.array(values, pa.int64()) for values in (starts, lengths, sums)]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "piece", "start", "length", "ids_crc32"])
-        give_back()
+        give_back(word_ids)
 
     rows = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("_text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
