@@ -5,20 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Texts that may stand for an empty or false value; the same texts as JSON strings are true.
-_EMPTY = ("false", "[]", "{}")
+#: JSON that holds nothing: an empty text, list or object, false, null or a zero.
+_NOTHING = r'^(?:""|\[\]|\{\}|false|null|-?0+(?:\.0+)?(?:[eE][-+]?\d+)?)\z'
 
 
 def json_truth(value: Column) -> Column:
-    """Whether a Variant holds anything: not absent, null, false, zero, or an empty text, list or object."""
-    text = F.try_variant_get(value, "$", "string")
-    doubtful = text.isin(*_EMPTY) | F.coalesce(text.try_cast("double") == 0, F.lit(False))
-    return (
-        F.when(text.isNull() | (text == ""), F.lit(False))
-        .when(text == "true", F.lit(True))
-        .when(doubtful, F.to_json(value).startswith('"'))
-        .otherwise(F.lit(True))
-    )
+    """Whether a Variant holds anything: not absent, null, false, zero, or an empty text, list or object.
+
+    It is looked at once, as JSON: a filter works each use of a value out anew, and typing a Variant is dear.
+    """
+    return ~F.coalesce(F.to_json(value).rlike(_NOTHING), F.lit(True))
 
 
 def json_flag(value: Column) -> Column:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # Fixed value: the whitespace class that Python's str.isspace covers.
 WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
 
+NOT_WHITESPACE = r"(?U)[^\s\x1c-\x1f]"
+
 # Accepted service verticals.
 VERTICALS = ("restaurants", "groceries")
 
@@ -20,19 +22,23 @@ def clean_text(value: Column) -> Column:
     return F.trim(F.regexp_replace(value, WHITESPACE, " "))
 
 
+def is_blank(value: Column) -> Column:
+    """Whether `clean_text` leaves nothing."""
+    return ~value.rlike(NOT_WHITESPACE)
+
+
 def blank_to_null(value: Column) -> Column:
     return F.nullif(value, F.lit(""))
 
 
 def join_present(items: Column, separator: str = ", ") -> Column:
     """Join the non-blank members in order; NULL when none is left."""
-    kept = F.filter(items, lambda item: item.isNotNull() & (item != ""))
-    return blank_to_null(F.array_join(kept, separator))
+    return blank_to_null(F.array_join(F.array_remove(items, ""), separator))  # joining leaves NULL out
 
 
 def join_distinct_sorted(items: Column, separator: str = ", ") -> Column:
-    kept = F.filter(items, lambda item: item.isNotNull() & (item != ""))
-    return blank_to_null(F.array_join(F.array_sort(F.array_distinct(kept)), separator))
+    kept = F.array_remove(items, "")
+    return blank_to_null(F.array_join(F.sort_array(F.array_distinct(kept)), separator))
 
 
 def format_money(value: Column) -> Column:

@@ -10,9 +10,9 @@ from catchment.functions.loose import json_flag, json_truth, number, whole
 from catchment.functions.rows import open_array
 from catchment.functions.text import (
     blank_to_null,
-    clean_text,
     format_eta,
     format_money,
+    is_blank,
     join_distinct_sorted,
     join_present,
     menu_page_url,
@@ -66,7 +66,7 @@ def listing_fields(
         listed = F.coalesce(F.array_contains(F.coalesce(grocery_ids, F.array().cast("array<string>")), identifier), F.lit(False))
         vertical = F.when(listed, "groceries").otherwise("restaurants")
     linked = F.when(~F.coalesce(identifier, F.lit("")).isin("", "0"), restaurant["uniqueName"])
-    deals = F.filter(restaurant["deals"]["description"], lambda text: F.coalesce(clean_text(text), F.lit("")) != "")
+    deals = F.filter(restaurant["deals"]["description"], lambda text: ~is_blank(text))
     eta = restaurant["deliveryEtaMinutes"]
     return [
         restaurant["name"].alias("Name"),
