@@ -5,17 +5,24 @@ that the leading coordinates hold most of any product. Candidates stand in block
 give each query a first k-th best score. A query needs a later block only if its own length times the longest vector
 there can reach that score. Inside a block the product of the leading coordinates and the lengths of the rest bound each
 score from above, and only pairs whose bound reaches the k-th best are multiplied out, in whole numbers.
+
+Stripes of queries and columns of candidates make a grid of cells. A cell is one task: it holds its stripe and lets the
+column's blocks pass by, and each query's k-th best there rises with them. So vectors travel once for each column or
+stripe, not for each pair of blocks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from catchment.llm.common import let_go
 from catchment.session import pin
 
 SCALE = 256
@@ -24,10 +31,18 @@ K = 5
 #: Vectors in a block of candidates and in one of queries.
 BLOCK = 2048
 QUERY_BLOCK = 512
+#: Components of queries that a task holds, about; 64,000 vectors of 64.
+HELD = 1 << 22
+#: Columns where there are few candidates for a query.
+MIN_COLUMNS = 16
 #: Share of the squared lengths that the leading coordinates hold.
 LEADING = 0.9
+#: Pairs that are multiplied out at once; more leave the processor's cache.
+PAIRS = 2048
 #: Slack for rounding in the bounds, relative to the lengths; scores themselves are exact.
 SLACK = 1e-9
+#: Below it, each sum of a product of two vectors is exact in single precision, whatever its order: none exceeds the product of the lengths.
+SINGLE = 2.0**24
 
 BLOCKS = "band int, most double, ids binary, vectors binary"
 NAMES = ["band", "most", "ids", "vectors"]
@@ -45,9 +60,9 @@ def matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 1)
 
 
-def opened(ids: bytes, vectors: bytes) -> tuple[np.ndarray, np.ndarray]:
+def opened(ids, vectors, stored: str, single: bool) -> tuple[np.ndarray, np.ndarray]:
     numbers = np.frombuffer(ids, np.int64)
-    return numbers, np.frombuffer(vectors, float).reshape(len(numbers), -1)
+    return numbers, np.frombuffer(vectors, stored).reshape(len(numbers), -1).astype(np.float32 if single else float)
 
 
 def moments(rows: DataFrame, size: int) -> np.ndarray:
@@ -56,14 +71,14 @@ def moments(rows: DataFrame, size: int) -> np.ndarray:
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((size, size))
         for batch in batches:
-            x = matrix(batch.column(0))
+            x = matrix(batch.column(0)).astype(float)
             if len(x):
                 total += x.T @ x
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(size * size, dtype=np.int32)), pa.array(total.ravel())], names=["at", "value"])
 
     total = np.zeros(size * size)
-    for row in rows.select("_v").mapInArrow(added, "at int, value double").groupBy("at").agg(F.sum("value")).collect():
-        total[row[0]] = row[1]
+    sums = rows.select("_v").mapInArrow(added, "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).toArrow()
+    total[sums["at"].to_numpy()] = sums["value"].to_numpy()
     return total.reshape(size, size)
 
 
@@ -75,7 +90,7 @@ def rotation(total: np.ndarray) -> tuple[np.ndarray, int]:
     return np.ascontiguousarray(vectors), int(min(len(values), np.searchsorted(shares, LEADING) + 1))
 
 
-def blocked(rows: DataFrame, size: int) -> DataFrame:
+def blocked(rows: DataFrame, size: int, stored: str) -> DataFrame:
     """Rows of each partition by descending length, packed `size` at a time; `band` is the partition's number."""
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,8 +99,8 @@ def blocked(rows: DataFrame, size: int) -> DataFrame:
         band = TaskContext.get().partitionId()
 
         def out(i: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
-            most = float(np.sqrt((x * x).sum(axis=1).max()))
-            arrays = [pa.array([band], pa.int32()), pa.array([most]), pa.array([i.tobytes()], pa.binary()), pa.array([x.tobytes()], pa.binary())]
+            most = float(lengths(x).max())
+            arrays = [pa.array([band], pa.int32()), pa.array([most]), pa.array([i.tobytes()], pa.binary()), pa.array([x.astype(stored).tobytes()], pa.binary())]
             return pa.RecordBatch.from_arrays(arrays, names=NAMES)
 
         ids, vectors = np.zeros(0, np.int64), None
@@ -104,6 +119,10 @@ def blocked(rows: DataFrame, size: int) -> DataFrame:
     return rows.sortWithinPartitions(F.desc("_length"), "_id").select("_id", "_v").mapInArrow(packed, BLOCKS)
 
 
+def lengths(x: np.ndarray) -> np.ndarray:
+    return np.sqrt((x.astype(float) ** 2).sum(axis=1))
+
+
 def products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Whole-number products; in Python's integers where doubles would round."""
     if len(q) and len(c) and float(np.abs(q).max()) * float(np.abs(c).max()) * q.shape[1] >= 2.0**53:
@@ -139,77 +158,182 @@ def search(
     """
     spark = rows.sparkSession
     out = "query_id long, rank int, vec_id long, score long"
-    taken = rows.select(F.col(id_col).cast("long").alias("_id"), whole_numbers(F.col(vector_col)).alias("_v"))
+    # The whole part of 256 times a single-precision number is one itself.
+    element = getattr(rows.schema[vector_col].dataType, "elementType", None)
+    kind = "float" if isinstance(element, T.FloatType) else "double"
+    taken = rows.select(F.col(id_col).cast("long").alias("_id"), whole_numbers(F.col(vector_col)).cast(f"array<{kind}>").alias("_v"))
     taken = taken.filter("_id IS NOT NULL AND _v IS NOT NULL").dropDuplicates(["_id", "_v"])
-    taken = pin(taken.withColumn("_length", F.sqrt(F.aggregate("_v", F.lit(0.0), lambda total, x: total + x * x))))
-    sizes = taken.groupBy(F.size("_v").alias("size")).count().orderBy(F.desc("count"), "size").take(1)
-    if not sizes:
+    squares = F.aggregate(F.col("_v").cast("array<double>"), F.lit(0.0), lambda total, x: total + x * x)
+    taken = pin(taken.withColumn("_length", F.sqrt(squares)))
+    asks = F.col("_id") % every == 0
+    sizes = taken.groupBy(F.size("_v").alias("size")).agg(F.count("*").alias("count"), F.max("_length").alias("most"), F.count(F.when(asks, 1)).alias("asked"))
+    sizes = sizes.orderBy(F.desc("count"), "size").take(1)
+    if not sizes or not sizes[0]["asked"]:
         return spark.createDataFrame([], out)
-    size, number = sizes[0]["size"], sizes[0]["count"]
+    size, number, asked_number = sizes[0]["size"], sizes[0]["count"], sizes[0]["asked"]
     taken = taken.filter(F.size("_v") == size)
     turn, leading = rotation(moments(taken, size))
+    single = sizes[0]["most"] ** 2 < SINGLE
+    stored = "<i2" if single else "<f4" if kind == "float" else "<f8"
+    opens = partial(opened, stored=stored, single=single)
 
     # Bands of descending length; their number is bounded by the session's partitions.
-    bands = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-number // block)))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bands = max(1, min(parts, -(-number // block)))
     by_length = [F.desc("_length"), F.col("_id")]
-    candidates = pin(blocked(taken.repartitionByRange(bands, *by_length), block))
+    candidates = pin(blocked(taken.repartitionByRange(bands, *by_length), block, stored))
+    # One block: the first of the first band has the longest vectors of all. No other band is read for it.
+    head_ids, head_vectors = opens(*candidates.select("ids", "vectors").head())
+
+    # Stripes by what a task holds; columns so that cells are no more than the session's partitions and copies of the queries about as large as the candidates.
+    stripes = -(-asked_number * size // HELD)
+    asked = taken.filter(asks).repartitionByRange(max(min(parts, -(-asked_number // query_block)), 4 * stripes), *by_length)
+    asked = pin(blocked(asked, query_block, stored))
+    del taken
+    let_go(spark)
     longest = {row["band"]: row["most"] for row in candidates.groupBy("band").agg(F.max("most").alias("most")).collect()}
-    # One block: the longest vectors of all.
-    head = candidates.orderBy(F.desc("most"), "band").select("ids", "vectors").head()
-    head_ids, head_vectors = opened(head["ids"], head["vectors"])
-
-    asked = taken.filter(F.col("_id") % every == 0)
-    asked = blocked(asked.repartitionByRange(bands, *by_length), query_block)
+    last = max(longest) + 1
+    columns = min(last, -(-parts // stripes), max(MIN_COLUMNS, number // asked_number))
+    last_asked = asked.agg(F.max("band")).first()[0] + 1
 
     def aimed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, vectors in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                q_ids, q = opened(ids, vectors)
+            for band, ids, vectors in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), strict=True):
+                q_ids, q = opens(ids.as_buffer(), vectors.as_buffer())
                 best = kth_best(q_ids, q, head_ids, head_vectors, k)
-                own = np.sqrt((q * q).sum(axis=1))
-                reach = np.where((best > 0) & (own > 0), best / np.maximum(own, 1e-300), -np.inf).min()
-                needed = [band for band, most in sorted(longest.items()) if most * (1 + SLACK) >= reach]
-                arrays = [pa.array(needed, pa.int32()), *(pa.array([x] * len(needed), pa.binary()) for x in (ids, vectors, best.tobytes()))]
-                yield pa.RecordBatch.from_arrays(arrays, names=["band", "q_ids", "q_vectors", "best"])
-
-    wanted = asked.mapInArrow(aimed, "band int, q_ids binary, q_vectors binary, best binary")
-    # Few rows for each pair of blocks; a pair is the unit of work, and a band's pairs spread over tasks.
-    pairs = wanted.join(candidates.select("band", "ids", "vectors"), "band").drop("band").repartition(bands)
+                own = lengths(q)
+                needed = {b * columns // last for b, most in longest.items() if (own * most * (1 + SLACK) >= best).any()}
+                cells = [column * stripes + band * stripes // last_asked for column in sorted(needed)]
+                arrays = [pa.array([cells], pa.list_(pa.int32())), *(pa.array([x.as_py()], pa.binary()) for x in (ids, vectors)), pa.array([best.tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, names=["cells", "ids", "vectors", "best"])
+
+    asked = asked.mapInArrow(aimed, "cells array<int>, ids binary, vectors binary, best binary")
+    asked = asked.select(F.explode("cells").alias("cell"), F.lit(float("inf")).alias("most"), "ids", "vectors", "best")
+    # A column of candidates meets each stripe.
+    first = F.expr(f"cast(band * {columns} div {last} as int)") * stripes
+    passing = candidates.select(F.explode(F.sequence(first, first + stripes - 1)).alias("cell"), "most", "ids", "vectors", F.lit(None).cast("binary").alias("best"))
+    # One cell in each partition: its queries, then its candidates by descending length.
+    cells = asked.unionByName(passing).repartitionById(columns * stripes, F.col("cell")).sortWithinPartitions(F.desc("most"))
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, held, room = [], [], Room()
         for batch in batches:
-            for q_ids, q_vectors, best, c_ids, c_vectors in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                yield block_pair(*opened(q_ids, q_vectors), np.frombuffer(best, float), *opened(c_ids, c_vectors), turn, leading, k)
-
-    hits = pairs.select("q_ids", "q_vectors", "best", "ids", "vectors").mapInArrow(found, "query_id long, vec_id long, score long")
+            for most, ids, vectors, best in zip(batch.column(0).to_pylist(), *batch.columns[1:], strict=True):
+                these, x = opens(ids.as_buffer(), vectors.as_buffer())
+                if best.is_valid:
+                    pieces.append((these, x, np.frombuffer(best.as_buffer(), float)))
+                    continue
+                if pieces:
+                    # All queries have come; small blocks are put together.
+                    whole, pieces = [np.concatenate(x) for x in zip(*pieces, strict=True)], []
+                    held = [Asked(*(x[i : i + query_block] for x in whole), turn, leading, k) for i in range(0, len(whole[0]), query_block)]
+                if held:
+                    turned = bounding(x, turn, leading)
+                    for queries in held:
+                        queries.meet(these, x, turned, most, room)
+        for queries in held:
+            yield queries.hits()
+
+    hits = cells.select("most", "ids", "vectors", "best").mapInArrow(found, "query_id long, vec_id long, score long")
     within = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return hits.withColumn("rank", F.row_number().over(within)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def block_pair(q_ids, q, best, c_ids, c, turn, leading, k) -> pa.RecordBatch:
-    """The k best of one block of candidates for each query of a block, as far as they reach its k-th best so far."""
-    q_turned, c_turned = q @ turn, c @ turn
-    q_rest = np.sqrt((q_turned[:, leading:] ** 2).sum(axis=1))
-    c_rest = np.sqrt((c_turned[:, leading:] ** 2).sum(axis=1))
-    slack = SLACK * np.sqrt((q * q).sum(axis=1)).max() * np.sqrt((c * c).sum(axis=1)).max() + SLACK
-    bound = q_turned[:, :leading] @ c_turned[:, :leading].T + q_rest[:, None] * c_rest[None, :] + slack
-    at, to = np.nonzero((bound >= best[:, None]) & (q_ids[:, None] != c_ids[None, :]))
-    if len(at) * 4 > bound.size:
-        scores = products(q, c)[at, to]
-    elif len(at) and float(np.abs(q).max()) * float(np.abs(c).max()) * q.shape[1] >= 2.0**53:
-        scores = products(q, c)[at, to]
-    else:
-        scores = np.concatenate([np.einsum("ij,ij->i", q[at[i : i + 65536]], c[to[i : i + 65536]]) for i in range(0, len(at), 65536)] or [np.zeros(0)])
-    scores = scores.astype(np.int64)
-    keep = scores >= best[at]
-    at, ids, scores = at[keep], c_ids[to[keep]], scores[keep]
-    order = np.lexsort((ids, -scores, at))
-    at, ids, scores = at[order], ids[order], scores[order]
-    firsts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.zeros(0, int)
-    place = np.arange(len(at)) - np.repeat(firsts, np.diff(np.r_[firsts, len(at)]))
-    keep = place < k
-    arrays = [pa.array(q_ids[at[keep]]), pa.array(ids[keep]), pa.array(scores[keep])]
-    return pa.RecordBatch.from_arrays(arrays, names=["query_id", "vec_id", "score"])
+def bounding(x: np.ndarray, turn: np.ndarray, leading: int) -> np.ndarray:
+    """Leading coordinates after the rotation, and the length of the rest: the product of two such rows is no less than that of the vectors, but for rounding."""
+    turned = x.astype(float) @ turn
+    return np.column_stack([turned[:, :leading], lengths(turned[:, leading:])]).astype(x.dtype)
+
+
+class Room:
+    """Memory for the bounds of a pair of blocks, used again for the next pair."""
+
+    def __init__(self):
+        self.bounds, self.marks = np.zeros(0, np.uint8), np.zeros(0, bool)
+
+    def reached(self, q: np.ndarray, c: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places where the product of two rows is no less than the query's least."""
+        n, m, width = len(q), len(c), -(-len(c) // 8) * 8
+        if len(self.bounds) < n * m * q.itemsize or len(self.marks) < n * width:
+            self.bounds, self.marks = np.zeros(n * m * q.itemsize, np.uint8), np.zeros(n * width, bool)
+        bounds, marks = self.bounds[: n * m * q.itemsize].view(q.dtype).reshape(n, m), self.marks[: n * width].reshape(n, width)
+        np.matmul(q, c.T, out=bounds)
+        np.greater_equal(bounds, least[:, None], out=marks[:, :m])
+        marks[:, m:] = False
+        # Few places are marked: eight are looked at at once.
+        eights = np.flatnonzero(marks.reshape(-1).view(np.uint64))
+        one, place = np.nonzero(marks.reshape(-1, 8)[eights])
+        return np.divmod(eights[one] * 8 + place, width)
+
+
+class Asked:
+    """A block of queries and the k best that each has met."""
+
+    def __init__(self, ids: np.ndarray, q: np.ndarray, best: np.ndarray, turn: np.ndarray, leading: int, k: int):
+        self.ids, self.q, self.own, self.turned = ids, q, lengths(q), bounding(q, turn, leading)
+        # The k-th best score known so far, in this cell or before.
+        self.best, self.k = best.copy(), k
+        self.scores = np.full((len(ids), k), np.iinfo(np.int64).min)
+        self.met = np.full((len(ids), k), np.iinfo(np.int64).max)
+        self.slack = max(SLACK, (self.turned.shape[1] + 16) * float(np.finfo(q.dtype).eps))
+
+    def meet(self, c_ids: np.ndarray, c: np.ndarray, c_turned: np.ndarray, most: float, room: Room) -> None:
+        """Take in a block of candidates, none longer than `most`."""
+        need = self.own * most * (1 + SLACK) >= self.best
+        rows = np.flatnonzero(need)
+        if not len(rows):
+            return
+        least = (self.best - self.slack * self.own * most - SLACK)[rows].astype(self.turned.dtype)
+        at, to = room.reached(self.turned if need.all() else self.turned[rows], c_turned, least)
+        other = self.ids[rows[at]] != c_ids[to]
+        at, to = at[other], to[other]
+        if not len(at):
+            return
+        q = self.q[rows]
+        if len(at) * 16 > len(q) * len(c):
+            at, to, scores = firsts(products(q, c), self.ids[rows], c_ids, self.k)
+        elif float(np.abs(q).max()) * float(np.abs(c).max()) * q.shape[1] >= 2.0**53:
+            scores = products(q, c)[at, to].astype(np.int64)
+        else:
+            scores = np.concatenate([np.einsum("ij,ij->i", q[at[i : i + PAIRS]], c[to[i : i + PAIRS]]) for i in range(0, len(at), PAIRS)]).astype(np.int64)
+        rows, ids = rows[at], c_ids[to]
+        last, last_id = self.scores[rows, -1], self.met[rows, -1]
+        keep = (scores >= self.best[rows]) & ((scores > last) | (scores == last) & (ids < last_id))
+        if keep.any():
+            self.take(rows[keep], ids[keep], scores[keep])
+
+    def take(self, rows: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        """Put better candidates among the k best of their queries; equal scores go by the smaller id."""
+        some = np.unique(rows)
+        rows = np.concatenate([np.repeat(some, self.k), rows])
+        ids, scores = np.concatenate([self.met[some].ravel(), ids]), np.concatenate([self.scores[some].ravel(), scores])
+        # ~ turns the order of whole numbers round and has no overflow.
+        order = np.lexsort((ids, ~scores, rows))
+        starts = np.searchsorted(rows[order], some)
+        kept = order[starts[:, None] + np.arange(self.k)]
+        self.met[some], self.scores[some] = ids[kept], scores[kept]
+        full = self.met[some, -1] != np.iinfo(np.int64).max
+        self.best[some[full]] = np.maximum(self.best[some[full]], self.scores[some[full], -1])
+
+    def hits(self) -> pa.RecordBatch:
+        at, place = np.nonzero(self.scores != np.iinfo(np.int64).min)
+        arrays = [pa.array(x) for x in (self.ids[at], self.met[at, place], self.scores[at, place])]
+        return pa.RecordBatch.from_arrays(arrays, names=["query_id", "vec_id", "score"])
+
+
+def firsts(scores: np.ndarray, q_ids: np.ndarray, c_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places and scores of each query's k best; equal scores go to the smaller id."""
+    order = np.argsort(c_ids, kind="stable")
+    scores = scores[:, order]
+    scores[q_ids[:, None] == c_ids[order][None, :]] = -np.inf
+    kept = scores > -np.inf
+    if scores.shape[1] > k:
+        least = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k, None]
+        over, same = scores > least, kept & (scores == least)
+        same &= same.cumsum(axis=1) <= k - over.sum(axis=1, keepdims=True)
+        kept = over | same
+    at, to = np.nonzero(kept)
+    return at, order[to], scores[at, to].astype(np.int64)
 
 
 ORACLE = """
