@@ -289,13 +289,13 @@ class Asked:
         at, to = at[other], to[other]
         if not len(at):
             return
-        q = self.q[rows]
-        if len(at) * 16 > len(q) * len(c):
-            at, to, scores = firsts(products(q, c), self.ids[rows], c_ids, self.k)
-        elif float(np.abs(q).max()) * float(np.abs(c).max()) * q.shape[1] >= 2.0**53:
-            scores = products(q, c)[at, to].astype(np.int64)
+        if len(at) * 16 > len(rows) * len(c):
+            at, to, scores = firsts(products(self.q[rows], c), self.ids[rows], c_ids, self.k)
+        elif c.dtype == float and float(np.abs(self.q).max()) * float(np.abs(c).max()) * c.shape[1] >= 2.0**53:
+            scores = products(self.q[rows], c)[at, to].astype(np.int64)
         else:
-            scores = np.concatenate([np.einsum("ij,ij->i", q[at[i : i + PAIRS]], c[to[i : i + PAIRS]]) for i in range(0, len(at), PAIRS)]).astype(np.int64)
+            places = rows[at]
+            scores = np.concatenate([np.einsum("ij,ij->i", self.q[places[i : i + PAIRS]], c[to[i : i + PAIRS]]) for i in range(0, len(at), PAIRS)]).astype(np.int64)
         rows, ids = rows[at], c_ids[to]
         last, last_id = self.scores[rows, -1], self.met[rows, -1]
         keep = (scores >= self.best[rows]) & ((scores > last) | (scores == last) & (ids < last_id))
